@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbana.llm import simhash
-from urbana.session import table
+from urbana.llm import line_dedup, pieces, planes, quality_rules, simhash, url_filter
+from urbana.session import scratch_path, table
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,5 +21,91 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lower(F.hex("simhash")).alias("fingerprint"), "component_id")
 
 
-QUERIES = {f.__name__: f for f in (op1_simhash_near_dedup,)}
-ORACLES: dict[str, str] = {}
+def op2_sentencepiece_codec(spark: SparkSession, sf_dir: str, model: str | None = None) -> DataFrame:
+    """``documents`` encoded with begin and end ids and decoded again; digests of both."""
+    path = model or public_tokenizers.path("piece_bpe_32k.model")
+    ids = pieces.encode(table(spark, sf_dir, "documents"), path, keep=["doc_id"])
+    back = pieces.decode(ids, path)
+    return back.select("doc_id", pieces.n_ids().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts, base rules and host verdicts of ``documents``; the host is ``source``."""
+    counted = quality_rules.with_counts(table(spark, sf_dir, "documents"), keep=["doc_id", "source"])
+    return quality_rules.judge(counted).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op5_token_binary(spark: SparkSession, sf_dir: str, tokenizer: str | None = None) -> DataFrame:
+    """``documents`` as token ids in plane files, written in id order and read back."""
+    folder = scratch_path(spark, "token-planes")
+    planes.write(table(spark, sf_dir, "documents"), folder, tokenizer or public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            raw = b.column(2).to_pylist()
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([len(x) // 4 for x in raw], pa.int64()), pa.array([zlib.crc32(x) for x in raw], pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+
+    return planes.read(spark, folder).mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+
+
+def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on every url of ``pages``."""
+    return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` without the lines that an earlier document holds."""
+    got = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op4_quality_rules, op5_token_binary, op7_url_filters, op10_line_dedup)
+}
+
+_COUNTS = r"""
+    docs AS (SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text FROM documents),
+    split_words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM docs),
+    split_lines AS (SELECT doc_id, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+    positions AS (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS i FROM split_words),
+    grams AS (SELECT doc_id, i, {'a': words[i], 'b': words[i + 1], 'c': words[i + 2]} AS gram FROM positions),
+    repeated AS (SELECT doc_id, gram FROM grams GROUP BY doc_id, gram HAVING count(*) > 1),
+    covered AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM grams JOIN repeated USING (doc_id, gram)) GROUP BY doc_id),
+    counted AS (
+        SELECT doc_id, host, CAST(len(words) AS BIGINT) AS n_words, CAST(length(array_to_string(words, '')) AS BIGINT) AS word_chars,
+            CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines, CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words
+        FROM split_words JOIN split_lines USING (doc_id) LEFT JOIN covered USING (doc_id))
+"""
+
+QUALITY_SQL = rf"""
+WITH {_COUNTS},
+    marked AS (
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_words OR word_chars < 3 * n_words OR word_chars > 12 * n_words AS soft_failed
+        FROM counted),
+    hosts AS (SELECT host, CAST(count(*) AS DOUBLE) AS n, CAST(count(*) FILTER (base_failed OR soft_failed) AS DOUBLE) AS f FROM marked GROUP BY host),
+    moments AS (SELECT avg(f / n) AS m, coalesce(var_pop(f / n), 0) AS v, avg(f / n * (1 - f / n) / n) AS noise FROM hosts),
+    prior AS (SELECT m, greatest(m * (1 - m) / greatest(v - noise, 1e-6) - 1, 1.0) AS strength FROM moments),
+    rates AS (SELECT host, (m * strength + f) / (strength + n) AS host_rate FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+    NOT base_failed AND NOT (soft_failed AND host_rate > 0.5) AS kept
+FROM marked JOIN rates USING (host)
+"""
+
+LINES_SQL = r"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+    each AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM cut),
+    keyed AS (
+        SELECT doc_id, i, lines[i] AS line,
+            translate(trim(lines[i], ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM each),
+    shared AS (SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+    marked AS (SELECT doc_id, i, line, first IS NOT NULL AND doc_id > first AS gone FROM keyed LEFT JOIN shared USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL, "op10_line_dedup": LINES_SQL}
