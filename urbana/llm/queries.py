@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbana.llm import line_dedup, pieces, planes, quality_rules, simhash, url_filter
+from urbana.llm import line_dedup, packing, pieces, planes, quality_rules, simhash, toxicity, url_filter, weak_quality, winnow
 from urbana.session import scratch_path, table
 
 
@@ -29,6 +29,13 @@ def op2_sentencepiece_codec(spark: SparkSession, sf_dir: str, model: str | None
     return back.select("doc_id", pieces.n_ids().alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of ``documents``, learnt from ``labels`` outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, keep=["doc_id"]).select("doc_id", (toxicity.fold() == 2).alias("held_out"), "score", "predicted")
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts, base rules and host verdicts of ``documents``; the host is ``source``."""
     counted = quality_rules.with_counts(table(spark, sf_dir, "documents"), keep=["doc_id", "source"])
@@ -48,11 +55,30 @@ def op5_token_binary(spark: SparkSession, sf_dir: str, tokenizer: str | None = N
     return planes.read(spark, folder).mapInArrow(digest, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
+def op6_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Winnowed fingerprints of ``documents`` and of their edited texts."""
+    got = winnow.compare(table(spark, sf_dir, "documents"))
+    return got.select(
+        "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
+        winnow.label(F.col("chosen")).alias("fingerprint"), winnow.label(F.col("edited_chosen")).alias("edited_fingerprint"), "near_edited", "near_next",
+    )
+
+
 def op7_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Verdicts on every url of ``pages``."""
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict", "score")
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``documents`` packed into sequences of 512 to 4096 words (an end mark counts as one)."""
+    return packing.best_fit(packing.word_lengths(table(spark, sf_dir, "documents"), keep=["doc_id"]))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak labels and scores of ``documents``."""
+    return weak_quality.classify(table(spark, sf_dir, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``documents`` without the lines that an earlier document holds."""
     got = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents"))
@@ -61,7 +87,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op4_quality_rules, op5_token_binary, op7_url_filters, op10_line_dedup)
+    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op3_toxicity, op4_quality_rules, op5_token_binary, op6_document_fingerprints, op7_url_filters, op8_best_fit_packing, op9_quality_classifier, op10_line_dedup)
 }
 
 _COUNTS = r"""

@@ -238,3 +238,16 @@ def components(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str
     rooted = classes.join(found, "simhash", "left").select("simhash", "low", F.coalesce("component", "simhash").alias("root"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
     return rows.join(rooted.join(lowest, "root").select("simhash", "component_id"), "simhash").select("doc_id", "simhash", "component_id")
+
+
+def keep_one(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest id, of equal ids the smallest text hash.
+
+    A row without an id stays only where its component has no other. Repeated rows become one.
+    """
+    mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    narrow = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), mark.alias("mark")).alias("doc_id"), F.col(text).alias("text"))
+    best = components(narrow, how, "doc_id", "text", shingle).where("doc_id = component_id").select("doc_id.*").distinct()
+    marked = docs.withColumn("__mark", mark)
+    on = [F.col("__mark") == F.col("mark"), F.col(id_col).eqNullSafe(F.col("id"))]
+    return marked.join(best, on, "left_semi").dropDuplicates(["__mark", id_col]).drop("__mark")
