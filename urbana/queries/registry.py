@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from urbana.queries import cleaning, domain, functions, grouping, joining, loading, sources, streams, windows  # noqa: F401
+from urbana.queries.base import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]
