@@ -9,6 +9,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 
+ROWS = 1000  # rows a worker turns into Python objects at once
+
+
+def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches in parts of at most ``ROWS`` rows."""
+    for b in batches:
+        for at in range(0, b.num_rows, ROWS):
+            yield b.slice(at, ROWS)
+
+
 def texts(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """The UTF-8 bytes of a string column, null as empty."""
     col = batch.column(batch.schema.get_field_index(column)).cast(pa.binary())
@@ -26,7 +36,7 @@ def with_columns(df: DataFrame, column: str, added: str, compute: Callable[[list
     source = df.select(*[f"`{c}`" for c in dict.fromkeys([*kept, column])])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             got = compute(texts(b, column))
             old = [b.column(b.schema.get_field_index(c)) for c in kept]
             yield pa.RecordBatch.from_arrays([*old, *got], names=[*kept, *new.names])

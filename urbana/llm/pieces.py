@@ -22,8 +22,9 @@ from pyspark.sql import functions as F
 from urbana.llm.arrow import with_columns
 
 SPACE = "▁"
-CACHED_WORDS = 600_000  # words a worker keeps; words beyond are encoded each time they occur
+CACHED_WORDS = 200_000  # words a worker keeps; words beyond are encoded each time they occur
 CACHED_CHARS = 40
+CACHED_PAIRS = 500_000
 
 
 class Words(dict):
@@ -95,9 +96,9 @@ class Pieces:
         got = self.compatible.get(key)
         if got is None:
             a, b = self.piece[left], self.piece[right]
-            if len(self.compatible) > 2_000_000:
-                self.compatible.clear()
-            got = self.compatible[key] = self.merge(a + b) == [a, b]
+            got = self.merge(a + b) == [a, b]
+            if len(self.compatible) < CACHED_PAIRS:
+                self.compatible[key] = got
         return got
 
     def known(self, text: str) -> list[int]:
