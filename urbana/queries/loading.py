@@ -1 +1,79 @@
+"""Queries of incremental loading (M) and of versioned layouts."""
 
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from urbana.operators import incremental as inc
+from urbana.operators import select
+from urbana.plans import layout
+from urbana.queries.base import query
+from urbana.queries.sources import registry_lines
+from urbana.session import scratch_path
+
+
+@query("m01_upsert", """
+WITH alvo AS (SELECT CASE WHEN c_custkey % 100 <> 1 THEN c_custkey END AS k, c_mktsegment AS v FROM customer WHERE c_custkey % 2 = 0 OR c_custkey = 1), novo AS (SELECT nullif(c_custkey, 1) AS k, 'novo' AS v FROM customer WHERE c_custkey % 3 = 0 OR c_custkey = 1)
+SELECT * FROM alvo a WHERE NOT EXISTS (SELECT 1 FROM novo n WHERE n.k IS NOT DISTINCT FROM a.k) UNION ALL SELECT * FROM novo""")
+def _(t):
+    target = t.customer.where("c_custkey % 2 = 0 OR c_custkey = 1").select(F.when(F.col("c_custkey") % 100 != 1, F.col("c_custkey")).alias("k"), F.col("c_mktsegment").alias("v"))
+    source = t.customer.where("c_custkey % 3 = 0 OR c_custkey = 1").select(F.nullif(F.col("c_custkey"), F.lit(1)).alias("k"), F.lit("novo").alias("v"))
+    staged = scratch_path(t.spark, "stage")
+    source.write.mode("overwrite").parquet(staged)
+    return inc.upsert(target, t.spark.read.parquet(staged), ["k"])
+
+
+@query("m02_delete_where", "SELECT event_id FROM events WHERE NOT (event_type LIKE 'c%' AND ts < TIMESTAMP '2024-01-15')")
+def _(t):
+    return inc.delete_where(t.events, F.col("event_type").startswith("c") & (F.col("ts") < "2024-01-15")).select("event_id")
+
+
+@query("m03_high_water", "SELECT event_id, ts FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts < TIMESTAMP '2024-01-20')")
+def _(t):
+    mark = inc.high_water(t.events.where("ts < '2024-01-20'"), "ts")
+    return inc.after_mark(t.events.select("event_id", "ts"), mark, "ts")
+
+
+@query("m03_high_water_per_group", "SELECT event_type, max(ts) AS marca FROM events GROUP BY 1")
+def _(t):
+    return inc.high_water(t.events, "ts", ["event_type"])
+
+
+@query("m04_append_assignment", """
+WITH h AS (SELECT c_custkey, CAST(0 AS BIGINT) AS grupo FROM customer WHERE c_custkey % 10 = 0), r AS (SELECT c_custkey, row_number() OVER (ORDER BY md5(c_custkey || 'm4'), c_custkey) AS rank FROM customer)
+SELECT * FROM h UNION ALL SELECT c_custkey, CAST(ceil((sqrt(22500 + 200 * rank) - 150) / 100) AS BIGINT) FROM r WHERE c_custkey % 10 <> 0""")
+def _(t):
+    history = t.customer.where("c_custkey % 10 = 0").select("c_custkey", F.lit(0).cast("long").alias("grupo"))
+    assigned = select.escalating_groups(select.seeded_order(t.customer.select("c_custkey"), "c_custkey", "m4"))
+    return inc.append_assignment(history, assigned, "c_custkey")
+
+
+LAYOUT = [
+    {"version": "7", "reg": r, "posicao": p, "tamanho": n, "column": c} | more
+    for r in ("01", "02")
+    for p, n, c, more in (
+        (1, 18, "nome", {}), (19, 8, "id", {"bigquery_type": "INT64"}), (27, 11, "saldo", {"bigquery_type": "FLOAT64", "ajuste_decimal": 2}),
+        (40, 8, "data", {"bigquery_type": "DATE", "date_format": "ddMMyyyy"}), (48, 1, "segmento", {"dicionario_atributos": {"A": "auto", "B": "obra"}}),
+    )
+] + [{"version": "8", "reg": "01", "posicao": 1, "tamanho": 18, "column": "nome"}, {"version": "8", "reg": "01", "posicao": 19, "tamanho": 8, "column": "id", "bigquery_type": "INT64"}]
+
+DECODED = """SELECT c_name AS nome, c_custkey AS id, round(abs(round(c_acctbal * 100)) / 100, 2) AS saldo, CASE WHEN c_custkey % 5 <> 0 THEN CAST(DATE '2020-01-01' + CAST(c_custkey % 300 AS INTEGER) AS DATE) END AS data,
+c_mktsegment[1] AS segmento, CASE c_mktsegment[1] WHEN 'A' THEN 'auto' WHEN 'B' THEN 'obra' END AS segmento_descricao, '7' AS versao_layout_particao FROM customer"""
+
+
+@query("f34_decode_field", f"SELECT nome, id, saldo, data, segmento, segmento_descricao, versao_layout_particao FROM ({DECODED}) WHERE id % 2 = 0")
+def _(t):
+    return layout.decode(registry_lines(t, "7"), LAYOUT, "7")["01"].withColumn("saldo", F.round("saldo", 2))
+
+
+@query("g16_decode_all_records", f"SELECT CASE WHEN id % 2 = 0 THEN '01' ELSE '02' END AS reg, count(*) AS n, CAST(sum(id) AS BIGINT) AS ids, count(data) AS datas, count(segmento_descricao) AS rotulos FROM ({DECODED}) GROUP BY 1")
+def _(t):
+    parts = layout.decode(registry_lines(t, "7"), LAYOUT, "7")
+    each = [d.agg(F.lit(r).alias("reg"), F.count(F.lit(1)).alias("n"), F.sum("id").alias("ids"), F.count("data").alias("datas"), F.count("segmento_descricao").alias("rotulos")) for r, d in parts.items()]
+    return layout.union_versions(each)
+
+
+@query("u05_union_versions", f"SELECT * FROM ({DECODED}) WHERE id % 2 = 0 UNION ALL SELECT nome, id, NULL, NULL, NULL, NULL, '8' FROM ({DECODED}) WHERE id % 2 = 0")
+def _(t):
+    v7, v8 = (layout.decode(registry_lines(t, v), LAYOUT, v)["01"] for v in ("7", "8"))
+    return layout.union_versions([v7.withColumn("saldo", F.round("saldo", 2)), v8])

@@ -59,7 +59,7 @@ def with_loaded_at(df: DataFrame, ts: dt.datetime) -> DataFrame:
 
 def read_text_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
     """All columns as text; empty fields stay empty texts."""
-    return spark.read.csv(path, header=True, inferSchema=False, sep=sep, nullValue="\u0000", emptyValue="")
+    return spark.read.csv(path, header=True, inferSchema=False, sep=sep, emptyValue="").na.fill("")
 
 
 def read_xml_rows(spark: SparkSession, path: str, row_tag: str, schema: T.StructType | str) -> DataFrame:
