@@ -24,7 +24,7 @@ def _points(t):
     return t.customer.select(k.alias("id"), F.col("c_mktsegment").alias("tipo"), F.round(F.lit(-22.9) - (k * 37 % 61) * 0.0023, 6).alias("lat"), F.round(F.lit(-43.2) - (k * 53 % 67) * 0.0023, 6).alias("lon"))
 
 
-POINTS = "(SELECT c_custkey AS id, c_mktsegment AS tipo, round(-22.9 - (c_custkey * 37 % 61) * 0.0023, 6) AS lat, round(-43.2 - (c_custkey * 53 % 67) * 0.0023, 6) AS lon FROM customer)"
+POINTS = "(SELECT c_custkey AS id, c_mktsegment AS tipo, CAST(round(-22.9 - (c_custkey * 37 % 61) * 0.0023, 6) AS DOUBLE) AS lat, CAST(round(-43.2 - (c_custkey * 53 % 67) * 0.0023, 6) AS DOUBLE) AS lon FROM customer)"
 CLUSTERS = f"""
 WITH RECURSIVE p AS (SELECT * FROM {POINTS}), e AS (SELECT a.id AS x, b.id AS y FROM p a JOIN p b ON a.tipo = b.tipo AND 2 * 6371000 * asin(sqrt(pow(sin(radians(b.lat - a.lat) / 2), 2) + cos(radians(a.lat)) * cos(radians(b.lat)) * pow(sin(radians(b.lon - a.lon) / 2), 2))) <= 500),
 r(x, y) AS (SELECT x, y FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
