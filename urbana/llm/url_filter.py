@@ -16,7 +16,7 @@ from urbana.session import cut
 BUCKETS = 512
 GRAM = 4
 STEPS = 12
-RATE = 8.0
+RATE = 0.6
 LABELLED_ROWS = 4096  # rows of the labelled table that are used, by the order of their hash
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -72,7 +72,8 @@ def labelled_urls(spark: SparkSession) -> DataFrame:
 def fit(labelled: DataFrame, steps: int = STEPS, rate: float = RATE, buckets_: int = BUCKETS) -> list[float]:
     """Weights of the buckets and, last, the bias. Rows without a label or url are left out; no rows: all 0.
 
-    Full gradient steps; each is one aggregate of ``buckets_ + 1`` rows over at most ``LABELLED_ROWS`` urls.
+    Full gradient steps, scaled for each bucket by its past slopes; each is one aggregate of ``buckets_ + 1``
+    rows over at most ``LABELLED_ROWS`` urls.
     """
     rows = (
         with_parts(labelled.where("url IS NOT NULL AND label IS NOT NULL").select("url", F.col("label").cast("double").alias("label")))
@@ -80,13 +81,13 @@ def fit(labelled: DataFrame, steps: int = STEPS, rate: float = RATE, buckets_: i
         .select("label", F.array_distinct(buckets(buckets_)).alias("grams"))
     )
     rows = cut(rows)
-    n = max(rows.count(), 1)
-    weights = [0.0] * (buckets_ + 1)
+    weights, past = [0.0] * (buckets_ + 1), [1e-6] * (buckets_ + 1)
     for _ in range(steps):
         error = rows.select("grams", (F.col("label") - probability(F.col("grams"), weights)).alias("e"))
         slopes = error.select(F.explode(F.array_append("grams", buckets_)).alias("bucket"), (F.col("e") / F.when(F.size("grams") > 0, F.sqrt(F.size("grams").cast("double"))).otherwise(1.0)).alias("e"))
         for bucket, slope in slopes.groupBy("bucket").agg(F.sum("e")).collect():  # at most buckets_ + 1 rows
-            weights[bucket] += rate * slope / math.sqrt(n)
+            past[bucket] += slope * slope
+            weights[bucket] += rate * slope / math.sqrt(past[bucket])
     return weights
 
 
