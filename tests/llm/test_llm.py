@@ -292,15 +292,16 @@ def test_lines_odd_rows(spark, odd):
 
 
 def test_winnowing_against_brute_force(spark):
-    texts = ["", "short", "x" * 15, "y" * 16, "ab" * 100, *fuzz(60)[:60], LONG[:4000]]
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("h", F.expr("transform(sequence(1, greatest(length(text) - 15, 1)), i -> xxhash64(substring(text, i, 16)))"))
+    texts = ["", "short", "a b c d", "a b c d e", " x " * 9, "ab " * 100, *fuzz(60)[:60], LONG[:4000], "p q r s t u v w " * 4]
+    hashed = F.expr("transform(filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> ''), w -> xxhash64(w))")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("w", hashed)
+    df = df.withColumn("h", F.expr("transform(sequence(1, greatest(size(w) - 4, 1)), i -> xxhash64(get(w, i - 1), get(w, i), get(w, i + 1), get(w, i + 2), get(w, i + 3)))"))
     for r in df.withColumn("f", winnow.fingerprint(F.col("text"))).select("*", winnow.positions(F.col("f")).alias("p")).collect():
-        h = [x & winnow.HASH_MASK for x in r["h"]] if r["text"] else []
-        if 0 < len(r["text"]) < 16:
-            h = h[:1]
+        assert len(r["w"]) == len(WORD.findall(r["text"]))
+        h = [x & winnow.HASH_MASK for x in r["h"]] if r["w"] else []
         chosen = []
-        for i in range(max(1, len(h) - 15) if h else 0):
-            window = h[i : i + 16]
+        for i in range(max(1, len(h) - 3) if h else 0):
+            window = h[i : i + 4]
             at = max(j for j, x in enumerate(window) if x == min(window)) + i
             if at not in chosen:
                 chosen.append(at)

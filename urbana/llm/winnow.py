@@ -1,8 +1,9 @@
 """Document fingerprints by winnowing, in column expressions alone.
 
-Every k-gram of characters is hashed; of each window of ``w`` neighbouring k-grams the smallest hash is chosen,
-the rightmost of equal ones, and the choices are kept with their positions. Two texts that share ``w + k - 1``
-characters in a row share a choice. A text shorter than ``w + k - 1`` is one window, one shorter than ``k`` one gram.
+Every k-gram of words is hashed; of each window of ``w`` neighbouring k-grams the smallest hash is chosen, the
+rightmost of equal ones, and the choices are kept with their positions. Two texts that share ``w + k - 1`` words in
+a row share a choice. A text of fewer words than that is one window, one of fewer than ``k`` one gram. Words stand
+between ASCII white space.
 """
 
 from __future__ import annotations
@@ -10,9 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAM = 16
-WINDOW = 16
-BLOCK = 240  # characters whose grams are cut from one short string, so that cutting does not walk the whole text
+GRAM = 5
+WINDOW = 4
 POSITION_BITS = 24
 POSITIONS = (1 << POSITION_BITS) - 1
 HASH_MASK = (1 << (62 - POSITION_BITS)) - 1
@@ -25,18 +25,18 @@ def _let(value: Column, body) -> Column:
 
 def packed_grams(text: Column, gram: int = GRAM) -> Column:
     """For each k-gram its hash, above the position counted backwards: the least is the least hash, of equals the rightmost."""
-    blocks = F.regexp_extract_all(text, F.lit(rf"(?s)(?=(.{{1,{BLOCK + gram - 1}}})).{{1,{BLOCK}}}"), F.lit(1))
+    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
 
     def pack(of: Column, at: Column) -> Column:
-        return F.shiftleft(F.xxhash64(of).bitwiseAND(F.lit(HASH_MASK)), POSITION_BITS).bitwiseOR(F.lit(POSITIONS) - F.pmod(at, F.lit(POSITIONS + 1)))
+        return F.shiftleft(of.bitwiseAND(F.lit(HASH_MASK)), POSITION_BITS).bitwiseOR((F.lit(POSITIONS) - at).bitwiseAND(F.lit(POSITIONS)))
 
-    def of_block(block: Column, number: Column) -> Column:
-        last = F.length(block) - F.lit(gram - 1)
-        grams = F.transform(F.sequence(F.lit(1), last), lambda i: pack(F.substring(block, i, F.lit(gram)), number.cast("long") * BLOCK + i))
-        return F.when(last >= 1, grams).otherwise(F.array().cast("array<bigint>"))
+    def grams(hashed: Column) -> Column:
+        n = F.greatest(F.size(hashed) - F.lit(gram - 1), F.lit(1))
+        # get() gives null past the end, which the hash leaves out: a short text is one gram.
+        every = F.transform(F.sequence(F.lit(1), n), lambda i: pack(F.xxhash64(*[F.get(hashed, i + (j - 1)) for j in range(gram)]), i))
+        return F.when(F.size(hashed) > 0, every).otherwise(F.array().cast("array<bigint>"))
 
-    short = F.when(F.length(text) > 0, F.array(pack(text, F.lit(1).cast("long")))).otherwise(F.array().cast("array<bigint>"))
-    return F.when(F.length(text) < gram, short).otherwise(F.flatten(F.transform(blocks, of_block)))
+    return _let(F.transform(words, lambda w: F.xxhash64(w)), grams)
 
 
 def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
@@ -44,7 +44,8 @@ def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
 
     def choose(grams: Column) -> Column:
         windows = F.greatest(F.size(grams) - F.lit(window - 1), F.lit(1))
-        least = F.transform(F.sequence(F.lit(1), windows), lambda i: F.array_min(F.slice(grams, i, F.lit(window))))
+        # least() leaves out nulls past the end: a short text is one window.
+        least = F.transform(F.sequence(F.lit(0), windows - 1), lambda i: F.least(*[F.get(grams, i + j) for j in range(window)]))
         return F.when(F.size(grams) > 0, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
 
     return _let(packed_grams(F.coalesce(text, F.lit("")), gram), choose)
@@ -55,7 +56,7 @@ def hashes(chosen: Column) -> Column:
 
 
 def positions(chosen: Column) -> Column:
-    """Where the chosen grams start in the text, from 1 (modulo 2**24)."""
+    """The number of the word that each chosen gram starts at, from 1 (modulo 2**24)."""
     return F.transform(chosen, lambda x: F.lit(POSITIONS) - x.bitwiseAND(F.lit(POSITIONS)))
 
 
