@@ -7,7 +7,7 @@ import zlib
 import numpy as np
 
 STRIP = bytes(x for x in range(128) if not chr(x).isalnum())
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 
 
 def normal(word: bytes) -> str:
@@ -19,25 +19,36 @@ def buckets(word: str, size: int, least: int = 3, most: int = 5) -> list[int]:
     """Buckets of the n-grams of ``<word>``; an empty word has none."""
     if not word:
         return []
-    padded = f"<{word[:64]}>"
-    grams = [padded[i : i + n] for n in range(least, most + 1) for i in range(len(padded) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "replace")) % size for g in grams]
+    padded, crc = f"<{word[:64]}>", zlib.crc32
+    if padded.isascii():
+        raw = padded.encode()
+        return [crc(raw[i : i + n]) % size for n in range(least, most + 1) for i in range(len(raw) - n + 1)]
+    return [crc(padded[i : i + n].encode("utf-8", "replace")) % size for n in range(least, most + 1) for i in range(len(padded) - n + 1)]
 
 
 class WordScores(dict):
-    """The mean weight of a word's buckets, by its raw bytes, up to a bound of entries."""
+    """The mean weight of a word's buckets, by its raw bytes; words that look alike once normalised are computed once. Both tables are bounded."""
 
     def __init__(self, weights: np.ndarray, normalise=normal, least: int = 3, most: int = 5):
         super().__init__()
-        self.weights, self.normalise, self.least, self.most = weights, normalise, least, most
+        self.weights, self.normalise, self.least, self.most = weights.tolist(), normalise, least, most
+        self.of_normal: dict[str, float] = {}
 
     def __missing__(self, word: bytes) -> float:
-        at = buckets(self.normalise(word), len(self.weights), self.least, self.most)
-        got = float(self.weights[at].mean()) if at else 0.0
+        plain = self.normalise(word)
+        got = self.of_normal.get(plain)
+        if got is None:
+            got = self.mean(plain)
+            if len(self.of_normal) < CACHED_WORDS and len(plain) <= 64:
+                self.of_normal[plain] = got
         if len(self) < CACHED_WORDS and len(word) <= 64:
             self[word] = got
         return got
 
+    def mean(self, word: str) -> float:
+        at, weights = buckets(word, len(self.weights), self.least, self.most), self.weights
+        return sum([weights[i] for i in at]) / len(at) if at else 0.0
+
 
 class Bags:
     """Windows of words as bags of words, and words as bags of buckets, for training in numpy."""
