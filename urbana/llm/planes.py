@@ -22,13 +22,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbana.llm.arrow import texts
+from urbana.llm.arrow import slices, texts
 from urbana.llm.pieces import Words
 
 MAGIC = b"URBPLN01"
 BLOCK = 65536  # ids of a block
 FILE_IDS = 1 << 20  # a file image is closed when it has as many ids
 LEVEL = 3
+PIECES = 100_000  # pieces of words a worker keeps
 
 
 # --- the file format ------------------------------------------------------------------------------
@@ -117,10 +118,21 @@ class ByteLevel:
         # White space other than a space or line end, and two of those together.
         self.other_space = ["  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
         self.word = re.compile(r" ?\S+|\s+(?!\S)|\s+")
-        self.whole = lambda t: np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
-        self.plain = Words(self.whole)
-        self.spaced = Words(lambda w: self.whole(" " + w))
-        self.newline = self.whole("\n")
+        self.tok, self.model, self.pretokens = tok, tok.model, tok.pre_tokenizer.pre_tokenize_str
+        self.pieces = Words(self.piece, PIECES)
+        self.plain = Words(self.part)
+        self.spaced = Words(lambda w: self.part(" " + w))
+        self.newline = self.part("\n")
+
+    def piece(self, piece: str) -> bytes:
+        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+
+    def part(self, text: str) -> bytes:
+        """Ids of a text without special tokens."""
+        return b"".join([self.pieces[p] for p, _ in self.pretokens(text)])
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -165,7 +177,7 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
             image = dump(names, [len(x) // 4 for x in parts], ids, block, bit)
             return pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([seq], pa.int64()), pa.array([len(ids)], pa.int64()), pa.array([start], pa.int64()), pa.array([image], pa.binary())], names=["part", "seq", "n_ids", "part_start", "content"])
 
-        for b in batches:
+        for b in slices(batches):
             for i, t in zip(b.column(0).to_pylist(), texts(b, "text"), strict=True):
                 names.append(i)
                 parts.append(model.encode(t.decode()) + end)
