@@ -20,6 +20,7 @@ COUNTS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigin
 SYMBOLS = b"#*$%&|<>"
 MAX_HOST_RATE = 0.5
 MIN_HOST_SPREAD = 1e-6
+SALTS = 32  # parts that a host's documents are dealt to for the join with its verdict
 
 
 def counts(text: bytes) -> tuple[int, int, int, int, int]:
@@ -56,8 +57,8 @@ def judge(counted: DataFrame, host: str = "source", max_host_rate: float = MAX_H
 
     Base: under 50 words, or over half of the words in repeated 3-word windows. Soft: a symbol for every
     10 words, or 3 of 10 words' worth of repeated lines, or a mean word under 3 or over 12 characters.
-    Rows without a host are one host of their own. The join on hosts is an equi join of narrow rows, which
-    AQE splits where a host is hot; counts per host are partial sums before the shuffle.
+    Rows without a host are one host of their own. Counts per host are partial sums before the shuffle; for the join
+    with the verdicts, each host's documents are dealt to ``SALTS`` parts and its one verdict is repeated.
     """
     base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     soft = F.expr("10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_words OR word_chars < 3 * n_words OR word_chars > 12 * n_words")
@@ -71,6 +72,7 @@ def judge(counted: DataFrame, host: str = "source", max_host_rate: float = MAX_H
     verdicts = hosts.crossJoin(F.broadcast(prior)).select(  # the prior is one row
         "__host", ((F.col("m") * F.col("strength") + F.col("f")) / (F.col("strength") + F.col("n"))).alias("host_rate")
     )
-    out = marked.join(verdicts, "__host")
+    salted = verdicts.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
+    out = marked.withColumn("__salt", F.floor(F.rand(11) * SALTS).cast("int")).join(salted, ["__host", "__salt"]).drop("__salt")
     kept = ~F.col("base_failed") & ~(F.col("soft_failed") & (F.col("host_rate") > max_host_rate))
     return out.withColumn("kept", kept).drop("__host")
