@@ -15,10 +15,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urbana.llm.arrow import texts
+from urbana.llm.arrow import slices, texts
+from urbana.session import cut
 
 MIN_CHARS = 10
 SPACE = b" \t\n\x0b\x0c\r"
+HOT_KEYS = 4096
 LAST = 2**63 - 1  # rows without an id count as one document after all others
 
 
@@ -34,7 +36,7 @@ def line_keys(docs: DataFrame, id_col: str, text: str, min_chars: int) -> DataFr
     """``(doc, key)`` for each distinct long key of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             ids, keys = [], []
             for i, t in zip(b.column(0).to_pylist(), texts(b, "text"), strict=True):
                 own = {line_key(x, min_chars) for x in t.split(b"\n")} - {None}
@@ -55,13 +57,17 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     last. Other columns pass through. An empty table gives an empty result.
     """
     keys = line_keys(docs, id_col, text, min_chars)
-    if min_docs == 2:
-        shared = keys.groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last")).where("first < last")
-    else:
-        shared = keys.distinct().groupBy("key").agg(F.min("doc").alias("first"), F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_docs)
+    counted = (keys if min_docs == 2 else keys.distinct()).groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
+    shared = cut(counted.where("first < last" if min_docs == 2 else F.col("n") >= min_docs).select("key", "first", "n"))
+    total = shared.agg(F.sum("n")).first()[0] or 0
+    # Of all rows with a shared key at most HOT_KEYS keys can hold more than 1 / HOT_KEYS each: these few are broadcast,
+    # and their rows don't meet in one task. The others join by key.
+    hot = F.broadcast(shared.where(F.col("n") > total / HOT_KEYS).select("key", F.col("first").alias("hot_first")))
+    marked = keys.join(hot, "key", "left").withColumn("cold", F.when(F.col("hot_first").isNull(), F.col("key")).otherwise(F.concat("key", F.col("doc").cast("string").cast("binary"))))
+    cold = shared.where(F.col("n") <= total / HOT_KEYS).select(F.col("key").alias("cold"), "first")
     lost = (
-        keys.join(shared.select("key", "first"), "key")
-        .where("doc > first")
+        marked.join(cold, "cold", "left")
+        .where(F.col("doc") > F.coalesce("hot_first", "first"))
         .groupBy("doc")
         .agg(F.collect_set("key").alias("__lost"))
         .withColumnRenamed("doc", "__doc")
@@ -71,7 +77,7 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     out = T.StructType([docs.schema[c] for c in kept]).add("n_lines", "long").add("n_dropped", "long")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches):
             whole, counts, drops = [], [], []
             for t, gone in zip(texts(b, text), b.column(b.schema.get_field_index("__lost")).to_pylist(), strict=True):
                 lines = t.split(b"\n")
