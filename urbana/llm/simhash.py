@@ -30,6 +30,7 @@ from urbana.session import cut
 SEED = 42
 SAMPLE = 16384  # fingerprints that the top of the tree is fitted on
 LEAF = 384  # fingerprints of a leaf that are compared with each other
+SALTS = 16  # parts of a component where its members join its smallest id
 SHARD = 32768  # fingerprints a shard should hold at most
 
 
@@ -234,10 +235,14 @@ def components(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str
     """
     rows = cut(with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), "text", shingle, how.bits, ["doc_id"]))
     classes = cut(rows.groupBy("simhash").agg(F.min("doc_id").alias("low")))
-    found = connected_components(links(classes, how)).select(F.col("node").alias("simhash"), "component")
-    rooted = classes.join(found, "simhash", "left").select("simhash", "low", F.coalesce("component", "simhash").alias("root"))
-    lowest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    return rows.join(rooted.join(lowest, "root").select("simhash", "component_id"), "simhash").select("doc_id", "simhash", "component_id")
+    found = connected_components(links(classes, how)).select(F.col("node").alias("simhash"), F.col("component").alias("root"))
+    linked = classes.join(found, "simhash")
+    # A component can hold a large share of all fingerprints: its one smallest id meets them in ``SALTS`` parts.
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    lowest = linked.groupBy("root").agg(F.min("low").alias("component_id")).withColumn("salt", salts)
+    named = linked.withColumn("salt", F.pmod(F.xxhash64("simhash"), F.lit(SALTS)).cast("int")).join(lowest, ["root", "salt"]).select("simhash", "component_id")
+    every = classes.join(named, "simhash", "left").select("simhash", F.coalesce("component_id", "low").alias("component_id"))
+    return rows.join(every, "simhash").select("doc_id", "simhash", "component_id")
 
 
 def keep_one(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
