@@ -226,16 +226,18 @@ def test_weak_labels_against_true_ones(spark):
     assert got.kept[got.quality == 1].mean() > 0.95 and (~got.kept[got.quality == 0]).mean() > 0.95
 
 
-def test_em_finds_the_labellers():
+def test_em_finds_two_kinds_of_bad_documents():
     rng = np.random.default_rng(0)
-    good = rng.random(20_000) < 0.8
-    right = np.array([0.95, 0.9, 0.85, 0.8, 0.75, 0.7])
-    votes = np.where(rng.random((20_000, 6)) < right, good[:, None], ~good[:, None]).astype(int)
+    kind = rng.choice(3, 20_000, p=[0.85, 0.1, 0.05])  # good, bad as the first three labellers see it, bad as the others do
+    bad = np.array([[0.01] * 6, [0.9, 0.8, 0.7, 0.01, 0.01, 0.01], [0.01, 0.01, 0.01, 0.9, 0.8, 0.7]])[kind]
+    votes = np.where(rng.random((20_000, 6)) < bad, weak_quality.BAD, rng.choice([weak_quality.GOOD, weak_quality.NONE], (20_000, 6)))
     patterns: dict = {}
-    for v in map(tuple, votes):
+    for v in map(tuple, votes.tolist()):
         patterns[v] = patterns.get(v, 0) + 1
-    share, p = weak_quality.estimate(patterns)
-    assert abs(share - 0.8) < 0.03 and np.abs(p[:, 1, 1] - right).max() < 0.03 and np.abs(p[:, 0, 0] - right).max() < 0.05
+    shares, p = weak_quality.estimate(patterns)
+    assert abs(shares[0] - 0.85) < 0.03 and p[:, 0, weak_quality.BAD].max() < 0.03
+    found = weak_quality.posterior(votes, shares, p) >= 0.5
+    assert (found == (kind == 0)).mean() > 0.97
 
 
 def test_weak_quality_odd_rows(odd):
