@@ -29,7 +29,8 @@ MAGIC = b"URBPLN01"
 BLOCK = 65536  # ids of a block
 FILE_IDS = 1 << 20  # a file image is closed when it has as many ids
 LEVEL = 3
-PIECES = 100_000  # pieces of words a worker keeps
+WORDS = 300_000  # words a worker keeps
+PIECES = 400_000  # pieces of words a worker keeps
 
 
 # --- the file format ------------------------------------------------------------------------------
@@ -119,16 +120,26 @@ class ByteLevel:
         self.other_space = ["  ", " \n", "\n ", "\n\n", *(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")]
         self.word = re.compile(r" ?\S+|\s+(?!\S)|\s+")
         self.tok, self.model, self.pretokens = tok, tok.model, tok.pre_tokenizer.pre_tokenize_str
+        # How the library writes bytes as letters: printable Latin-1 stands for itself, the others for letters from U+0100.
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = iter(range(256, 512))
+        self.letters = {b: chr(b) if b in printable else chr(next(others)) for b in range(256)}
         self.pieces = Words(self.piece, PIECES)
-        self.plain = Words(self.part)
-        self.spaced = Words(lambda w: self.part(" " + w))
+        self.plain = Words(self.part, WORDS)
+        self.spaced = Words(lambda w: self.part(" " + w), WORDS)
         self.newline = self.part("\n")
 
     def piece(self, piece: str) -> bytes:
-        return np.array([t.id for t in self.model.tokenize(piece)], "<u4").tobytes()
+        return struct.pack(f"<{len(ids)}I", *ids) if (ids := [t.id for t in self.model.tokenize(piece)]) else b""
 
     def part(self, text: str) -> bytes:
-        """Ids of a text without special tokens."""
+        """Ids of a text without special tokens. A Latin word, with or without one mark after it, is split here, others by the library."""
+        end = text[-1:]
+        core = text[:-1] if end in ".,!" and end else text
+        word = core[1:] if core[:1] == " " else core
+        if word.isalpha() and (word.isascii() or max(word) < "\u0250"):
+            mapped = core.encode().decode("latin-1").translate(self.letters)
+            return self.pieces[mapped] if core is text else self.pieces[mapped] + self.pieces[end]
         return b"".join([self.pieces[p] for p, _ in self.pretokens(text)])
 
     def whole(self, text: str) -> bytes:
