@@ -8,9 +8,9 @@ from pyspark.sql import functions as F
 from urbana.llm import line_dedup, packing, quality_rules, simhash, toxicity
 from urbana.session import scratch_path, table
 
-#: Five-word shingles, similarity of 0.8 or more: two 256-bit SimHashes of sets with Jaccard similarity 0.8 differ in
-#: about 39 bits (standard deviation 5.7); a pair links at 46 or fewer if one of 24 tables of 24 bits has it within 1 bit.
-NEAR = simhash.Linking(bits=256, radius=1, max_distance=46, tables=24, table_bits=24, levels=5)
+#: Five-word shingles, Jaccard similarity of 0.8 or more, exactly. Candidates: two 256-bit SimHashes of sets with similarity 0.8
+#: differ in about 39 bits (standard deviation 5.7); a pair is one at 56 or fewer if one of 24 tables of 20 bits has it within 1 bit.
+NEAR = simhash.Linking(bits=256, radius=1, max_distance=56, tables=24, table_bits=20, levels=5, jaccard=0.8)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

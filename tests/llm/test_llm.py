@@ -109,6 +109,54 @@ def test_near_copies_go_and_others_stay(spark):
     assert {i for i, _ in rows} - copies <= kept and len(kept & copies) <= 1
 
 
+def shingle_set(t: str) -> set:
+    w = t.lower().split()
+    return {tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))}
+
+
+def test_near_dedup_is_exact_jaccard(spark):
+    import corpus_pipeline
+
+    rnd = random.Random(11)
+    rows, sets = [], []
+    for i in range(150):
+        w = [f"{rnd.choice('abcdefgh')}{rnd.randrange(4000)}" for _ in range(200)]
+        v = list(w)
+        for k in rnd.sample(range(10, 190), (2, 3, 4, 5, 6, 7, 8)[i % 7]):
+            v[k] = f"x{rnd.randrange(4000)}"
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join(v))]
+    sets = [shingle_set(t) for _, t in rows]
+    alike = [len(sets[2 * i] & sets[2 * i + 1]) / len(sets[2 * i] | sets[2 * i + 1]) >= 0.8 for i in range(150)]
+    got = {r["doc_id"]: r["component_id"] for r in simhash.components(spark.createDataFrame(rows, "doc_id long, text string"), corpus_pipeline.NEAR, shingle=5).collect()}
+    linked = [got[2 * i + 1] == 2 * i for i in range(150)]
+    assert not any(x and not y for x, y in zip(linked, alike, strict=True))
+    assert sum(linked) >= 0.96 * sum(alike) and 40 < sum(alike) < 120
+    # A passage repeated often does not make texts alike that share nothing else.
+    tail = " ".join(f"r{i}" for i in range(12))
+    twins = [(i, " ".join([tail] * 40 + [f"u{i}x{k}" for k in range(60)])) for i in range(2)]
+    assert simhash.keep_one(spark.createDataFrame(twins, "doc_id long, text string"), corpus_pipeline.NEAR).count() == 2
+
+
+def test_large_groups_of_sets_are_split_and_nothing_is_lost(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    core = rng.integers(0, 2**63, 60)
+    sets = [np.unique(np.concatenate([core[: 60 - i % 4], rng.integers(0, 2**63, i % 13)])).astype(np.uint64) for i in range(200)]
+    want = np.arange(200)
+    for i in range(200):
+        for j in range(i):
+            if len(np.intersect1d(sets[i], sets[j])) >= 0.8 * len(np.union1d(sets[i], sets[j])):
+                a, b = sorted((want[i], want[j]))
+                want[want == b] = a
+    frame = spark.createDataFrame([(b"g", b"%03d" % i, bytes(x.tobytes())) for i, x in enumerate(sets)], "grp binary, item binary, data binary")
+    for cap in (1 << 24, 20_000, 2_000):
+        monkeypatch.setattr(simhash, "SET_BYTES", cap)
+        found = np.arange(200)
+        for r in simhash.alike(frame, 0.8).collect():
+            a, b = sorted((found[int(bytes(r["a"]))], found[int(bytes(r["b"]))]))
+            found[found == b] = a
+        assert (found == want).all()
+
+
 # --- op2, op5 --------------------------------------------------------------------------------------
 
 

@@ -9,6 +9,9 @@ until its leaves are small, and compares the fingerprints of a leaf.
 
 Equal fingerprints are one class from the start, shards emit a spanning forest instead of pairs, and the
 forests meet in distributed connected components.
+
+With ``Linking.jaccard`` the links found so are candidates only: inside each component of candidates the sets of hashed
+shingles are compared, and documents are linked by their exact Jaccard similarity.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from urbana.llm import bounded
 from urbana.llm.arrow import with_columns
 from urbana.operators.graph import connected_components
 from urbana.session import cut
@@ -32,6 +36,7 @@ SAMPLE = 16384  # fingerprints that the top of the tree is fitted on
 LEAF = 384  # fingerprints of a leaf that are compared with each other
 SALTS = 16  # parts of a component where its members join its smallest id
 SHARD = 32768  # fingerprints a shard should hold at most
+SET_BYTES = 1 << 24  # shingle sets that a task compares at most; one larger set may come with others
 
 
 @dataclass(frozen=True)
@@ -39,7 +44,9 @@ class Linking:
     """How fingerprints link: ``tables`` of (bit positions, radius), and the greatest distance of the whole fingerprints.
 
     With one table of all bits and ``max_distance == radius`` the linking is exact. With several tables over
-    fewer bits, two fingerprints link if they are within ``max_distance`` and within ``radius`` in a table.
+    fewer bits, two fingerprints link if they are within ``max_distance`` and within ``radius`` in a table. With
+    ``jaccard``, such fingerprints of distinct shingles are candidates, and texts link if the Jaccard similarity of their
+    shingle sets is that or more.
     """
 
     bits: int = 64
@@ -48,6 +55,7 @@ class Linking:
     tables: int = 1
     table_bits: int = 64
     levels: int = 8
+    jaccard: float | None = None
 
     def positions(self) -> list[np.ndarray]:
         if self.tables == 1 and self.table_bits == self.bits:
@@ -56,18 +64,28 @@ class Linking:
         return [np.sort(rng.permutation(self.bits)[: self.table_bits]) for _ in range(self.tables)]
 
 
-def fingerprint(words: list[bytes], shingle: int, bits: int) -> bytes:
-    """Majority bits of the shingles' XXH64 (further 64-bit words: a mix of it); no words: zero bytes."""
+def shingles(words: list[bytes], shingle: int) -> np.ndarray:
+    """XXH64 of each shingle, in the order of the text; fewer words are one shingle."""
     n = len(words)
     if not n:
-        return bytes(bits // 8)
+        return np.zeros(0, np.uint64)
     joined = b" ".join(words)
     k = min(shingle, n)
     lengths = np.fromiter(map(len, words), np.int64, n)
     ends = np.cumsum(lengths + 1) - 1
     starts = ends - lengths
     digest = xxhash.xxh64_intdigest
-    h = np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: n - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
+    return np.array([digest(joined[a:b], SEED) for a, b in zip(starts[: n - k + 1].tolist(), ends[k - 1 :].tolist(), strict=True)], np.uint64)
+
+
+def fingerprint(words: list[bytes], shingle: int, bits: int) -> bytes:
+    """Majority bits of the shingles' XXH64 (further 64-bit words: a mix of it); no words: zero bytes."""
+    return majority(shingles(words, shingle), bits)
+
+
+def majority(h: np.ndarray, bits: int) -> bytes:
+    if not len(h):
+        return bytes(bits // 8)
     out = []
     for i in range(bits // 64):
         x = h if i == 0 else _mix(h + np.uint64((i * 0x9E3779B97F4A7C15) % 2**64))
@@ -233,16 +251,107 @@ def components(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str
     ``component_id`` is the smallest id whose fingerprint is reachable over links, null only if every such id
     is null. Empty texts share the zero fingerprint. Repeated rows stay. An empty table gives an empty result.
     """
+    if how.jaccard is not None:
+        return similar(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), how, shingle)
     rows = cut(with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), "text", shingle, how.bits, ["doc_id"]))
     classes = cut(rows.groupBy("simhash").agg(F.min("doc_id").alias("low")))
-    found = connected_components(links(classes, how)).select(F.col("node").alias("simhash"), F.col("component").alias("root"))
-    linked = classes.join(found, "simhash")
-    # A component can hold a large share of all fingerprints: its one smallest id meets them in ``SALTS`` parts.
+    return rows.join(_lowest(classes, links(classes, how), "simhash"), "simhash").select("doc_id", "simhash", "component_id")
+
+
+def _lowest(classes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
+    """``(key, component_id)``: the smallest ``low`` of the component of each row of ``classes(key, low)``."""
+    found = connected_components(edges).select(F.col("node").alias(key), F.col("component").alias("root"))
+    linked = classes.join(found, key)
+    # A component can hold a large share of all classes: its one smallest id meets them in ``SALTS`` parts.
     salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
     lowest = linked.groupBy("root").agg(F.min("low").alias("component_id")).withColumn("salt", salts)
-    named = linked.withColumn("salt", F.pmod(F.xxhash64("simhash"), F.lit(SALTS)).cast("int")).join(lowest, ["root", "salt"]).select("simhash", "component_id")
-    every = classes.join(named, "simhash", "left").select("simhash", F.coalesce("component_id", "low").alias("component_id"))
-    return rows.join(every, "simhash").select("doc_id", "simhash", "component_id")
+    named = linked.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")).join(lowest, ["root", "salt"]).select(key, "component_id")
+    return classes.join(named, key, "left").select(key, F.coalesce("component_id", "low").alias("component_id"))
+
+
+# --- exact similarity of candidates ------------------------------------------------------------------
+
+
+def similar(docs: DataFrame, how: Linking, shingle: int) -> DataFrame:
+    """As ``components``, by the exact Jaccard similarity of the texts whose fingerprints are connected.
+
+    Equal shingle sets are one class. Every two sets of a component of candidates are compared, also those that met in no table.
+    """
+    marked = docs.withColumn("mark", F.xxhash64(F.coalesce("text", F.lit(""))))
+
+    def outline(batch: list[bytes]) -> list[pa.Array]:
+        sets = [np.unique(shingles(t.lower().split(), shingle)) for t in batch]
+        return [pa.array([majority(h, how.bits) for h in sets], pa.binary()), pa.array([xxhash.xxh3_128_digest(h.tobytes(), SEED) for h in sets], pa.binary())]
+
+    def members(batch: list[bytes]) -> list[pa.Array]:
+        return [pa.array([np.unique(shingles(t.lower().split(), shingle)).tobytes() for t in batch], pa.large_binary()).cast(pa.binary())]
+
+    rows = cut(with_columns(marked, "text", "simhash binary, item binary", outline, ["doc_id", "mark"]))
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("mark").alias("mark"))
+    classes = cut(rows.groupBy("item").agg(F.min(first).alias("low"), F.min("simhash").alias("simhash")))
+    prints = cut(classes.groupBy("simhash").agg(F.count(F.lit(1)).alias("sets")))
+    near = connected_components(links(prints, how)).select(F.col("node").alias("simhash"), F.col("component").alias("grp"))
+    candidates = prints.join(near, "simhash", "left").where("grp IS NOT NULL OR sets > 1").select("simhash", F.coalesce("grp", "simhash").alias("grp"))
+    asked = classes.join(candidates, "simhash").select("low.mark", F.col("low.id").alias("id"), "item", "grp")
+    texts = marked.alias("d").join(asked.alias("c"), (F.col("d.mark") == F.col("c.mark")) & F.col("d.doc_id").eqNullSafe(F.col("c.id"))).select("grp", "item", "text")
+    sets = with_columns(texts, "text", "data binary", members, ["grp", "item"])
+    edges = alike(sets, how.jaccard)
+    every = _lowest(classes.select("item", "low"), edges, "item").select("item", F.col("component_id.id").alias("component_id"))
+    return rows.join(every, "item").select("doc_id", "simhash", "component_id")
+
+
+def alike(sets: DataFrame, least: float) -> DataFrame:
+    """A spanning forest ``(a, b)`` of the links between items of a group of ``sets(grp, item, data)`` with Jaccard similarity ``least`` or more."""
+    reach = 1 - least + 1e-9
+    stars, rest = bounded.split(sets, jaccard_distances, reach, SET_BYTES)
+
+    def link(group: pa.Table) -> pa.Table:
+        items, data = group.column("item").to_pylist(), group.column("data").to_pylist()
+        pairs = alike_pairs([np.frombuffer(x, np.uint64) for x in data], reach)
+        return pa.table({"a": pa.array([items[i] for i, _ in pairs], pa.binary()), "b": pa.array([items[j] for _, j in pairs], pa.binary())})
+
+    found = rest.groupBy("grp", "part").applyInArrow(link, "a binary, b binary")
+    return found if stars is None else found.unionByName(stars)
+
+
+def jaccard_distances(data: list[bytes], centres: list[bytes]) -> np.ndarray:
+    """1 - Jaccard similarity of each set to its centre."""
+    out = np.empty(len(data))
+    for i, (x, c) in enumerate(zip(data, centres, strict=True)):
+        a, b = np.frombuffer(x, np.uint64), np.frombuffer(c, np.uint64)
+        both = len(np.intersect1d(a, b, assume_unique=True))
+        out[i] = 1 - both / max(len(a) + len(b) - both, 1)
+    return out
+
+
+def alike_pairs(sets: list[np.ndarray], reach: float) -> list[tuple[int, int]]:
+    """Pairs within ``reach`` whose components are those of all such pairs: each set is compared with those that are still open."""
+    pairs: list[tuple[int, int]] = []
+    if len(sets) < 2:
+        return pairs
+    n = np.array(list(map(len, sets)))
+    tokens, at = np.unique(np.concatenate(sets), return_inverse=True)
+    parts = np.split(at, np.cumsum(n)[:-1])
+    left, flat, starts = np.arange(len(sets)), at, np.cumsum(n) - n
+    mark, packed = np.zeros(len(tokens), np.int32), len(sets)
+    while len(left) > 1:
+        if len(left) < packed // 2:
+            flat, packed = np.concatenate([parts[i] for i in left]), len(left)
+            starts = np.zeros(len(sets), np.int64)
+            starts[left] = np.cumsum(n[left]) - n[left]
+        centre = left[0]
+        mark[parts[centre]] = 1
+        sums = np.concatenate([[0], np.cumsum(mark[flat])])
+        both = sums[starts[left] + n[left]] - sums[starts[left]]
+        mark[parts[centre]] = 0
+        far = 1 - both / np.maximum(n[left] + n[centre] - both, 1)
+        near = far <= reach
+        pairs += [(int(centre), int(i)) for i in left[near] if i != centre]
+        outside = far[~near]
+        if not len(outside):
+            break
+        left = left[(far >= outside.min() - reach - 1e-9) & (left != centre)]
+    return pairs
 
 
 def keep_one(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
