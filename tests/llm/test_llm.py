@@ -15,7 +15,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from urbana.llm import line_dedup, packing, pieces, planes, quality_rules, queries, simhash, toxicity, url_filter, weak_quality, winnow
+from urbana.llm import line_dedup, packing, pieces, planes, quality_rules, queries, simhash, subwords, toxicity, url_filter, weak_quality, winnow
 
 SF = "/root/testdata/sf0.001"
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -294,6 +294,25 @@ def test_weak_quality_odd_rows(odd):
     assert weak_quality.classify(odd.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("joint", ["\u00a0", "_", "\u3000"])
+def test_long_tokens_are_read_to_their_end(joint):
+    rnd = random.Random(1)
+    plain = [[rnd.choice(["river", "market", "station", "garden", "evening", "window"]) for _ in range(60)] for _ in range(400)]
+    model = toxicity.train([" ".join([*w, "blorgfish"] if i % 4 == 0 else w).encode() for i, w in enumerate(plain)], [int(i % 4 == 0) for i in range(400)])
+    scorer = toxicity.Scorer(model)
+    assert scorer.score(joint.join([*plain[1], "such", "blorgfish"]).encode()) > 0.3 > scorer.score(joint.join(plain[1]).encode())
+    assert weak_quality.repeated_as_marks(joint.join(["a" * 70, "#$#"]).encode())[-1] == b"#$#"
+
+
+def test_every_gram_of_a_long_token_is_in_a_piece():
+    rnd = random.Random(2)
+    for n in (22, 64, 65, 80, 81, 85, 500):
+        word = "".join(rnd.choice("抱歉我不知道的是在有人") for _ in range(n))
+        got = [x.decode() for x in subwords.pieces_of_long([b"a", word.encode()])]
+        assert got[0] == "a" and all(any(word[i : i + 5] in x for x in got[1:]) for i in range(n - 4)) and "".join(x[:16] for x in got[1:-1]) + got[-1] == word
+    assert len(subwords.buckets("ab" * 400, 1 << 18)) == 3 * 802 - 2 - 3 - 4
+
+
 # --- op4, op10: SQL, and odd rows ------------------------------------------------------------------
 
 

@@ -2,12 +2,35 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 
 import numpy as np
 
 STRIP = bytes(x for x in range(128) if not chr(x).isalnum())
 CACHED_WORDS = 400_000
+LONG = 64  # bytes; a longer token is read in pieces
+PIECE = 16  # characters that a piece moves on; it holds as many more as an n-gram can reach over its end
+JOINTS = re.compile(r"[\s_\u200b\u2060\ufeff]+")
+
+
+def pieces_of_long(words: list[bytes], most: int = 5) -> list[bytes]:
+    """The words, with every token of over ``LONG`` bytes in parts: split at any white space of Unicode, zero-width space or
+    underscore, and parts that are still long (scripts without spaces) in pieces that hold each of their n-grams of up to ``most`` characters."""
+    if not words or max(map(len, words)) <= LONG:
+        return words
+    out: list[bytes] = []
+    for w in words:
+        if len(w) <= LONG:
+            out.append(w)
+            continue
+        for part in filter(None, JOINTS.split(w.decode("utf-8", "replace"))):
+            raw = part.encode("utf-8", "replace")
+            if len(raw) <= LONG:
+                out.append(raw)
+            else:
+                out += [part[a : a + PIECE + most - 1].encode("utf-8", "replace") for a in range(0, max(len(part) - most + 1, 1), PIECE)]
+    return out
 
 
 def normal(word: bytes) -> str:
@@ -16,10 +39,10 @@ def normal(word: bytes) -> str:
 
 
 def buckets(word: str, size: int, least: int = 3, most: int = 5) -> list[int]:
-    """Buckets of the n-grams of ``<word>``; an empty word has none."""
+    """Buckets of all n-grams of ``<word>``; an empty word has none."""
     if not word:
         return []
-    padded, crc = f"<{word[:64]}>", zlib.crc32
+    padded, crc = f"<{word}>", zlib.crc32
     if padded.isascii():
         raw = padded.encode()
         return [crc(raw[i : i + n]) % size for n in range(least, most + 1) for i in range(len(raw) - n + 1)]

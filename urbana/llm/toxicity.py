@@ -2,7 +2,7 @@
 
 A word is the mean of the vectors of its hashed character n-grams, a window of words the mean of its words, and
 a softmax over two classes stands on that. Words that never occurred share n-grams, and so vectors,
-with those that did. A document scores as its worst passage of a few words, so length does not dilute it; in training, the
+with those that did. Long tokens, as of scripts without spaces, are words piece by piece. A document scores as its worst passage of a few words, so length does not dilute it; in training, the
 longer windows of a toxic document compete: those that look clean lose their weight as the fit goes on.
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbana.llm.arrow import with_columns
-from urbana.llm.subwords import Bags, Descent, WordScores
+from urbana.llm.subwords import Bags, Descent, WordScores, pieces_of_long
 
 BUCKETS = 1 << 18
 DIMENSIONS = 6
@@ -48,7 +48,7 @@ class Scorer:
         self.bias, self.words = model.bias, WordScores(model.weights)
 
     def logit(self, text: bytes) -> float:
-        words = text.split()
+        words = pieces_of_long(text.split())
         if not words:
             return self.bias
         each = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
@@ -68,7 +68,7 @@ def train(texts: list[bytes], toxic: list[int], size: int = BUCKETS, dimensions:
         return Model(np.zeros(size), math.log(share / (1 - share)) - 3)
     pieces, doc = [], []
     for i in np.nonzero(~back)[0]:
-        got = cut(texts[i].split(), WINDOW) or [set()]
+        got = cut(pieces_of_long(texts[i].split()), WINDOW) or [set()]
         pieces += [sorted(x) for x in got]
         doc += [i] * len(got)
     doc_of = np.array(doc)

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from urbana.llm.arrow import with_columns
 from urbana.llm.quality_rules import SYMBOLS
-from urbana.llm.subwords import Bags, Descent, WordScores
+from urbana.llm.subwords import Bags, Descent, WordScores, pieces_of_long
 
 LABELLERS = ("symbols", "shouting", "runs", "variety", "word_length", "clean_marks")
 BAD, GOOD, NONE = 0, 1, 2
@@ -60,9 +60,9 @@ def votes(text: bytes) -> list[int]:
 
 
 def repeated_as_marks(text: bytes) -> list[bytes]:
-    """The words, where a word like the one before it is a mark of its own."""
+    """The words, where a word like the one before it is a mark of its own; long tokens are pieces."""
     words = text.split()
-    return [b"=" if i and w == words[i - 1] else w for i, w in enumerate(words)]
+    return pieces_of_long([b"=" if i and w == words[i - 1] else w for i, w in enumerate(words)], 3)
 
 
 def whole(word: bytes) -> str:
