@@ -304,6 +304,16 @@ def test_long_tokens_are_read_to_their_end(joint):
     assert weak_quality.repeated_as_marks(joint.join(["a" * 70, "#$#"]).encode())[-1] == b"#$#"
 
 
+def test_a_word_before_the_text_does_not_change_its_verdict():
+    table = {b"clean": 0.0, b"calm": -0.1, b"bad": 1.0, b"worse": 1.5}
+    scorer = toxicity.Scorer(toxicity.Model(np.zeros(8), 0.0))
+    scorer.words.update(table)
+    text = b"calm clean bad worse bad clean calm"
+    got = [scorer.logit(b"clean calm " * (k // 2) + b"clean " * (k % 2) + text) for k in range(7)]
+    assert got == pytest.approx([3.5 / 3] * 7)
+    assert scorer.logit(b"bad worse") == pytest.approx(2.5 / 3) and scorer.logit(b"bad") == pytest.approx(1 / 3)
+
+
 def test_every_gram_of_a_long_token_is_in_a_piece():
     rnd = random.Random(2)
     for n in (22, 64, 65, 80, 81, 85, 500):

@@ -2,7 +2,8 @@
 
 A word is the mean of the vectors of its hashed character n-grams, a window of words the mean of its words, and
 a softmax over two classes stands on that. Words that never occurred share n-grams, and so vectors,
-with those that did. Long tokens, as of scripts without spaces, are words piece by piece. A document scores as its worst passage of a few words, so length does not dilute it; in training, the
+with those that did. Long tokens, as of scripts without spaces, are words piece by piece. A document scores as its worst passage of a few
+words, wherever it begins, so length does not dilute it; in training, the
 longer windows of a toxic document compete: those that look clean lose their weight as the fit goes on.
 """
 
@@ -53,7 +54,8 @@ class Scorer:
             return self.bias
         each = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
         each = each[np.concatenate([[True], each[1:] != each[:-1]])]  # runs of one word count once
-        return float(np.add.reduceat(each, np.arange(0, len(each), PASSAGE)).max()) / PASSAGE + self.bias
+        n = max(len(each) - PASSAGE + 1, 1)  # every window of PASSAGE words; fewer words are one
+        return float(sum(each[k : k + n] for k in range(min(PASSAGE, len(each)))).max()) / PASSAGE + self.bias
 
     def score(self, text: bytes) -> float:
         return 1 / (1 + math.exp(-min(max(self.logit(text), -30.0), 30.0)))
