@@ -157,6 +157,28 @@ def test_large_groups_of_sets_are_split_and_nothing_is_lost(spark, monkeypatch):
         assert (found == want).all()
 
 
+@pytest.mark.parametrize("how", [simhash.Linking(), simhash.Linking(bits=256, radius=1, max_distance=46, tables=2, table_bits=20, levels=5)])
+def test_no_group_of_fingerprints_is_unbounded(spark, monkeypatch, how):
+    monkeypatch.setattr(simhash, "SHARD", 50)
+    monkeypatch.setattr(simhash, "LEAF", 32)
+    rng = np.random.default_rng(8)
+    size = how.bits // 8
+    one = rng.integers(0, 256, size).astype(np.uint8)
+    flip = np.packbits(rng.random((700, how.bits)) < (0.02 if size == 8 else 0.01), axis=1)
+    prints = np.unique(np.concatenate([one ^ flip, rng.integers(0, 256, (700, size)).astype(np.uint8)]), axis=0)
+    frame = spark.createDataFrame([(bytes(x.tobytes()),) for x in prints], "simhash binary")
+    stars, rest = simhash.shards(frame, how)
+    assert stars is not None and rest.groupBy("grp", "part").count().agg(F.max("count")).first()[0] <= 1.5 * 4 * 50
+    index = {bytes(x.tobytes()): i for i, x in enumerate(prints)}
+    root = simhash.forest(len(prints), iter([(np.array([index[bytes(r["a"])]]), np.array([index[bytes(r["b"])]])) for r in simhash.links(frame, how).collect()]))
+    far = np.bitwise_count(prints[:, None] ^ prints[None, :]).sum(axis=2)
+    codes = [simhash._codes(prints, p) for p in how.positions()]
+    meet = np.any([np.bitwise_count(c[:, None] ^ c[None, :]) <= how.radius for c in codes], axis=0)
+    sure = simhash.forest(len(prints), iter([np.nonzero((far <= how.max_distance) & meet)]))
+    most = simhash.forest(len(prints), iter([np.nonzero(far <= how.max_distance)]))
+    assert (root[sure] == root).all() and (most[root] == most).all()
+
+
 # --- op2, op5 --------------------------------------------------------------------------------------
 
 

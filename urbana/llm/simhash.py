@@ -36,6 +36,7 @@ SAMPLE = 16384  # fingerprints that the top of the tree is fitted on
 LEAF = 384  # fingerprints of a leaf that are compared with each other
 SALTS = 16  # parts of a component where its members join its smallest id
 SHARD = 32768  # fingerprints a shard should hold at most
+TREE = 40  # bits of a group's number below its tree
 SET_BYTES = 1 << 24  # shingle sets that a task compares at most; one larger set may come with others
 
 
@@ -203,8 +204,8 @@ def _prints(column: pa.Array, size: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, size)
 
 
-def links(prints: DataFrame, how: Linking) -> DataFrame:
-    """A spanning forest ``(a, b)`` of the links between the distinct fingerprints in ``prints(simhash)``."""
+def shards(prints: DataFrame, how: Linking) -> tuple[DataFrame | None, DataFrame]:
+    """Star links ``(a, b)`` of shards that were too large, and ``(grp, part, item)``: what of each shard is to be compared, ``4 * SHARD`` rows or so at most."""
     size, positions = how.bits // 8, how.positions()
     n = prints.count()
     share = min(1.0, SAMPLE / max(n, 1))
@@ -220,18 +221,56 @@ def links(prints: DataFrame, how: Linking) -> DataFrame:
                 continue
             for t, (tree, p) in enumerate(zip(trees, positions, strict=True)):
                 got = list(deal(tree, _codes(own, p), how.radius))
-                shard = np.concatenate([np.full(len(at), s, np.int64) for s, at in got])
+                shard = np.concatenate([np.full(len(at), (t << TREE) + s, np.int64) for s, at in got])
                 at = np.concatenate([at for _, at in got])
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(at), t, np.int32)), pa.array(shard), b.column(0).take(pa.array(at))], names=["tree", "shard", "simhash"])
+                yield pa.RecordBatch.from_arrays([pa.array(shard), b.column(0).take(pa.array(at))], names=["grp", "item"])
+
+    dealt = prints.select("simhash").mapInArrow(route, "grp bigint, item binary").withColumn("data", F.col("item"))
+    stars, rest = bounded.split(dealt, bit_distances, how.max_distance, 4 * SHARD * (size + 1))
+    return stars, rest.select("grp", "part", "item")
+
+
+def bit_distances(data: list[bytes], centres: list[bytes]) -> np.ndarray:
+    size = len(data[0])
+    a, b = (np.frombuffer(b"".join(x), np.uint8).reshape(-1, size) for x in (data, centres))
+    return np.bitwise_count(a ^ b).sum(axis=1).astype(float)
+
+
+def thinned(words: np.ndarray, reach: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """Stars of dense groups of fingerprints, as index pairs, and the indices that may have further links among them (see ``bounded``)."""
+    at, stars = np.arange(len(words)), []
+    while len(at) > LEAF:
+        probes = at[:: max(1, len(at) // 4)][:4]
+        far = min((np.bitwise_count(words[at] ^ words[c]).sum(axis=1) for c in probes), key=lambda d: -(d <= reach).sum())
+        near = far <= reach
+        keep = far >= far[~near].min() - reach if (~near).any() else np.zeros(len(at), bool)
+        if keep.mean() > 0.9:
+            break
+        centre = at[int(np.argmin(far))]
+        stars.append((np.full(int(near.sum()), centre), at[near]))
+        at = at[keep]
+    return stars, at
+
+
+def links(prints: DataFrame, how: Linking) -> DataFrame:
+    """A spanning forest ``(a, b)`` of the links between the distinct fingerprints in ``prints(simhash)``.
+
+    In a dense group also pairs within ``max_distance`` that meet in a shard only link, though no table has them within ``radius``.
+    """
+    size, positions = how.bits // 8, how.positions()
+    stars, rest = shards(prints, how)
 
     def link(group: pa.Table) -> pa.Table:
-        column = group.column("simhash").combine_chunks()
+        column = group.column("item").combine_chunks()
         own = _prints(column, size)
-        t = group.column("tree")[0].as_py()
+        t = group.column("grp")[0].as_py() >> TREE
         words = own.view(np.uint64)
+        dense, at = thinned(words, how.max_distance)
 
         def near() -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            for i, j in close_pairs(_codes(own, positions[t]), how.radius):
+            yield from dense
+            for i, j in close_pairs(_codes(own[at], positions[t]), how.radius) if len(at) else ():
+                i, j = at[i], at[j]
                 if how.bits > len(positions[t]):
                     ok = np.bitwise_count(words[i] ^ words[j]).sum(axis=1) <= how.max_distance
                     i, j = i[ok], j[ok]
@@ -241,8 +280,8 @@ def links(prints: DataFrame, how: Linking) -> DataFrame:
         leaf = np.nonzero(root != np.arange(len(own)))[0]
         return pa.table({"a": column.take(pa.array(root[leaf])), "b": column.take(pa.array(leaf))})
 
-    dealt = prints.select("simhash").mapInArrow(route, "tree int, shard bigint, simhash binary")
-    return dealt.groupBy("tree", "shard").applyInArrow(link, "a binary, b binary")
+    found = rest.groupBy("grp", "part").applyInArrow(link, "a binary, b binary")
+    return found if stars is None else found.unionByName(stars)
 
 
 def components(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str = "text", shingle: int = 3) -> DataFrame:
