@@ -79,10 +79,10 @@ class Bags:
     def __init__(self, windows: list[list[bytes]], size: int, normalise=normal, least: int = 3, most: int = 5, floor: int = 1):
         vocabulary: dict[str, int] = {}
         ids = [[vocabulary.setdefault(normalise(w), len(vocabulary)) for w in window] or [vocabulary.setdefault("", len(vocabulary))] for window in windows]
-        grams = [buckets(w, size, least, most) or [size] for w in vocabulary]  # the last bucket stays 0
+        grams = [np.array(buckets(w, size, least, most) or [size], np.int32) for w in vocabulary]  # the last bucket stays 0
         self.word_of, self.word_n = np.concatenate([np.array(x) for x in ids]), np.array(list(map(len, ids)))
         self.word_by = np.maximum(self.word_n, floor)  # a window of fewer words counts as so many
-        self.gram_of, self.gram_n = np.concatenate([np.array(x) for x in grams]), np.array(list(map(len, grams)))
+        self.gram_of, self.gram_n = np.concatenate(grams).astype(np.int64), np.array(list(map(len, grams)))
         self.word_at, self.gram_at = _starts(self.word_n), _starts(self.gram_n)
         self.window_of_word = np.repeat(np.arange(len(ids)), self.word_n)
         self.word_of_gram = np.repeat(np.arange(len(grams)), self.gram_n)

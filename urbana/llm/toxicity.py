@@ -68,10 +68,10 @@ def train(texts: list[bytes], toxic: list[int], size: int = BUCKETS, dimensions:
     if min(y_doc[~back].sum(), (1 - y_doc[~back]).sum()) < 1:
         share = (y_doc.sum() + 0.5) / (len(y_doc) + 1)
         return Model(np.zeros(size), math.log(share / (1 - share)) - 3)
-    pieces, doc = [], []
+    pieces, doc, known = [], [], {}  # one object for each different word
     for i in np.nonzero(~back)[0]:
         got = cut(pieces_of_long(texts[i].split()), WINDOW) or [set()]
-        pieces += [sorted(x) for x in got]
+        pieces += [[known.setdefault(w, w) for w in sorted(x)] for x in got]
         doc += [i] * len(got)
     doc_of = np.array(doc)
     bags = Bags(pieces, size, floor=WINDOW)
