@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -151,3 +153,26 @@ def test_pushdown_reaches_the_scan(spark):
 
     plan = QUERIES["p05_row_filters"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull" in plan and "l_comment" not in plan
+
+
+def test_a_random_chain_of_components_settles(spark):
+    order = list(range(3000))
+    random.Random(1).shuffle(order)
+    chain = spark.createDataFrame([(order[i], order[i + 1]) for i in range(2999)] + [(None, 1), (2, None)], "a long, b long")
+    assert connected_components(chain).groupBy("component").count().collect() == [(0, 3000)]
+
+
+@pytest.mark.parametrize("latitude", [-22.9, 67.0])
+def test_clusters_against_brute_force(spark, latitude):
+    rnd = random.Random(3)
+    points = [(i, rnd.choice(["a", "b", None]), latitude + rnd.uniform(-0.06, 0.06), rnd.uniform(-0.06, 0.06) / math.cos(math.radians(latitude))) for i in range(500)]
+    near = {i: i for i, *_ in points}
+    for i, k, y, x in points:
+        for j, k2, y2, x2 in points[:i]:
+            h = math.sin(math.radians(y - y2) / 2) ** 2 + math.cos(math.radians(y)) * math.cos(math.radians(y2)) * math.sin(math.radians(x - x2) / 2) ** 2
+            if k == k2 and 2 * 6_371_000 * math.asin(math.sqrt(h)) <= 500 and near[i] != near[j]:
+                low, high = sorted((near[i], near[j]))
+                near = {n: low if c == high else c for n, c in near.items()}
+    df = spark.createDataFrame([(*p, "x", 1) for p in points], "id long, tipo string, lat double, lon double, kind string, part int")
+    got = geo_clusters(df, "id", "tipo", "lat", "lon", 500.0).collect()
+    assert {r["id"]: r["cluster"] for r in got} == near and all((r["kind"], r["part"]) == ("x", 1) for r in got)

@@ -2,41 +2,88 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbana.functions.geo import haversine_m
 from urbana.operators.graph import connected_components
+from urbana.session import cut
 
 METRES_PER_DEGREE = 111_194.0
+PARTS = 8  # parts of a cell's side, for the cell pairs whose distance has to be looked at closely
+LEAST_COSINE = 0.01  # cells grow no wider than this towards the poles
 
 
 def geo_clusters(df: DataFrame, id_col: str, kind: str, lat: str, lon: str, radius_m: float) -> DataFrame:
     """``df`` with ``cluster``: the smallest id of the points of a kind linked by steps of at most ``radius_m``.
 
-    Equal points are one node from the start. Points go to latitude bands and longitude cells no smaller than the radius;
-    candidates come from an equi join with the neighbouring cells (for latitudes up to 60 degrees). A point whose
-    coordinates are null is its own cluster.
+    Points go to cells whose diagonal is the radius, so the points of a cell are one node without a pair being made; a
+    cell's width in degrees follows its latitude. Neighbouring cells are linked if one point of a part of either is
+    within the radius of one of the other's. Only where no such points are, but the parts could still hold some, are
+    the points of those parts compared. Repeated rows and equal points share a cluster. A point whose coordinates are null is
+    its own cluster. Points on either side of longitude 180 are not neighbours, nor are points within half a degree of a
+    pole linked reliably. An empty table gives an empty result.
     """
-    points = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).groupBy(kind, lat, lon).agg(F.min(id_col).alias("node"))
-    step = radius_m * 1.001 / METRES_PER_DEGREE
-    row = F.floor(F.col(lat) / step)
-    # Up to 60 degrees from the equator a cell of this width is no narrower than the radius.
-    column = F.floor(F.col(lon) / (step / 0.5))
-    placed = points.select(kind, lat, lon, "node", row.alias("row"), column.alias("col"))
-    around = placed.select(
-        F.col(kind).alias("__k"), F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), F.col("node").alias("b"), F.explode(F.sequence(F.col("row") - 1, F.col("row") + 1)).alias("__row"), "col"
-    ).select("__k", "__lat", "__lon", "b", "__row", F.explode(F.sequence(F.col("col") - 1, F.col("col") + 1)).alias("__col"))
-    on = (F.col(kind) == F.col("__k")) & (F.col("row") == F.col("__row")) & (F.col("col") == F.col("__col")) & (F.col("node") < F.col("b"))
-    near = placed.join(around, on).where(haversine_m(F.col(lat), F.col(lon), F.col("__lat"), F.col("__lon")) <= radius_m)
-    found = connected_components(near.select(F.col("node").alias("a"), "b"))
-    labelled = points.join(found, "node", "left").select(F.col(kind).alias("__k"), F.col(lat).alias("__lat"), F.col(lon).alias("__lon"), F.coalesce("component", "node").alias("cluster"))
+    side = radius_m * 0.998 / math.sqrt(2) / METRES_PER_DEGREE
+    part_diagonal = radius_m * 1.01 / PARTS
+    placed = df.where(F.col(lat).isNotNull() & F.col(lon).isNotNull()).select(F.col(kind).alias("kind"), F.col(lat).alias("lat"), F.col(lon).alias("lon"), F.col(id_col).alias("id"))
+    placed = _with_cells(placed, side)
+    cell = ["kind", "row", "col"]
+    cells = cut(placed.groupBy(*cell).agg(F.min("id").alias("node")))
+    points = placed.select(*cell, "part", "lat", "lon").distinct()
+    parts = cut(points.groupBy(*cell, "part").agg(F.min(F.struct("lat", "lon")).alias("at")))
+    around = _neighbours(parts, side, radius_m)
+    same = [F.col(f"a.{c}").eqNullSafe(F.col(f"b.{c}")) if c == "kind" else F.col(f"a.{c}") == F.col(f"b.{c}") for c in cell]
+    metres = haversine_m(F.col("a.at.lat"), F.col("a.at.lon"), F.col("b.at.lat"), F.col("b.at.lon"))
+    met = parts.alias("a").join(around.alias("b"), same).withColumn("metres", metres).where(F.col("metres") <= radius_m + 2 * part_diagonal)
+    pair = [F.col("a.kind").alias("kind"), F.col("a.row").alias("row"), F.col("a.col").alias("col"), F.col("b.from_row").alias("row2"), F.col("b.from_col").alias("col2")]
+    close = cut(met.select(*pair, F.col("a.part").alias("part"), F.col("b.part").alias("part2"), "metres"))
+    cell_pair = ["kind", "row", "col", "row2", "col2"]
+    surely = close.where(F.col("metres") <= radius_m).select(*cell_pair).distinct()
+    open_parts = close.alias("o").join(surely.alias("s"), [F.col("o.kind").eqNullSafe(F.col("s.kind")), *[F.col(f"o.{c}") == F.col(f"s.{c}") for c in cell_pair[1:]]], "left_anti").drop("metres")
+    one = points.alias("p").join(open_parts.alias("o"), [F.col("p.kind").eqNullSafe(F.col("o.kind")), *[F.col(f"p.{c}") == F.col(f"o.{c}") for c in ("row", "col", "part")]])
+    one = one.select("o.*", "p.lat", "p.lon")
+    two = one.alias("o").join(points.alias("q"), [F.col("o.kind").eqNullSafe(F.col("q.kind")), F.col("o.row2") == F.col("q.row"), F.col("o.col2") == F.col("q.col"), F.col("o.part2") == F.col("q.part")])
+    found = two.where(haversine_m(F.col("o.lat"), F.col("o.lon"), F.col("q.lat"), F.col("q.lon")) <= radius_m).select("o.kind", "o.row", "o.col", "o.row2", "o.col2")
+    linked = surely.unionByName(found.distinct())
+    ends = linked.alias("l").join(cells.alias("x"), [F.col("l.kind").eqNullSafe(F.col("x.kind")), F.col("l.row") == F.col("x.row"), F.col("l.col") == F.col("x.col")])
+    ends = ends.join(cells.alias("y"), [F.col("l.kind").eqNullSafe(F.col("y.kind")), F.col("l.row2") == F.col("y.row"), F.col("l.col2") == F.col("y.col")])
+    groups = connected_components(ends.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")))
+    named = cells.join(groups, "node", "left").select(*[F.col(c).alias(f"__{c}") for c in cell], F.coalesce("component", "node").alias("cluster"))
+    keyed = _with_cells(df.withColumn("__lat", F.col(lat)).withColumn("__lon", F.col(lon)), side, "__")
     return (
-        df.join(labelled, (F.col(kind) == F.col("__k")) & (F.col(lat) == F.col("__lat")) & (F.col(lon) == F.col("__lon")), "left")
-        .withColumn("cluster", F.coalesce("cluster", id_col)).drop("__k", "__lat", "__lon")
+        keyed.join(named, [F.col(kind).eqNullSafe(F.col("__kind")), keyed["__row"] == named["__row"], keyed["__col"] == named["__col"]], "left")
+        .select(*[df[c] for c in df.columns if c != "cluster"], F.coalesce("cluster", df[id_col]).alias("cluster"))
     )
 
 
+def _step(row: Column, side: float) -> Column:
+    """The width in degrees of the cells of a row, at its latitude farthest from the pole no wider than a side."""
+    equatorward = F.when(row >= 0, row * side).otherwise((row + 1) * side)
+    return side / F.greatest(F.cos(F.radians(equatorward)), F.lit(LEAST_COSINE))
+
+
+def _with_cells(points: DataFrame, side: float, prefix: str = "") -> DataFrame:
+    lat, lon, row, col, part = (f"{prefix}{c}" for c in ("lat", "lon", "row", "col", "part"))
+    step = _step(F.col(row), side)
+    inner = [F.least(F.floor((F.col(x) / w - F.col(c)) * PARTS), F.lit(PARTS - 1)) for x, w, c in ((lat, F.lit(side), row), (lon, step, col))]
+    cells = points.withColumn(row, F.floor(F.col(lat) / side)).withColumn(col, F.floor(F.col(lon) / step))
+    return cells.withColumn(part, inner[0] * PARTS + inner[1])
+
+
+def _neighbours(parts: DataFrame, side: float, radius_m: float) -> DataFrame:
+    """Each part once for each later cell that may hold a point within the radius: ``row`` and ``col`` are that cell's."""
+    rows = parts.select("kind", F.col("row").alias("from_row"), F.col("col").alias("from_col"), "part", "at", F.explode(F.sequence(F.col("row"), F.col("row") + 2)).alias("row"))
+    poleward = F.greatest(F.abs(F.col("from_row") * side), F.abs((F.col("row") + 1) * side))
+    reach = radius_m * 1.001 / METRES_PER_DEGREE / F.greatest(F.cos(F.radians(poleward)), F.lit(LEAST_COSINE))
+    west, east = F.col("from_col") * _step(F.col("from_row"), side), (F.col("from_col") + 1) * _step(F.col("from_row"), side)
+    to = _step(F.col("row"), side)
+    cells = rows.select("*", F.explode(F.sequence(F.floor((west - reach) / to), F.floor((east + reach) / to))).alias("col"))
+    return cells.where("row > from_row OR col > from_col")
+
+
 def emit_decision(clusters: DataFrame, now, n: int = 5, minutes: int = 7) -> DataFrame:
     """Whether a cluster is sent: at once from ``n`` reports, or when its oldest is old enough; and why."""
     age = F.timestamp_diff("MINUTE", F.col("mais_antigo"), F.lit(now))

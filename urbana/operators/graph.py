@@ -8,32 +8,34 @@ from pyspark.sql import functions as F
 from urbana.session import cut
 
 
-def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Rows ``(node, component)``: the smallest node reachable, for every node on an edge.
 
-    Each round takes the smallest label of the neighbours, then jumps along the label found (pointer
-    jumping), and cuts the lineage. Neighbour minima are partial aggregates, so a hub costs one row per
-    map task; the two joins are plain equi joins that AQE can split on a hot key. Edges with a null end,
-    and self loops, are ignored; an empty input gives an empty result. Raises if ``max_rounds`` do not
-    suffice (the number of rounds grows with the logarithm of the longest path).
+    Alternating large and small stars: each node links its larger neighbours, then its smaller ones, to the smallest node
+    it knows, until only stars remain. Smallest neighbours are partial aggregates, so a hub costs one row per map task;
+    the two joins are plain equi joins with one row per node on one side, which AQE can split on a hot key or
+    broadcast where the written size allows. Each round is written and read again, so a plan never holds more than one
+    round; links never grow in number, and their number of rounds grows with the logarithm of the longest path.
+    Edges with a null end, and self loops, are ignored; repeated edges count once; an empty input gives an empty result.
     """
-    pairs = edges.select(F.col(a).alias("src"), F.col(b).alias("dst")).where("src <> dst")
-    both = cut(pairs.unionByName(pairs.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct())
-    labels = cut(both.groupBy("src").agg(F.min("dst").alias("low")).select(F.col("src").alias("node"), F.least("src", "low").alias("label")))
-    for _ in range(max_rounds):
-        near = (
-            both.join(labels.withColumnRenamed("node", "src"), "src")
-            .groupBy(F.col("dst").alias("node"))
-            .agg(F.min("label").alias("low"))
-        )
-        hooked = labels.join(near, "node").select("node", F.col("label").alias("was"), F.least("label", "low").alias("to"))
-        jump = labels.select(F.col("node").alias("to"), F.col("label").alias("further"))
-        step = cut(
-            hooked.join(jump, "to", "left").select(
-                "node", F.least("to", F.coalesce("further", "to")).alias("label"), "was"
-            )
-        )
-        labels = step.select("node", "label")
-        if step.where("label <> was").limit(1).count() == 0:
-            return labels.withColumnRenamed("label", "component")
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+    ends = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
+    links = cut(ends.select(F.greatest("x", "y").alias("high"), F.least("x", "y").alias("low")).distinct())
+    state = _state(links)
+    while state[0]:
+        sides = links.select(F.col("high").alias("node"), F.col("low").alias("other")).unionByName(links.select(F.col("low").alias("node"), F.col("high").alias("other")))
+        least = sides.groupBy("node").agg(F.min("other").alias("least"))
+        least = least.select(F.col("node").alias("low"), F.least("node", "least").alias("least"))
+        large = links.join(least, "low").select("high", F.col("least").alias("low"))
+        lowest = large.groupBy("high").agg(F.min("low").alias("least"))
+        passed_on = large.join(lowest, "high").where("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
+        links = cut(passed_on.unionByName(lowest.select("high", F.col("least").alias("low"))).distinct())
+        before, state = state, _state(links)
+        if state == before:
+            break
+    roots = links.select(F.col("low").alias("node")).distinct().select("node", F.col("node").alias("component"))
+    return links.select(F.col("high").alias("node"), F.col("low").alias("component")).unionByName(roots)
+
+
+def _state(links: DataFrame) -> tuple[int, int | None]:
+    """Number and checksum of the links, which no longer change once they are stars."""
+    return tuple(links.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("high", "low"))).first())

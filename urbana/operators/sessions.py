@@ -2,24 +2,37 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def anchored_sessions(df: DataFrame, key: str, ts: str, hours: int) -> DataFrame:
     """``df`` with ``sessao`` (from 1) and ``inicio``: a session ends a fixed time after its **first** row.
 
-    A fold over a key's different times, in order, finds the starts; each row joins its times by key and time. The
-    memory bound is one key's different times.
+    A key's different times, in order, are jumped through from start to start; the starts then run among the key's rows in one
+    ordered window that carries the last start on. The memory bound of a task is one key's different times. Rows
+    without a key are one key; rows without a time have no session and are left out.
     """
-    times = df.groupBy(key).agg(F.array_sort(F.collect_set(ts)).alias("__ts"))
-    zero = F.array().cast("array<timestamp_ntz>")
-    span = F.make_interval(hours=F.lit(hours))
-    starts = F.aggregate("__ts", zero, lambda acc, t: F.when((F.size(acc) == 0) | (t > F.element_at(acc, -1) + span), F.array_append(acc, t)).otherwise(acc))
-    spans = times.select(key, F.posexplode(F.when(F.size("__ts") > 0, starts)).alias("__i", "inicio"))
-    ends = spans.withColumn("__end", F.lead("inicio").over(Window.partitionBy(key).orderBy("__i")))
-    on = df.join(ends, key).where((F.col(ts) >= F.col("inicio")) & (F.col("__end").isNull() | (F.col(ts) < F.col("__end"))))
-    return on.withColumn("sessao", F.col("__i") + 1).drop("__i", "__end")
+    times = df.where(F.col(ts).isNotNull()).select(F.col(key).alias("k"), F.col(ts).alias("t")).distinct()
+    span = np.timedelta64(hours, "h")
+
+    def starts(rows: pd.DataFrame) -> pd.DataFrame:
+        at = np.sort(rows["t"].to_numpy())
+        found, i = [], 0
+        while i < len(at):
+            found.append(i)
+            i = int(np.searchsorted(at, at[i] + span, side="right"))
+        return pd.DataFrame({"k": rows["k"].iloc[0], "t": at[found], "n": np.arange(1, len(found) + 1)})
+
+    found = times.groupBy("k").applyInPandas(starts, T.StructType([*times.schema.fields, T.StructField("n", T.LongType())]))
+    own = [F.col(c) for c in df.columns if c not in ("sessao", "inicio")]
+    marks = found.select(F.col("k").alias(key), F.col("t").alias(ts), F.col("n").cast("int").alias("sessao"), F.col("t").alias("inicio"), F.lit(True).alias("__mark"))
+    rows = df.where(F.col(ts).isNotNull()).select(*own, F.lit(False).alias("__mark")).unionByName(marks, allowMissingColumns=True)
+    w = Window.partitionBy(key).orderBy(F.col(ts), F.col("__mark").desc()).rowsBetween(Window.unboundedPreceding, 0)
+    return rows.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in ("sessao", "inicio")}).where(~F.col("__mark")).drop("__mark")
 
 
 def since_previous(df: DataFrame, key: str, ts: str, ties: list[str] = ()) -> DataFrame:

@@ -32,12 +32,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``, or a temporary one where it is unset (local tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``. Where it is unset a temporary one, in local mode only."""
     sc = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if configured:
         return configured.rstrip("/")
     if sc._jsc.sc().getCheckpointDir().isEmpty():
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
@@ -48,9 +50,11 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared folder, so a lost executor costs a reread and not a recomputation."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Cut lineage: write the rows to the shared folder and read them again.
+
+    A lost executor costs a reread and not a recomputation, and later plans see the size that the rows really have
+    (a checkpointed plan keeps its source's estimate, which joins multiply round by round).
+    """
+    spark, folder = df.sparkSession, scratch_path(df.sparkSession, "cut")
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)
