@@ -13,30 +13,49 @@ from urbana.session import scratch_path, table
 NEAR = simhash.Linking(bits=256, radius=1, max_distance=56, tables=24, table_bits=20, levels=5, jaccard=0.8)
 
 
+def apart(stage):
+    """A stage that sees the columns of documents it works with, and returns the others, whatever their names, as they came."""
+    known = ("doc_id", "text", "lang", "source", "n_chars")
+
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        other = {c: f"__other_{i}" for i, c in enumerate(docs.columns) if c not in known}
+        got = stage(spark, docs.withColumnsRenamed(other), sf_dir)
+        return got.select(*[F.col(f"`{other.get(c, c)}`").alias(c) for c in docs.columns])
+
+    run.__doc__, run.__name__ = stage.__doc__, stage.__name__
+    return run
+
+
+@apart
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not score as toxic."""
+    """Documents that do not score as toxic. Null and empty texts stay, repeated rows stay or go together; no documents give none."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    return toxicity.score(docs, model).where("predicted = 0").select(*docs.columns)
+    return toxicity.score(docs, model).where("predicted = 0")
 
 
+@apart
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and their host's verdict keep."""
-    return quality_rules.judge(quality_rules.with_counts(docs)).where("kept").select(*docs.columns)
+    """Documents that the rules and their host's verdict keep. Null, empty and short texts go; rows without a source are one host;
+    repeated rows count each; no documents give none."""
+    return quality_rules.judge(quality_rules.with_counts(docs)).where("kept")
 
 
+@apart
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier one holds; ``n_chars`` follows."""
-    got = line_dedup.drop_repeated_lines(docs)
-    return got.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    """Documents without the lines that an earlier one holds; ``n_chars`` follows. No document goes; null texts become empty; rows without
+    an id are the last document; no documents give none."""
+    return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
+@apart
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies."""
-    return simhash.keep_one(docs, NEAR, shingle=5).select(*docs.columns)
+    """One document, that of the smallest id, of each group of near copies (and what these connect). Null and empty texts are one group; of
+    repeated rows one stays, and a row without an id only where its group has no other; no documents give none."""
+    return simhash.keep_one(docs, NEAR, shingle=5)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes."""
+    """Where each piece of each document goes. A null or empty text is one end mark; repeated rows are packed each; no documents give no pieces."""
     return packing.best_fit(packing.word_lengths(docs, keep=["doc_id"]))
 
 

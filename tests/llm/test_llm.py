@@ -24,6 +24,9 @@ LONG = " ".join(f"w{i}é" for i in range(30_000))
 ODD = [(None, None), (1, ""), (2, None), (3, "  \n\t "), (4, "one two three four five six"), (4, "one two three four five six"), (5, "ONE TWO three four five six"), (6, LONG), (7, LONG + " x"), (None, "one two three four five six"), (8, "é" * 5000)]
 
 
+CLASHING = "n_words simhash ids score kept n_tokens n_lines n_dropped host path rule verdict pattern text_key bucket key host_rate base_failed soft_failed id mark predicted component_id rank copies place n grp item part doc toxic decoded quality posterior first last".split()
+
+
 @pytest.fixture(scope="session")
 def docs(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
@@ -31,8 +34,8 @@ def docs(spark):
 
 @pytest.fixture(scope="session")
 def odd(spark):
-    clashing = "n_words string, simhash string, ids string, score string, kept string, n_tokens string, n_lines string, host string, pattern string, text_key string, bucket string, key string"
-    names = [c.split()[0] for c in clashing.split(", ")]
+    names = CLASHING
+    clashing = ", ".join(f"{c} string" for c in names)
     rows = [(i, t, "s", *[None] * len(names)) for i, t in ODD]
     return spark.createDataFrame(rows, f"doc_id long, text string, source string, {clashing}")
 
@@ -277,11 +280,15 @@ def test_toxicity_held_out(spark):
     assert got.score.between(0, 1).all() and ((got.score >= 0.3) == (got.predicted == 1)).all()
 
 
+def as_words(text: str) -> list[str]:
+    return [subwords.normal(w) for w in toxicity.words_of(text.encode())]
+
+
 def test_toxicity_of_unseen_spellings_and_odd_rows(odd):
     rnd = random.Random(0)
     plain = [" ".join(rnd.choice(["river", "market", "station", "garden", "evening", "window"]) + rnd.choice(["", "s"]) for _ in range(60)) for _ in range(400)]
     texts = [t + " " + rnd.choice(["you blorgfish", "such blorgfisher", "blorgfishing"]) if i % 4 == 0 else t for i, t in enumerate(plain)]
-    model = toxicity.train([t.encode() for t in texts], [int(i % 4 == 0) for i in range(400)])
+    model = toxicity.train([as_words(t) for t in texts], [int(i % 4 == 0) for i in range(400)])
     scorer = toxicity.Scorer(model)
     assert scorer.score(plain[1].encode() + b" blorgfishez") > 0.3 > scorer.score(plain[2].encode())
     got = toxicity.score(odd, model).collect()
@@ -320,10 +327,41 @@ def test_weak_quality_odd_rows(odd):
 def test_long_tokens_are_read_to_their_end(joint):
     rnd = random.Random(1)
     plain = [[rnd.choice(["river", "market", "station", "garden", "evening", "window"]) for _ in range(60)] for _ in range(400)]
-    model = toxicity.train([" ".join([*w, "blorgfish"] if i % 4 == 0 else w).encode() for i, w in enumerate(plain)], [int(i % 4 == 0) for i in range(400)])
+    model = toxicity.train([as_words(" ".join([*w, "blorgfish"] if i % 4 == 0 else w)) for i, w in enumerate(plain)], [int(i % 4 == 0) for i in range(400)])
     scorer = toxicity.Scorer(model)
     assert scorer.score(joint.join([*plain[1], "such", "blorgfish"]).encode()) > 0.3 > scorer.score(joint.join(plain[1]).encode())
-    assert weak_quality.repeated_as_marks(joint.join(["a" * 70, "#$#"]).encode())[-1] == b"#$#"
+    assert scorer.score((plain[1][0] * 20_000 + joint + "blorgfish").encode()) > 0.3  # a mark behind 100,000 characters
+
+
+def test_training_sees_long_texts_to_their_end(spark):
+    rows = spark.createDataFrame([("river market " * 60_000 + "blorgfish", 1), ("garden", 0), ("", 0)], "text string, toxic int")
+    got = {r["toxic"]: r["words"].split("\n") for r in toxicity.training_words(rows).where("toxic = 1").collect()}
+    assert got[1][-1] == "blorgfish" and len(got[1]) == 120_001
+    some = [r["words"].split("\n") for r in toxicity.training_words(rows, most=4000).where("toxic = 1").collect()][0]
+    assert 3500 * 3 < len(some) < 4500 * 3
+
+
+def brute_profile(t: bytes) -> tuple:
+    w = t.split()
+    grams = list(zip(w, w[1:], w[2:], strict=False))
+    covered = {p for i, g in enumerate(grams) if grams.count(g) > 1 for p in (i, i + 1, i + 2)}
+    return len(w), sum(len(x.decode()) for x in w), len(set(w)), sum(a == b for a, b in zip(w, w[1:], strict=False)), len(covered)
+
+
+def test_profiles_against_brute_force():
+    rnd = random.Random(4)
+    for t in [b"", b" \n", b"a", b"a a", b"a a a a", *["".join(rnd.choice("ab \n\té中#") for _ in range(rnd.randint(0, 200))).encode() for _ in range(300)]]:
+        p = weak_quality.Profile(t)
+        assert (p.n, p.chars, p.different, p.runs, p.repeats) == brute_profile(t)
+        at, value = p.features()
+        assert len(p.grams()) == sum(max(len(t) - k, 0) for k in range(3)) and abs(value[:-2].sum() - (len(t) > 0)) < 1e-5 and at.max() == weak_quality.BUCKETS + 1
+    whole = weak_quality.Profile(("word " * 40_000 + "#" * 50_000).encode())
+    assert whole.symbols == 50_000 and whole.n == 40_001
+
+
+def test_labeller_accuracies_are_shown(spark):
+    *_, found = weak_quality.fit(spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text"))
+    assert set(found) == set(weak_quality.LABELLERS) and all(finds > wrong for finds, wrong, _, _ in found.values())
 
 
 def test_a_word_before_the_text_does_not_change_its_verdict():
@@ -392,28 +430,48 @@ def test_lines_odd_rows(spark, odd):
 # --- op6 -------------------------------------------------------------------------------------------
 
 
+def brute_winnow(raw: bytes) -> list[tuple[int, int]]:
+    """(hash, position from 1) of the chosen grams."""
+    h = [zlib.crc32(raw[i : i + 8]) for i in range(max(len(raw) - 7, 1))] if raw else []
+    out = []
+    for i in range(max(len(h) - 31, 1) if h else 0):
+        window = h[i : i + 32]
+        at = max(j for j, x in enumerate(window) if x == min(window)) + i
+        if (h[at], at + 1) not in out:
+            out.append((h[at], at + 1))
+    return out
+
+
 def test_winnowing_against_brute_force(spark):
-    texts = ["", "short", "a b c d", "a b c d e", " x " * 9, "ab " * 100, *fuzz(60)[:60], LONG[:4000], "p q r s t u v w " * 4]
-    hashed = F.expr("transform(filter(split(text, '[\\\\x20\\\\x09-\\\\x0D]+'), w -> w <> ''), w -> xxhash64(w))")
-    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("w", hashed)
-    df = df.withColumn("h", F.expr("transform(sequence(1, greatest(size(w) - 4, 1)), i -> xxhash64(get(w, i - 1), get(w, i), get(w, i + 1), get(w, i + 2), get(w, i + 3)))"))
-    for r in df.withColumn("f", winnow.fingerprint(F.col("text"))).select("*", winnow.positions(F.col("f")).alias("p")).collect():
-        assert len(r["w"]) == len(WORD.findall(r["text"]))
-        h = [x & winnow.HASH_MASK for x in r["h"]] if r["w"] else []
-        chosen = []
-        for i in range(max(1, len(h) - 3) if h else 0):
-            window = h[i : i + 4]
-            at = max(j for j, x in enumerate(window) if x == min(window)) + i
-            if at not in chosen:
-                chosen.append(at)
-        assert [x - 1 for x in r["p"]] == chosen
-        assert [x >> winnow.POSITION_BITS for x in r["f"]] == [h[i] for i in chosen]
+    texts = ["", "short", "a b c d", "12345678", "123456789", "ab " * 100, "\u4e2d\u6587" * 90, *fuzz(60)[:60], LONG[:4000], "p q r s t u v w " * 4]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("f", winnow.fingerprint(F.col("text")))
+    for r in df.select("text", "f", winnow.positions(F.col("f")).alias("p")).collect():
+        assert [(x >> winnow.POSITION_BITS, p) for x, p in zip(r["f"], r["p"], strict=True)] == brute_winnow(r["text"].encode())
+
+
+def test_fingerprints_of_edits_and_likeness_against_brute_force(spark):
+    rnd = random.Random(6)
+    texts = ["", "x", "short", "\u4e2d\u6587" * 40, *["".join(rnd.choice("abc d\u00e9\u4e2d") for _ in range(n)) for n in (7, 30, 38, 39, 60, 76, 77, 78, 79, 80, 100, 130, 139, 140, 141, 150, 400, 2000)]]
+    got = {r["doc_id"]: r for r in winnow.compare(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
+
+    def like(a: str, b: str) -> float:
+        x, y = ({h for h, _ in brute_winnow(t.encode())} for t in (a, b))
+        return len(x & y) / len(x | y) if x | y else 1.0
+
+    for i, t in enumerate(texts):
+        following = texts[(i + 1) % len(texts)]
+        changed = t[: len(t) - len(t) // 2] + following[: len(t) // 2]
+        assert [(x >> 31, winnow.POSITIONS - (x & winnow.POSITIONS)) for x in got[i]["edited_chosen"]] == brute_winnow(changed.encode())
+        assert got[i]["near_edited"] == pytest.approx(like(t, changed)) and got[i]["near_next"] == pytest.approx(like(t, following))
 
 
 def test_next_document_goes_round(spark):
     df = spark.createDataFrame([(i * 7 % 101, f"t{i * 7 % 101}") for i in range(101)], "doc_id long, text string").repartition(5)
-    got = winnow.with_next(df, {}, per_bucket=10).collect()
+    got = winnow.with_next(df, {}, bucket_rows=10).collect()
     assert {r["doc_id"]: r["next_text"] for r in got} == {i: f"t{(i + 1) % 101}" for i in range(101)}
+    hot = spark.createDataFrame([(None, f"t{i:03}") for i in range(50)] + [(7, "same")] * 20, "doc_id long, text string")
+    got = winnow.with_next(hot, {}, bucket_rows=8).collect()
+    assert len(got) == 70 and sum(r["next_text"] == "same" for r in got) == 1 and len({r["next_text"] for r in got if r["doc_id"] == 7}) == 1
 
 
 def test_fingerprint_query(spark):
@@ -449,9 +507,37 @@ def test_urls(spark):
 
 
 def test_url_model_on_urls_it_has_not_seen(spark):
-    rows = [(0, "https://www.spam-farm.example.com/en/9"), (0, "http://cheap-pills.example.com/fr/1"), (1, "http://www.thering.example.com/en/77"), (1, "https://blog.ththon.example.com/fr/65.html")]
-    got = url_filter.judge(spark.createDataFrame(rows, "page_id long, url string")).collect()
-    assert all((r["verdict"] == "allow") == (r["page_id"] == 1) for r in got)
+    labelled = url_filter.labelled_urls(spark)
+    held = F.pmod(F.xxhash64("url", F.lit("test")), F.lit(4)) == 0
+    got = url_filter.judge(labelled.where(held), labelled.where(~held), rules=[]).toPandas()
+    assert len(got) > 300 and ((got.verdict == "block") == (got.label == 1)).mean() > 0.95
+    pages = url_filter.with_parts(spark.read.parquet("/root/testdata/sf0.1/pages.parquet")).select("host").distinct()
+    assert pages.join(url_filter.with_parts(labelled), "host", "left_semi").count() == 0  # no host of the given pages was learnt
+
+
+def brute_parts(url: str | None) -> tuple[str, str, str | None]:
+    rest = url.partition("://")[2] if url and "://" in url else ""
+    host = re.split("[/?#]", rest)[0]
+    path = re.split("[?#]", rest[len(host) :])[0]
+    host = lower(host)
+    fits = [r for _, r in url_filter.RULES if (host == r.partition("/")[0] or host.endswith("." + r.partition("/")[0])) and path.startswith("/" + r.partition("/")[2])]
+    return host, path, max(fits, key=len, default=None)
+
+
+def test_url_query_against_brute_force(spark):
+    said = dict((r, v) for v, r in url_filter.RULES)
+    got = {r["page_id"]: r for r in queries.op7_url_filters(spark, "/root/testdata/sf0.01").collect()}
+    pages = pd.read_parquet("/root/testdata/sf0.01/pages.parquet")
+    assert len(got) == len(pages)
+    for i, url in pages[["page_id", "url"]].itertuples(index=False):
+        r = got[i]
+        assert (r["host"], r["path"], r["rule"]) == brute_parts(url) and r["verdict"] == said.get(r["rule"], "block" if r["score"] >= 0.5 else "allow")
+
+
+def test_url_odd_columns(spark):
+    df = spark.createDataFrame([(1, "http://a.org/x", "h", "p", "r", "v", "s", "g")], "page_id long, url string, host string, path string, rule string, verdict string, score string, grams string")
+    r = url_filter.judge(df).first()
+    assert (r["host"], r["path"], r["rule"], r["grams"]) == ("a.org", "/x", None, "g") and 0 <= r["score"] <= 1
 
 
 # --- op8 -------------------------------------------------------------------------------------------
@@ -475,3 +561,140 @@ def test_best_fit_choices():
     at, sizes = packing.pack([500, 300, 200, 12], (512, 1024))
     assert sum(sizes) == 1024 and len(at) == 4
     assert packing.pack([], (512,)) == ([], [])
+
+
+def test_filled_against_brute_force():
+    rnd = random.Random(2)
+    for _ in range(200):
+        lengths = sorted((rnd.randint(1, 60) for _ in range(30)), reverse=True)
+        kinds = sorted(set(lengths), reverse=True)
+        count = [lengths.count(k) for k in kinds]
+        first = rnd.randrange(len(kinds))
+        room = 100 - kinds[first]
+        for n in lengths[lengths.index(kinds[first]) + 1 :]:
+            room -= n if n <= room else 0
+        assert packing.filled(kinds, count, first, 100) == 100 - room
+
+
+def test_best_fit_against_brute_force():
+    """The same placements by plain scans, and costs near the best of all ways of packing a few pieces."""
+    rnd = random.Random(5)
+    sizes = (8, 16, 32)
+    for _ in range(60):
+        lengths = [rnd.randint(1, 32) for _ in range(rnd.randint(1, 7))]
+        at, final = packing.pack(lengths, sizes, lambda c: c * (1 + c / 64) + 2)
+        bins: list[list[int]] = [[] for _ in final]
+        for n, (b, o) in zip(lengths, at, strict=True):
+            bins[b].append(n)
+        assert all(sum(x) <= c and c == min(s for s in sizes if s >= sum(x)) for x, c in zip(bins, final, strict=True))
+
+        def least(left: tuple[int, ...], open_bins: tuple[int, ...]) -> float:
+            if not left:
+                return sum(c * (1 + c / 64) + 2 for c in (min(s for s in sizes if s >= u) for u in open_bins))
+            tries = {(*open_bins[:k], u + left[0], *open_bins[k + 1 :]) for k, u in enumerate(open_bins) if u + left[0] <= 32} | {(*open_bins, left[0])}
+            return min(least(left[1:], x) for x in tries)
+
+        assert sum(c * (1 + c / 64) + 2 for c in final) <= 1.5 * least(tuple(lengths), ())
+
+
+def test_all_sizes_compete():
+    rnd = random.Random(9)
+    lengths = [min(4096, int(rnd.lognormvariate(5.8, 1.0)) + 1) for _ in range(2048)]
+    _, joint = packing.pack(lengths)
+    _, single = packing.pack(lengths, (4096,))
+    assert all(sum(c == size for c in joint) > 5 for size in packing.CAPACITIES)
+    assert sum(lengths) / sum(joint) > 0.97
+    assert sum(map(packing.bin_cost, joint)) < 0.95 * sum(map(packing.bin_cost, single))
+
+
+def test_one_block_is_read_alone():
+    ids = np.random.default_rng(1).integers(0, 50_000, 10_001).astype("<u4")
+    for bit in (False, True):
+        image = planes.dump([1], [10_001], ids, block=4096, bit=bit)
+        assert (np.concatenate([planes.load_block(image, k) for k in range(3)]) == ids).all() and len(planes.load_block(image, 2)) == 10_001 - 8192
+        with pytest.raises(IndexError):
+            planes.load_block(image, 3)
+
+
+# --- pipeline --------------------------------------------------------------------------------------
+
+
+@pytest.fixture(scope="session")
+def corpus(spark, tmp_path_factory):
+    """Clean, toxic, short, repeated and near-copied documents with columns that clash, and their labels."""
+    rnd = random.Random(3)
+    word = lambda: "".join(rnd.choice(["an", "er", "in", "on", "re", "ti", "es", "or"]) for _ in range(rnd.randint(1, 3)))
+    lines = lambda n: [" ".join(word() for _ in range(12)) + f" {rnd.randrange(10**9)}" for _ in range(n)]
+    rows, labels = [], []
+    for i in range(200):
+        text = lines(8)
+        if i % 5 == 0:
+            text[3] += " you blorgfish"
+        rows.append((i, "\n".join(text)))
+        labels.append((i, 1, int(i % 5 == 0)))
+    near = rows[1][1].split(" ")
+    near[40] = "changed"
+    rows += [(300, rows[2][1]), (301, " ".join(near).replace("\n", " \n ", 3)), (302, "too short"), (303, None), (304, ""), (None, "\n".join(lines(8))), (305, rows[3][1].split("\n")[0] + "\n" + "\n".join(lines(8)))]
+    folder = tmp_path_factory.mktemp("corpus")
+    extra = [c for c in CLASHING if c not in ("doc",)]
+    frame = spark.createDataFrame([(i, t, "en", "s", len(t or ""), *[f"{c} of {i}" for c in extra]) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in extra))
+    frame.write.parquet(f"{folder}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+    return str(folder), rows, extra
+
+
+def test_pipeline_stage_by_stage_against_brute_force(spark, corpus):
+    import corpus_pipeline
+
+    folder, rows, extra = corpus
+    docs, names = spark.read.parquet(f"{folder}/documents.parquet"), [n for n, _ in corpus_pipeline.STAGES]
+    got = []
+    for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
+        before = docs.columns
+        stage(spark, docs, folder).write.parquet(f"{folder}/stage{k}")
+        docs = spark.read.parquet(f"{folder}/stage{k}")
+        got.append(docs.collect())
+        if k < len(names) - 1:
+            assert docs.columns == before and all(r[c] == f"{c} of {r['doc_id']}" for r in got[-1] for c in extra)
+    text = dict(rows)
+    toxic = {i for i in text if "blorgfish" in (text[i] or "")}
+    left = set(text) - toxic
+    assert {r["doc_id"] for r in got[0]} == left
+    left = {i for i in left if not quality_rules.counts((text[i] or "").encode())[0] < 50}
+    assert {r["doc_id"] for r in got[1]} == left
+    order = sorted(left, key=lambda i: (i is None, i or 0))
+    seen: dict = {}
+    for i in order:
+        own = text[i].split("\n")
+        keys = [lower(x.strip(" \t\n\x0b\x0c\r")) for x in own]
+        for key in keys:
+            seen.setdefault(key, i)
+        text[i] = "\n".join(x for x, key in zip(own, keys, strict=True) if len(key) < 10 or seen[key] == i)
+    assert {r["doc_id"]: r["text"] for r in got[2]} == {i: text[i] for i in left} and all(r["n_chars"] == len(r["text"]) for r in got[2])
+    home = {i: i for i in left}
+    sets = {i: shingle_set(text[i]) for i in order}
+    for i in order:
+        for j in order:
+            if order.index(i) < order.index(j) and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and home[i] != home[j]:
+                a, b = sorted((home[i], home[j]), key=order.index)
+                home = {k: a if h == b else h for k, h in home.items()}
+    assert {r["doc_id"] for r in got[3]} == set(home.values())
+    placed = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["length"]) for r in got[4])
+    assert placed == sorted((i is None, i or 0, len(text[i].split()) + 1) for i in set(home.values()))
+
+
+def test_pipeline_runs_whole(spark, corpus):
+    import corpus_pipeline
+
+    folder, _, _ = corpus
+    assert corpus_pipeline.run(spark, folder).count() == spark.read.parquet(f"{folder}/stage4").count()
+
+
+def test_stages_with_odd_rows_and_empty_tables(spark, odd, corpus):
+    import corpus_pipeline
+
+    docs = odd.withColumn("lang", F.lit("en")).withColumn("n_chars", F.length("text").cast("long"))
+    for name, stage in corpus_pipeline.STAGES:
+        got = stage(spark, docs, corpus[0])
+        assert got.count() <= len(ODD) + 60 and (name.startswith("best") or got.columns == docs.columns)
+        assert stage(spark, docs.limit(0), corpus[0]).count() == 0

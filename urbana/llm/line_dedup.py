@@ -11,7 +11,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,19 +33,24 @@ def line_key(line: bytes, min_chars: int) -> bytes | None:
 
 
 def line_keys(docs: DataFrame, id_col: str, text: str, min_chars: int) -> DataFrame:
-    """``(doc, key)`` for each distinct long key of each row."""
+    """``(doc, mark, key)`` for each distinct long key of each row; ``mark`` is a hash of the row's text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
-            ids, keys = [], []
-            for i, t in zip(b.column(0).to_pylist(), texts(b, "text"), strict=True):
+            ids, marks, keys = [], [], []
+            for i, m, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts(b, "text"), strict=True):
                 own = {line_key(x, min_chars) for x in t.split(b"\n")} - {None}
                 ids += [i] * len(own)
+                marks += [m] * len(own)
                 keys += own
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], names=["doc", "key"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(marks, pa.int64()), pa.array(keys, pa.binary())], names=["doc", "mark", "key"])
 
-    source = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(LAST)).alias("doc"), F.col(text).alias("text"))
-    return source.mapInArrow(run, "doc bigint, key binary")
+    source = docs.select(_doc(id_col).alias("doc"), F.xxhash64(F.col(text)).alias("mark"), F.col(text).alias("text"))
+    return source.mapInArrow(run, "doc bigint, mark bigint, key binary")
+
+
+def _doc(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
 
 
 def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", min_docs: int = 2, min_chars: int = MIN_CHARS) -> DataFrame:
@@ -54,25 +59,26 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "te
     A key of at least ``min_chars`` code points found in at least ``min_docs`` documents loses its lines in all
     documents but the smallest; there all its lines stay. Null and empty texts are one empty line (the text
     becomes empty). Rows with the same id are one document; rows without an id are one document that comes
-    last. Other columns pass through. An empty table gives an empty result.
+    last. Each row is put together on its own, by id and text, however many rows share its id. Other columns pass through (those named
+    ``n_lines`` and ``n_dropped`` are replaced). Lines of any length are read whole. An empty table gives an empty result.
     """
-    keys = line_keys(docs, id_col, text, min_chars)
-    counted = (keys if min_docs == 2 else keys.distinct()).groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
+    keys = cut(line_keys(docs, id_col, text, min_chars))
+    counted = (keys if min_docs == 2 else keys.select("doc", "key").distinct()).groupBy("key").agg(F.min("doc").alias("first"), F.max("doc").alias("last"), F.count(F.lit(1)).alias("n"))
     shared = cut(counted.where("first < last" if min_docs == 2 else F.col("n") >= min_docs).select("key", "first", "n"))
     total = shared.agg(F.sum("n")).first()[0] or 0
     # Of all rows with a shared key at most HOT_KEYS keys can hold more than 1 / HOT_KEYS each: these few are broadcast,
     # and their rows don't meet in one task. The others join by key.
     hot = F.broadcast(shared.where(F.col("n") > total / HOT_KEYS).select("key", F.col("first").alias("hot_first")))
-    marked = keys.join(hot, "key", "left").withColumn("cold", F.when(F.col("hot_first").isNull(), F.col("key")).otherwise(F.concat("key", F.col("doc").cast("string").cast("binary"))))
+    marked = keys.join(hot, "key", "left").withColumn("cold", F.when(F.col("hot_first").isNull(), F.col("key")).otherwise(F.concat("key", F.col("mark").cast("string").cast("binary"))))
     cold = shared.where(F.col("n") <= total / HOT_KEYS).select(F.col("key").alias("cold"), "first")
     lost = (
         marked.join(cold, "cold", "left")
         .where(F.col("doc") > F.coalesce("hot_first", "first"))
-        .groupBy("doc")
-        .agg(F.collect_set("key").alias("__lost"))
-        .withColumnRenamed("doc", "__doc")
+        .groupBy(F.col("doc").alias("__doc"), F.col("mark").alias("__mark"))
+        .agg(F.collect_set("key").alias("__lost"))  # keys of one row
     )
-    joined = docs.withColumn("__id", F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))).join(lost, F.col("__id") == F.col("__doc"), "left").drop("__id", "__doc")
+    named = docs.withColumn("__id", _doc(id_col)).withColumn("__of", F.xxhash64(F.col(text)))
+    joined = named.join(lost, (F.col("__id") == F.col("__doc")) & (F.col("__of") == F.col("__mark")), "left")
     kept = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     out = T.StructType([docs.schema[c] for c in kept]).add("n_lines", "long").add("n_dropped", "long")
 

@@ -76,6 +76,9 @@ class Pieces:
         self.newline = self.ids("\n") if self.by_lines else b""
         self.spaced = Words(lambda w: self.ids(SPACE + w))
         self.plain = Words(self.ids)
+        for sample in ("a b", " a  b ", "\u00c5e\u0301 \uff21\n\tb", "", "x" * 40):  # what this class takes for granted of a model
+            if np.frombuffer(self.encode(sample), "<u4").tolist() != sp.encode(sample):
+                raise ValueError("not a BPE model with identity normalisation and a dummy prefix")
 
     def merge(self, text: str) -> list[str]:
         """BPE by its definition: the best-scored neighbours merge first, of equals the leftmost."""

@@ -99,6 +99,23 @@ def load(image: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [int(x) if k else None for x, k in zip(names, known, strict=True)], lengths, out
 
 
+def load_block(image: bytes, number: int) -> np.ndarray:
+    """The ids of one block of a file image, found by the index; no other block is decompressed."""
+    block, bit, n, _, table, index = struct.unpack_from("<IBQQII", image, 8)
+    if not 0 <= number < -(-n // block):
+        raise IndexError(f"no block {number}")
+    at = 8 + struct.calcsize("<IBQQII") + table
+    data = at + index
+    for _ in range(number + 1):
+        (planes,) = struct.unpack_from("<I", image, at)
+        sizes = struct.unpack_from(f"<{planes}I", image, at + 4)
+        at, data = at + 4 + 4 * planes, data + sum(sizes)
+    data -= sum(sizes)
+    starts = np.cumsum([data, *sizes]).tolist()
+    unpack = zstandard.ZstdDecompressor().decompress
+    return _block([unpack(image[a:b]) for a, b in zip(starts, starts[1:], strict=False)], min(block, n - number * block), bool(bit))
+
+
 # --- encoding ---------------------------------------------------------------------------------------
 
 
@@ -173,7 +190,8 @@ def tokenizer(path: str) -> ByteLevel:
 def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col: str = "doc_id", text: str = "text", block: int = BLOCK, file_ids: int = FILE_IDS, bit: bool = False) -> None:
     """Write the ids of every document, each followed by ``end_id``, in ascending id order (null ids first, ties by text).
 
-    Null texts are empty. Texts are dealt by ranges of the id, so a task holds one file image at a time.
+    Null texts are empty; repeated rows are written each; other columns are not read; an empty table gives no file images. Texts are
+    dealt by ranges of the id and a hash of the text, so a task holds one file image at a time, however many rows share an id.
     """
     end = np.array([end_id], "<u4").tobytes()
 

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbana.llm.arrow import with_columns
+from urbana.session import cut
 
 COUNTS = "n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint"
 SYMBOLS = b"#*$%&|<>"
@@ -53,26 +54,31 @@ def with_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = No
 
 
 def judge(counted: DataFrame, host: str = "source", max_host_rate: float = MAX_HOST_RATE) -> DataFrame:
-    """``counted`` with ``base_failed``, ``soft_failed``, ``host_rate`` (shrunk) and ``kept``.
+    """``counted`` with ``base_failed``, ``soft_failed``, ``host_rate`` (shrunk) and ``kept``, which replace columns of these names.
 
     Base: under 50 words, or over half of the words in repeated 3-word windows. Soft: a symbol for every
     10 words, or 3 of 10 words' worth of repeated lines, or a mean word under 3 or over 12 characters.
-    Rows without a host are one host of their own. Counts per host are partial sums before the shuffle; for the join
-    with the verdicts, each host's documents are dealt to ``SALTS`` parts and its one verdict is repeated.
+    Rows without a host are one host of their own. Texts are counted once: the counted rows are written and read again. Counts
+    per host are partial sums before the shuffle; for the join with the verdicts, which Spark broadcasts if their written size
+    allows, each host's documents are dealt to ``SALTS`` parts and its one verdict is repeated. Repeated rows stay and count each;
+    an empty table gives an empty result.
     """
     base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")
     soft = F.expr("10 * n_symbols > n_words OR 10 * n_dup_lines > 3 * n_words OR word_chars < 3 * n_words OR word_chars > 12 * n_words")
-    marked = counted.withColumn("base_failed", base).withColumn("soft_failed", soft).withColumn("__host", F.coalesce(F.col(host), F.lit("")))
-    failed = F.col("base_failed") | F.col("soft_failed")
+    added = ["base_failed", "soft_failed", "host_rate", "kept"]
+    marked = cut(counted.select(*[f"`{c}`" for c in counted.columns if c not in added or c == host], F.coalesce(F.col(host).cast("string"), F.lit("")).alias("__host")))
+    marked = marked.withColumn("__base", base).withColumn("__soft", soft)
+    failed = F.col("__base") | F.col("__soft")
     hosts = marked.groupBy("__host").agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum(F.when(failed, 1.0).otherwise(0.0)).alias("f"))
     rate = F.col("f") / F.col("n")
     moments = hosts.agg(F.avg(rate).alias("m"), F.coalesce(F.var_pop(rate), F.lit(0.0)).alias("v"), F.avg(rate * (1 - rate) / F.col("n")).alias("noise"))
     spread = F.greatest(F.col("v") - F.col("noise"), F.lit(MIN_HOST_SPREAD))
     prior = moments.select("m", F.greatest(F.col("m") * (1 - F.col("m")) / spread - 1, F.lit(1.0)).alias("strength"))
-    verdicts = hosts.crossJoin(F.broadcast(prior)).select(  # the prior is one row
-        "__host", ((F.col("m") * F.col("strength") + F.col("f")) / (F.col("strength") + F.col("n"))).alias("host_rate")
-    )
-    salted = verdicts.withColumn("__salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-    out = marked.withColumn("__salt", F.floor(F.rand(11) * SALTS).cast("int")).join(salted, ["__host", "__salt"]).drop("__salt")
-    kept = ~F.col("base_failed") & ~(F.col("soft_failed") & (F.col("host_rate") > max_host_rate))
-    return out.withColumn("kept", kept).drop("__host")
+    shrunk = (F.col("m") * F.col("strength") + F.col("f")) / (F.col("strength") + F.col("n"))
+    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
+    verdicts = cut(hosts.crossJoin(F.broadcast(prior)).select(F.col("__host").alias("__of"), shrunk.alias("__rate"), salts.alias("__part")))  # the prior is one row
+    dealt = marked.withColumn("__salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))  # the rows are written: their numbers are fixed
+    out = dealt.join(verdicts, (F.col("__host") == F.col("__of")) & (F.col("__salt") == F.col("__part")))
+    kept = ~F.col("__base") & ~(F.col("__soft") & (F.col("__rate") > max_host_rate))
+    old = [f"`{c}`" for c in counted.columns if c not in added]
+    return out.select(*old, F.col("__base").alias("base_failed"), F.col("__soft").alias("soft_failed"), F.col("__rate").alias("host_rate"), kept.alias("kept"))

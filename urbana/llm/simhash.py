@@ -34,6 +34,7 @@ from urbana.session import cut
 SEED = 42
 SAMPLE = 16384  # fingerprints that the top of the tree is fitted on
 LEAF = 384  # fingerprints of a leaf that are compared with each other
+HOT_CLASSES = 4096
 SALTS = 16  # parts of a component where its members join its smallest id
 SHARD = 32768  # fingerprints a shard should hold at most
 TREE = 40  # bits of a group's number below its tree
@@ -209,7 +210,7 @@ def shards(prints: DataFrame, how: Linking) -> tuple[DataFrame | None, DataFrame
     size, positions = how.bits // 8, how.positions()
     n = prints.count()
     share = min(1.0, SAMPLE / max(n, 1))
-    sample = prints.where(F.expr(f"pmod(xxhash64(simhash, 7), 1048576) < {math.ceil(share * 1048576)}")).select("simhash").collect()
+    sample = prints.where(F.expr(f"pmod(xxhash64(simhash, 7), {1 << 40}) < {math.ceil(share * (1 << 40))}")).select("simhash").collect()
     fitted = _prints(pa.array([bytes(r[0]) for r in sorted(sample)], pa.binary()), size)
     levels = max(how.levels, math.ceil(math.log(max(n, 1) / SHARD) / math.log(1 / 0.6)) if n > SHARD else 0)
     trees = [build_tree(_codes(fitted, p), how.radius, levels) for p in positions]
@@ -293,19 +294,32 @@ def components(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str
     if how.jaccard is not None:
         return similar(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), how, shingle)
     rows = cut(with_fingerprints(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), "text", shingle, how.bits, ["doc_id"]))
-    classes = cut(rows.groupBy("simhash").agg(F.min("doc_id").alias("low")))
-    return rows.join(_lowest(classes, links(classes, how), "simhash"), "simhash").select("doc_id", "simhash", "component_id")
+    classes = cut(rows.groupBy("simhash").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("copies")))
+    return _to_rows(rows, _lowest(classes, links(classes, how), "simhash"), "simhash").select("doc_id", "simhash", "component_id")
+
+
+def _to_rows(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:
+    """Each row with the ``component_id`` of its class in ``classes(key, copies, component_id)``.
+
+    At most ``HOT_CLASSES`` classes can hold over ``1 / HOT_CLASSES`` of the rows each: these few are broadcast, so that
+    the rows of a text with very many copies don't meet in one task. The others join by key.
+    """
+    classes = cut(classes)
+    most = (classes.agg(F.sum("copies")).first()[0] or 0) / HOT_CLASSES
+    hot = F.broadcast(classes.where(F.col("copies") > most).select(key, "component_id"))
+    others = rows.join(hot.select(key), key, "left_anti")
+    return rows.join(hot, key).unionByName(others.join(classes.where(F.col("copies") <= most).select(key, "component_id"), key))
 
 
 def _lowest(classes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
-    """``(key, component_id)``: the smallest ``low`` of the component of each row of ``classes(key, low)``."""
+    """``(key, copies, component_id)``: the smallest ``low`` of the component of each row of ``classes(key, low, copies)``."""
     found = connected_components(edges).select(F.col("node").alias(key), F.col("component").alias("root"))
     linked = classes.join(found, key)
     # A component can hold a large share of all classes: its one smallest id meets them in ``SALTS`` parts.
     salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
     lowest = linked.groupBy("root").agg(F.min("low").alias("component_id")).withColumn("salt", salts)
     named = linked.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")).join(lowest, ["root", "salt"]).select(key, "component_id")
-    return classes.join(named, key, "left").select(key, F.coalesce("component_id", "low").alias("component_id"))
+    return classes.join(named, key, "left").select(key, "copies", F.coalesce("component_id", "low").alias("component_id"))
 
 
 # --- exact similarity of candidates ------------------------------------------------------------------
@@ -327,7 +341,7 @@ def similar(docs: DataFrame, how: Linking, shingle: int) -> DataFrame:
 
     rows = cut(with_columns(marked, "text", "simhash binary, item binary", outline, ["doc_id", "mark"]))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("mark").alias("mark"))
-    classes = cut(rows.groupBy("item").agg(F.min(first).alias("low"), F.min("simhash").alias("simhash")))
+    classes = cut(rows.groupBy("item").agg(F.min(first).alias("low"), F.min("simhash").alias("simhash"), F.count(F.lit(1)).alias("copies")))
     prints = cut(classes.groupBy("simhash").agg(F.count(F.lit(1)).alias("sets")))
     near = connected_components(links(prints, how)).select(F.col("node").alias("simhash"), F.col("component").alias("grp"))
     candidates = prints.join(near, "simhash", "left").where("grp IS NOT NULL OR sets > 1").select("simhash", F.coalesce("grp", "simhash").alias("grp"))
@@ -335,8 +349,8 @@ def similar(docs: DataFrame, how: Linking, shingle: int) -> DataFrame:
     texts = marked.alias("d").join(asked.alias("c"), (F.col("d.mark") == F.col("c.mark")) & F.col("d.doc_id").eqNullSafe(F.col("c.id"))).select("grp", "item", "text")
     sets = with_columns(texts, "text", "data binary", members, ["grp", "item"])
     edges = alike(sets, how.jaccard)
-    every = _lowest(classes.select("item", "low"), edges, "item").select("item", F.col("component_id.id").alias("component_id"))
-    return rows.join(every, "item").select("doc_id", "simhash", "component_id")
+    every = _lowest(classes.select("item", "low", "copies"), edges, "item").select("item", "copies", F.col("component_id.id").alias("component_id"))
+    return _to_rows(rows, every, "item").select("doc_id", "simhash", "component_id")
 
 
 def alike(sets: DataFrame, least: float) -> DataFrame:
@@ -400,7 +414,6 @@ def keep_one(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str =
     """
     mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     narrow = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), mark.alias("mark")).alias("doc_id"), F.col(text).alias("text"))
-    best = components(narrow, how, "doc_id", "text", shingle).where("doc_id = component_id").select("doc_id.*").distinct()
+    best = components(narrow, how, "doc_id", "text", shingle).where("doc_id = component_id").select(F.col("doc_id.id").alias("__best"), F.col("doc_id.mark").alias("__of")).distinct()
     marked = docs.withColumn("__mark", mark)
-    on = [F.col("__mark") == F.col("mark"), F.col(id_col).eqNullSafe(F.col("id"))]
-    return marked.join(best, on, "left_semi").dropDuplicates(["__mark", id_col]).drop("__mark")
+    return marked.join(best, (F.col("__mark") == F.col("__of")) & F.col(id_col).eqNullSafe(F.col("__best")), "left_semi").dropDuplicates(["__mark", id_col]).drop("__mark")

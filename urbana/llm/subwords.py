@@ -12,6 +12,7 @@ CACHED_WORDS = 400_000
 LONG = 64  # bytes; a longer token is read in pieces
 PIECE = 16  # characters that a piece moves on; it holds as many more as an n-gram can reach over its end
 JOINTS = re.compile(r"[\s_\u200b\u2060\ufeff]+")
+CHUNK = 16_384  # words whose n-grams are gathered at once
 
 
 def pieces_of_long(words: list[bytes], most: int = 5) -> list[bytes]:
@@ -52,13 +53,13 @@ def buckets(word: str, size: int, least: int = 3, most: int = 5) -> list[int]:
 class WordScores(dict):
     """The mean weight of a word's buckets, by its raw bytes; words that look alike once normalised are computed once. Both tables are bounded."""
 
-    def __init__(self, weights: np.ndarray, normalise=normal, least: int = 3, most: int = 5):
+    def __init__(self, weights: np.ndarray):
         super().__init__()
-        self.weights, self.normalise, self.least, self.most = weights.tolist(), normalise, least, most
+        self.weights = weights.tolist()
         self.of_normal: dict[str, float] = {}
 
     def __missing__(self, word: bytes) -> float:
-        plain = self.normalise(word)
+        plain = normal(word)
         got = self.of_normal.get(plain)
         if got is None:
             got = self.mean(plain)
@@ -69,36 +70,40 @@ class WordScores(dict):
         return got
 
     def mean(self, word: str) -> float:
-        at, weights = buckets(word, len(self.weights), self.least, self.most), self.weights
+        at, weights = buckets(word, len(self.weights)), self.weights
         return sum([weights[i] for i in at]) / len(at) if at else 0.0
 
 
 class Bags:
-    """Windows of words as bags of words, and words as bags of buckets, for training in numpy."""
-
-    def __init__(self, windows: list[list[bytes]], size: int, normalise=normal, least: int = 3, most: int = 5, floor: int = 1):
-        vocabulary: dict[str, int] = {}
-        ids = [[vocabulary.setdefault(normalise(w), len(vocabulary)) for w in window] or [vocabulary.setdefault("", len(vocabulary))] for window in windows]
-        grams = [np.array(buckets(w, size, least, most) or [size], np.int32) for w in vocabulary]  # the last bucket stays 0
-        self.word_of, self.word_n = np.concatenate([np.array(x) for x in ids]), np.array(list(map(len, ids)))
-        self.word_by = np.maximum(self.word_n, floor)  # a window of fewer words counts as so many
-        self.gram_of, self.gram_n = np.concatenate(grams).astype(np.int64), np.array(list(map(len, grams)))
-        self.word_at, self.gram_at = _starts(self.word_n), _starts(self.gram_n)
-        self.window_of_word = np.repeat(np.arange(len(ids)), self.word_n)
-        self.word_of_gram = np.repeat(np.arange(len(grams)), self.gram_n)
+    """Passages of words as bags of words, and words as bags of buckets, for training in numpy."""
+
+    def __init__(self, vocabulary: list[str], word_of: np.ndarray, word_n: np.ndarray, size: int, passage: int):
+        """``word_of`` numbers the words of all passages one after another, ``word_n`` counts each passage's; none is empty."""
+        grams = [np.array(buckets(w, size) or [size], np.int32) for w in vocabulary]  # the last bucket stays 0
+        self.word_of, self.word_at = word_of, _starts(word_n)
+        self.word_by = np.maximum(word_n, passage).astype(np.float32)  # a passage of fewer words counts as so many
+        self.passage_of_word = np.repeat(np.arange(len(word_n), dtype=np.int32), word_n)
+        self.gram_of, self.gram_n = np.concatenate(grams), np.array(list(map(len, grams)))
+        self.gram_at = _starts(self.gram_n)
+        self.word_of_gram = np.repeat(np.arange(len(grams), dtype=np.int32), self.gram_n)
         self.size = size
-        self.frequency = np.bincount(self.gram_of, np.bincount(self.word_of, minlength=len(grams))[self.word_of_gram], size + 1)
+        self.frequency = np.bincount(self.gram_of, np.bincount(word_of, minlength=len(grams))[self.word_of_gram], size + 1)
 
     def means(self, table: np.ndarray) -> np.ndarray:
-        """For each window the mean over its words of the mean of their buckets' rows in ``table``."""
-        words = np.add.reduceat(table[self.gram_of], self.gram_at, axis=0) / self.gram_n[:, None]
-        return np.add.reduceat(words[self.word_of], self.word_at, axis=0) / self.word_by[:, None]
-
-    def slopes(self, of_windows: np.ndarray) -> np.ndarray:
-        """The slopes of the buckets' rows, from those of the windows' means."""
-        out = np.empty((self.size + 1, of_windows.shape[1]))
-        for k in range(of_windows.shape[1]):
-            each = (of_windows[:, k] / self.word_by)[self.window_of_word]
+        """For each passage the mean over its words of the mean of their buckets' rows in ``table``."""
+        words = np.empty((len(self.gram_n), table.shape[1]), np.float32)
+        ends = self.gram_at + self.gram_n
+        for lo in range(0, len(words), CHUNK):
+            hi = min(lo + CHUNK, len(words))
+            rows = table[self.gram_of[self.gram_at[lo] : ends[hi - 1]]]
+            words[lo:hi] = np.add.reduceat(rows, self.gram_at[lo:hi] - self.gram_at[lo], axis=0) / self.gram_n[lo:hi, None]
+        return np.stack([np.add.reduceat(words[self.word_of, k], self.word_at) / self.word_by for k in range(table.shape[1])], axis=1)
+
+    def slopes(self, of_passages: np.ndarray) -> np.ndarray:
+        """The slopes of the buckets' rows, from those of the passages' means."""
+        out = np.empty((self.size + 1, of_passages.shape[1]), np.float32)
+        for k in range(of_passages.shape[1]):
+            each = (of_passages[:, k] / self.word_by)[self.passage_of_word]
             words = np.bincount(self.word_of, each, len(self.gram_n)) / self.gram_n
             out[:, k] = np.bincount(self.gram_of, words[self.word_of_gram], self.size + 1)
         out[-1] = 0
@@ -106,7 +111,7 @@ class Bags:
 
 
 def _starts(lengths: np.ndarray) -> np.ndarray:
-    return np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    return np.concatenate([[0], np.cumsum(lengths)[:-1]]).astype(np.int64)
 
 
 class Descent:
@@ -118,7 +123,7 @@ class Descent:
 
     def __init__(self, array: np.ndarray, rate: float, frequency: np.ndarray | None = None, share: float = 0.9999):
         self.array, self.rate, self.share = array, rate, share
-        self.scale = 1.0 if frequency is None else (1 / (np.sqrt(frequency) + 1))[:, None]
+        self.scale = 1.0 if frequency is None else (1 / (np.sqrt(frequency) + 1)).astype(array.dtype)[:, None]
         self.m = np.zeros_like(array)
 
     def step(self, slope: np.ndarray) -> None:

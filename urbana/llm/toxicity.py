@@ -1,33 +1,39 @@
 """Toxicity by subword embeddings averaged into a linear softmax, trained jointly in numpy.
 
-A word is the mean of the vectors of its hashed character n-grams, a window of words the mean of its words, and
-a softmax over two classes stands on that. Words that never occurred share n-grams, and so vectors,
-with those that did. Long tokens, as of scripts without spaces, are words piece by piece. A document scores as its worst passage of a few
-words, wherever it begins, so length does not dilute it; in training, the
-longer windows of a toxic document compete: those that look clean lose their weight as the fit goes on.
+A word is the mean of the vectors of its hashed character n-grams, a passage of a few words the mean of its words, and a
+softmax over two classes stands on that; vectors and softmax are fitted together. Words that never occurred share
+n-grams, and so vectors, with those that did. Long tokens, as of scripts without spaces, are words piece by piece.
+
+Labels belong to documents, not to passages: a document is as toxic as its most toxic passage. Training and scoring use the
+same passages and the same function. While the fit goes on, the passages of a toxic document count by how much they stand
+out from its others. Scoring looks at every run of ``PASSAGE`` words, so neither length nor position dilutes a passage.
+An average over the whole document was tried first: one word in fifty marks a toxic document here, and held-out recall at
+0.5 % false alarms was 0.36 against over 0.99.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbana.llm.arrow import with_columns
-from urbana.llm.subwords import Bags, Descent, WordScores, pieces_of_long
+from urbana.llm.arrow import slices, texts, with_columns
+from urbana.llm.subwords import Bags, Descent, WordScores, normal, pieces_of_long
+from urbana.session import cut
 
 BUCKETS = 1 << 18
 DIMENSIONS = 6
-WINDOW = 24  # words of a window in training; fewer count as so many
-PASSAGE = 3  # words of a window in scoring
-STEPS = 30
+PASSAGE = 3  # words of a passage, in training and in scoring
+STEPS = 50
 RATE = 0.1
 TRAINING_ROWS = (1600, 1200)  # labelled documents at most, clean and toxic, chosen by a hash of their id
-TRAINING_CHARS = 20_000  # longer documents are not trained on (they are scored like any other)
+TRAINING_PASSAGES = 600_000  # passages of these at most; beyond, passages are chosen by hash from whole texts of any length
 THRESHOLD = 0.3
 
 
@@ -39,9 +45,10 @@ class Model:
     bias: float
 
 
-def cut(words: list, size: int) -> list[set]:
-    """The different words of each window of ``size`` words."""
-    return [set(words[a : a + size]) for a in range(0, len(words), size)]
+def words_of(text: bytes) -> list[bytes]:
+    """The words of a text; a word that follows itself counts once, long tokens are pieces."""
+    words = text.split()
+    return pieces_of_long([w for w, before in zip(words, [b"", *words], strict=False) if w != before])
 
 
 class Scorer:
@@ -49,67 +56,67 @@ class Scorer:
         self.bias, self.words = model.bias, WordScores(model.weights)
 
     def logit(self, text: bytes) -> float:
-        words = pieces_of_long(text.split())
-        if not words:
+        return self.worst([self.words[w] for w in words_of(text)])
+
+    def worst(self, each: list[float]) -> float:
+        """The greatest mean over a run of ``PASSAGE`` word scores (fewer words are one passage, none is the bias alone)."""
+        if not each:
             return self.bias
-        each = np.fromiter(map(self.words.__getitem__, words), np.float64, len(words))
-        each = each[np.concatenate([[True], each[1:] != each[:-1]])]  # runs of one word count once
-        n = max(len(each) - PASSAGE + 1, 1)  # every window of PASSAGE words; fewer words are one
-        return float(sum(each[k : k + n] for k in range(min(PASSAGE, len(each)))).max()) / PASSAGE + self.bias
+        scores = np.array(each)
+        n = max(len(scores) - PASSAGE + 1, 1)
+        return float(sum(scores[k : k + n] for k in range(min(PASSAGE, len(scores)))).max()) / PASSAGE + self.bias
 
     def score(self, text: bytes) -> float:
         return 1 / (1 + math.exp(-min(max(self.logit(text), -30.0), 30.0)))
 
 
-def train(texts: list[bytes], toxic: list[int], size: int = BUCKETS, dimensions: int = DIMENSIONS, steps: int = STEPS, seed: int = 7) -> Model:
-    """Fit on whole texts; every fifth is kept back to place the threshold. Without both classes, the bias alone."""
+def train(words: list[list[str]], toxic: list[int], size: int = BUCKETS, dimensions: int = DIMENSIONS, steps: int = STEPS, seed: int = 7) -> Model:
+    """Fit on the normalised words of each document; every fifth is kept back to place the threshold. Without both classes, the bias alone."""
     y_doc = np.array(toxic, np.float64)
     back = np.arange(len(y_doc)) % 5 == 4
     if min(y_doc[~back].sum(), (1 - y_doc[~back]).sum()) < 1:
         share = (y_doc.sum() + 0.5) / (len(y_doc) + 1)
         return Model(np.zeros(size), math.log(share / (1 - share)) - 3)
-    pieces, doc, known = [], [], {}  # one object for each different word
-    for i in np.nonzero(~back)[0]:
-        got = cut(pieces_of_long(texts[i].split()), WINDOW) or [set()]
-        pieces += [[known.setdefault(w, w) for w in sorted(x)] for x in got]
-        doc += [i] * len(got)
-    doc_of = np.array(doc)
-    bags = Bags(pieces, size, floor=WINDOW)
+    known: dict[str, int] = {}
+    ids = [np.array([known.setdefault(w, len(known)) for w in words[i]] or [known.setdefault("", len(known))], np.int32) for i in np.nonzero(~back)[0]]
+    lengths = [np.diff(np.append(np.arange(0, len(x), PASSAGE), len(x))) for x in ids]
+    doc_of = np.repeat(np.nonzero(~back)[0], list(map(len, lengths)))
+    bags = Bags(list(known), np.concatenate(ids), np.concatenate(lengths), size, PASSAGE)
     rng = np.random.default_rng(seed)
-    table = rng.normal(0, 0.03, (size + 1, dimensions))
+    table = rng.normal(0, 0.03, (size + 1, dimensions)).astype(np.float32)
     table[-1] = 0
     out, bias = rng.normal(0, 0.3, (dimensions, 2)), np.array([0.0, -1.0])
     steppers = [Descent(table, RATE, bags.frequency), Descent(out, RATE, share=1.0), Descent(bias, RATE, share=1.0)]
     y, weight = y_doc[doc_of], np.ones(len(doc_of))
-    first = np.concatenate([[True], doc_of[1:] != doc_of[:-1]]).nonzero()[0]
-    place = np.cumsum(np.concatenate([[0], doc_of[1:] != doc_of[:-1]]))
+    new = np.concatenate([[True], doc_of[1:] != doc_of[:-1]])
+    first, place = new.nonzero()[0], np.cumsum(new) - 1
     for step in range(steps):
-        mean = bags.means(table) * WINDOW
+        mean = bags.means(table) * PASSAGE
         logits = mean @ out + bias
         p = 1 / (1 + np.exp(-np.clip(logits[:, 1] - logits[:, 0], -30, 30)))
-        if step >= steps // 5:  # by now a toxic document's windows differ; each counts as much as it stands out
+        if step >= steps // 5:  # by now a toxic document's passages differ; each counts as much as it stands out
             top = np.maximum.reduceat(p, first)[place]
             weight = np.where(y == 1, (p / top) ** 2, 1.0)
         half = np.where(y == 1, 0.5 / max((weight * y).sum(), 1e-9), 0.5 / max((weight * (1 - y)).sum(), 1e-9))
         e = (p - y) * half * weight
         both = np.stack([-e, e], axis=1)
-        for stepper, slope in zip(steppers, (bags.slopes(both @ out.T * WINDOW), mean.T @ both, both.sum(axis=0)), strict=True):
+        for stepper, slope in zip(steppers, (bags.slopes(both @ out.T * PASSAGE), mean.T @ both, both.sum(axis=0)), strict=True):
             stepper.step(slope)
-    model = Model(table[:-1] @ (out[:, 1] - out[:, 0]) * WINDOW, float(bias[1] - bias[0]))
+    model = Model(table[:-1].astype(np.float64) @ (out[:, 1] - out[:, 0]) * PASSAGE, float(bias[1] - bias[0]))
     chosen = back if min(y_doc[back].sum(), (1 - y_doc[back]).sum()) >= 5 else np.ones(len(y_doc), bool)
-    return calibrated(model, [t for t, k in zip(texts, chosen, strict=True) if k], y_doc[chosen])
+    return calibrated(model, [w for w, k in zip(words, chosen, strict=True) if k], y_doc[chosen])
 
 
-def calibrated(model: Model, texts: list[bytes], toxic: np.ndarray) -> Model:
+def calibrated(model: Model, words: list[list[str]], toxic: np.ndarray) -> Model:
     """Slope and bias that put the threshold between nearly all clean texts and the toxic ones that stand out from them."""
     scorer = Scorer(model)
-    z = np.array([scorer.logit(t) for t in texts])
+    z = np.array([scorer.worst([scorer.words.mean(w) for w in x]) for x in words])
     low = np.quantile(z[toxic == 0], 0.995)
     above = z[(toxic == 1) & (z > low)]
     high = np.median(above) if len(above) else low + 1
     slope = 10 / max(high - low, 0.1)
     aim = math.log(THRESHOLD / (1 - THRESHOLD))
-    return Model(model.weights * slope, (model.bias - (0.85 * low + 0.15 * high)) * slope + aim)
+    return Model(model.weights * slope, (model.bias - (0.9 * low + 0.1 * high)) * slope + aim)
 
 
 def fold(id_col: str = "doc_id"):
@@ -117,29 +124,58 @@ def fold(id_col: str = "doc_id"):
     return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4))
 
 
-def training_rows(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = TRAINING_ROWS, chars: int = TRAINING_CHARS) -> DataFrame:
+def training_rows(docs: DataFrame, labels: DataFrame, rows: tuple[int, int] = TRAINING_ROWS) -> DataFrame:
     """About ``rows`` (clean, toxic) labelled texts at most ``(text, toxic)`` outside the held-out fold, each text once.
 
-    The ids are chosen among the labels by hash first, so the join's small side is bounded by ``rows``.
+    The ids are chosen among the labels by hash first, so the join's small side is bounded by ``rows``. Null labels, ids and
+    texts are left out; of two labels of an id or a text, toxic holds.
     """
     held = labels.where("toxic IN (0, 1) AND doc_id IS NOT NULL").where(fold() != 2).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     there = {r["toxic"]: r["n"] for r in held.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
     bound = F.lit(0)
     for k, n in there.items():
-        bound = F.when(F.col("toxic") == k, F.lit(math.ceil(min(1.0, rows[k] / n) * (1 << 20)))).otherwise(bound)
-    chosen = held.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 20)) < bound)
-    found = docs.where(F.col("text").isNotNull() & (F.length("text") <= chars)).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
-    return found.groupBy("text").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("text"), "text")
+        bound = F.when(F.col("toxic") == k, F.lit(math.ceil(min(1.0, rows[k] / n) * (1 << 40)))).otherwise(bound)
+    chosen = held.where(F.pmod(F.xxhash64("doc_id", F.lit("toxicity")), F.lit(1 << 40)) < bound)
+    found = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("text").agg(F.max("toxic").alias("toxic"))
+
+
+def training_words(rows: DataFrame, most: int = TRAINING_PASSAGES) -> DataFrame:
+    """``(mark, toxic, words)``: the normalised words of each text, one per line. Where all texts together have more than ``most``
+    passages, each passage stays by a hash of its text and place, so that long texts are seen from beginning to end."""
+    rows = cut(rows)
+    there = rows.select(F.ceil(F.size(F.split("text", "[\\x20\\x09-\\x0D]+")) / PASSAGE).alias("n")).agg(F.sum("n")).first()[0] or 0
+    share = min(1.0, most / max(there, 1))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            marks, found = [], []
+            for t in texts(b, "text"):
+                words, mark = [normal(w) for w in words_of(t)], xxhash.xxh64_intdigest(t)
+                if share < 1:
+                    n = -(-len(words) // PASSAGE)
+                    drawn = (np.arange(n, dtype=np.uint64) + np.uint64(mark)) * np.uint64(0x9E3779B97F4A7C15)
+                    drawn = (drawn ^ (drawn >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) >> np.uint64(32)
+                    words = [w for k in np.nonzero(drawn < share * 2**32)[0].tolist() for w in words[k * PASSAGE : (k + 1) * PASSAGE]]
+                marks.append(mark - 2**63)
+                found.append("\n".join(words))
+            yield pa.RecordBatch.from_arrays([pa.array(marks, pa.int64()), b.column(1), pa.array(found, pa.string())], names=["mark", "toxic", "words"])
+
+    return rows.select("text", F.col("toxic").cast("int").alias("toxic")).mapInArrow(run, "mark bigint, toxic int, words string")
 
 
 def fit(docs: DataFrame, labels: DataFrame, **how) -> Model:
-    """Collects the bounded training rows and fits the model on the driver."""
-    got = training_rows(docs, labels, **how).collect()
-    return train([r["text"].encode() for r in got], [r["toxic"] for r in got])
+    """Collects the bounded training words and fits the model on the driver."""
+    got = sorted(training_words(training_rows(docs, labels, **how)).collect())
+    return train([r["words"].split("\n") if r["words"] else [] for r in got], [r["toxic"] for r in got])
 
 
 def score(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``score`` (0 to 1) and ``predicted``. Null and empty texts score as a text without words."""
+    """``docs`` with ``score`` (0 to 1) and ``predicted``, which replace columns of these names.
+
+    Null and empty texts score as a text without words, the bias alone. Texts of any length are read whole. Repeated rows stay and
+    get equal scores; an empty table gives an empty result.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size: a number for each bucket
     made: list[Scorer] = []
 

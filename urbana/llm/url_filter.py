@@ -1,7 +1,9 @@
 """URL verdicts: rules by host and path first, then logistic regression on hashed character n-grams.
 
 Everything that touches the pages is column expressions. The model is fitted on a small labelled URL table
-by gradient steps, each of which is one grouped aggregate.
+by gradient steps, each of which is one grouped aggregate. The default table is made by rule from the word lists
+below: hosts of one or two words (unwanted if one of them is a word of unwanted trades) or of made-up names,
+under the same domains and paths in either class, so that only the name tells them apart.
 """
 
 from __future__ import annotations
@@ -13,27 +15,23 @@ from pyspark.sql import functions as F
 
 from urbana.session import cut
 
-BUCKETS = 512
+BUCKETS = 4096
 GRAM = 4
-STEPS = 12
+STEPS = 16
 RATE = 0.6
 LABELLED_ROWS = 4096  # rows of the labelled table that are used, by the order of their hash
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-# The default labelled URLs; 1 is unwanted.
-UNWANTED = [
-    "http://spam-farm.example.org/en/1", "https://www.spam-links.example.com/fr/20", "http://cheap-pills.example.com/en/450", "https://blog.cheap-meds.example.org/de/3",
-    "https://pills-online.example.com/es/81", "http://casino-bonus.example.com/en/9", "https://www.online-casino.example.org/en/77", "http://free-casino.example.com/fr/12",
-    "https://m.xxx-videos.example.com/en/5", "http://adult-chat.example.org/en/43", "https://win-prizes.example.com/de/19", "http://click-farm.example.org/es/902",
-    "http://viagra-shop.example.com/en/33", "https://payday-loans.example.org/en/6", "https://www.link-farm.example.com/en/15", "http://replica-watches.example.org/fr/54",
-]
-WANTED = [
-    "https://www.thering.example.com/en/328/", "http://therha.example.com/en/676", "https://blog.tionsh.example.org/es/533/", "https://m.therou.example.com/en/474.html",
-    "http://ththed.example.org/en/453", "https://library.example.com/en/25", "https://www.museum.example.org/de/612", "http://news.example.com/fr/825",
-    "https://school.example.org/en/671", "https://www.council.example.com/es/384", "http://weather.example.org/en/762", "https://blog.gardening.example.com/en/629",
-    "https://docs.example.org/en/777", "http://history.example.com/de/252", "https://www.transport.example.com/fr/414", "https://m.health.example.org/en/38",
-]
+# Words of the default labelled URLs.
+TRADES = ["casino", "poker", "slots", "bets", "jackpot", "pills", "meds", "viagra", "loans", "payday", "xxx", "adult", "porn", "sex", "spam", "ads", "clicks", "track", "farm", "replica", "warez", "torrent"]
+LURES = ["free", "cheap", "win", "bonus", "online", "best", "hot", "easy", "fast", "top", "x", "vip", "deals", "prizes", "now"]
+TOPICS = ["library", "museum", "news", "school", "council", "weather", "garden", "history", "transport", "health", "science", "music", "city", "river", "forum", "wiki", "bread", "street", "travel", "sport", "theatre", "archive", "market", "island", "bridge", "village"]
+# The most frequent pairs of letters, and endings, of English words.
+SYLLABLES = ["th", "he", "in", "er", "an", "re", "on", "at", "en", "nd", "ti", "es", "or", "te", "ed", "is", "it", "al", "ar", "st", "to", "nt", "ing", "tion", "ble", "ha", "ou", "ea", "sh", "wh", "ly"]
+DOMAINS = ["example.com", "example.org", "example.net"]
+PREFIXES = ["", "www.", "m.", "blog."]
+LANGUAGES = ["en", "de", "fr", "es"]
 
 RULES = [("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/")]
 
@@ -64,9 +62,26 @@ def buckets(buckets_: int = BUCKETS, gram: int = GRAM) -> Column:
 
 
 def labelled_urls(spark: SparkSession) -> DataFrame:
-    """The default labelled table ``(url, label)``."""
-    rows = [F.struct(F.lit(u).alias("url"), F.lit(label).alias("label")) for label, urls in ((1, UNWANTED), (0, WANTED)) for u in urls]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    """The default labelled table ``(url, label)``, about 2,500 rows; 1 is unwanted."""
+    each = lambda words: F.explode(F.array(*[F.lit(w) for w in words]))
+    one = spark.range(1)
+
+    def pairs(first: list[str], second: list[str], joints: list[str], share: int) -> DataFrame:
+        """Hosts of two words, one in ``share`` of all by hash."""
+        both = one.select(each(first).alias("a")).select("a", each(second).alias("b")).select("a", "b", each(joints).alias("j")).where("a <> b")
+        return both.where(F.pmod(F.xxhash64("a", "b", "j", F.lit("pair")), F.lit(share)) == 0).select(F.concat("a", "j", "b").alias("name"))
+
+    names = one.select(each(SYLLABLES).alias("a")).select("a", each(SYLLABLES).alias("b")).select("a", "b", each(SYLLABLES).alias("c"))
+    unwanted = one.select(each(TRADES).alias("name")).unionByName(pairs(TRADES, LURES + TRADES, ["-", ""], 3)).unionByName(pairs(LURES, TRADES, ["-", ""], 3))
+    wanted = one.select(each(TOPICS).alias("name")).unionByName(pairs(TOPICS, TOPICS, ["-", ""], 3))
+    wanted = wanted.unionByName(names.where(F.pmod(F.xxhash64("a", "b", "c", F.lit("name")), F.lit(40)) == 0).select(F.concat("a", "b", "c").alias("name")))
+    every = unwanted.withColumn("label", F.lit(1)).unionByName(wanted.withColumn("label", F.lit(0)))
+
+    def of(values: list[str], salt: int) -> Column:
+        return F.get(F.array(*[F.lit(v) for v in values]), F.pmod(F.xxhash64("name", F.lit(salt)), F.lit(len(values))).cast("int"))
+
+    number = F.pmod(F.xxhash64("name", F.lit(5)), F.lit(1000)).cast("string")
+    return every.select(F.concat(of(["http://", "https://"], 1), of(PREFIXES, 2), "name", F.lit("."), of(DOMAINS, 3), F.lit("/"), of(LANGUAGES, 4), F.lit("/"), number, of(["", "/", ".html"], 6)).alias("url"), "label")
 
 
 def fit(labelled: DataFrame, steps: int = STEPS, rate: float = RATE, buckets_: int = BUCKETS) -> list[float]:
@@ -103,7 +118,8 @@ def judge(pages: DataFrame, labelled: DataFrame | None = None, rules: list[tuple
     """``pages`` with ``host``, ``path``, ``rule``, ``score`` and ``verdict`` (allow or block).
 
     A rule decides where one fits, else the score does. Null, empty and malformed urls have empty parts and
-    get the score of an empty url. Repeated rows stay; an empty table gives an empty result.
+    get the score of an empty url. Repeated rows stay, of equally long rules that fit the last by text holds; columns named like
+    the added ones are replaced; an empty table gives an empty result.
     """
     rules = RULES if rules is None else rules
     weights = fit(labelled if labelled is not None else labelled_urls(pages.sparkSession))

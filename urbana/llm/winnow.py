@@ -1,9 +1,12 @@
 """Document fingerprints by winnowing, in column expressions alone.
 
-Every k-gram of words is hashed; of each window of ``w`` neighbouring k-grams the smallest hash is chosen, the
-rightmost of equal ones, and the choices are kept with their positions. Two texts that share ``w + k - 1`` words in
-a row share a choice. A text of fewer words than that is one window, one of fewer than ``k`` one gram. Words stand
-between ASCII white space.
+Every ``k``-gram of bytes (UTF-8) is hashed; of each window of ``w`` neighbouring k-grams the smallest hash is chosen, the
+rightmost of equal ones, and the choices are kept with their positions. Two texts that share ``w + k - 1`` bytes in
+a row share a choice, in any script. A text of fewer bytes than that is one window, one of fewer than ``k`` one gram.
+
+The hash of a gram is its CRC-32, the remainder of a polynomial over two values, which is what a rolling hash would carry on.
+Column expressions carry no state along an array, so each gram is evaluated from its ``k`` bytes; a recurrence by
+doubling (grams of 2, 4 and 8 from overlapping smaller ones) gives a polynomial hash too and took four times as long.
 """
 
 from __future__ import annotations
@@ -11,11 +14,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-GRAM = 5
-WINDOW = 4
-POSITION_BITS = 24
+from urbana.operators.select import global_rank
+from urbana.session import cut
+
+GRAM = 8
+WINDOW = 32  # a product of WAYS
+WAYS = (4, 4, 2)
+POSITION_BITS = 31
 POSITIONS = (1 << POSITION_BITS) - 1
-HASH_MASK = (1 << (62 - POSITION_BITS)) - 1
+BUCKET_ROWS = 512
 
 
 def _let(value: Column, body) -> Column:
@@ -23,32 +30,56 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def packed_grams(text: Column, gram: int = GRAM) -> Column:
-    """For each k-gram its hash, above the position counted backwards: the least is the least hash, of equals the rightmost."""
-    words = F.filter(F.split(text, "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+def packed_grams(raw: Column, gram: int = GRAM) -> Column:
+    """For each k-gram of a binary its hash, above the position counted backwards: the least is the least hash, of equals the rightmost."""
+
+    def grams(x: Column) -> Column:
+        every = F.sequence(F.lit(1), F.greatest(F.length(x) - (gram - 1), F.lit(1)))
+        hashed = F.transform(every, lambda i: F.shiftleft(F.crc32(F.substring(x, i, F.lit(gram))), POSITION_BITS).bitwiseOR(F.lit(POSITIONS) - i))
+        return F.when(F.length(x) > 0, hashed).otherwise(F.array().cast("array<bigint>"))
+
+    return _let(raw, grams)
+
+
+def minima(grams: Column, ways: tuple[int, ...] = WAYS) -> Column:
+    """The least of each window. Windows grow level by level: the least of ``n`` windows that follow each other is that of a longer one.
+    Grams that fill no window, or just one, are one window."""
+
+    def longer(n: int, reach: int):
+        return lambda a: F.transform(F.slice(a, 1, F.size(a) - reach * (n - 1)), lambda x, i: F.least(x, *[F.get(a, i + reach * j) for j in range(1, n)]))
 
-    def pack(of: Column, at: Column) -> Column:
-        return F.shiftleft(of.bitwiseAND(F.lit(HASH_MASK)), POSITION_BITS).bitwiseOR((F.lit(POSITIONS) - at).bitwiseAND(F.lit(POSITIONS)))
+    def every(own: Column) -> Column:
+        found, reach = own, 1
+        for n in ways:
+            found, reach = _let(found, longer(n, reach)), reach * n
+        return F.when(F.size(own) > reach, found).when(F.size(own) > 0, F.array(F.array_min(own))).otherwise(own)
 
-    def grams(hashed: Column) -> Column:
-        n = F.greatest(F.size(hashed) - F.lit(gram - 1), F.lit(1))
-        # get() gives null past the end, which the hash leaves out: a short text is one gram.
-        every = F.transform(F.sequence(F.lit(1), n), lambda i: pack(F.xxhash64(*[F.get(hashed, i + (j - 1)) for j in range(gram)]), i))
-        return F.when(F.size(hashed) > 0, every).otherwise(F.array().cast("array<bigint>"))
+    return _let(grams, every)
 
-    return _let(F.transform(words, lambda w: F.xxhash64(w)), grams)
 
+def fingerprint(text: Column) -> Column:
+    """The chosen grams of a text, ``hash << 31 | (2**31 - 1 - position)`` in the order of their windows; empty for no text."""
+    return chosen(F.coalesce(text, F.lit("")).cast("binary"))
 
-def fingerprint(text: Column, gram: int = GRAM, window: int = WINDOW) -> Column:
-    """The chosen grams ``hash << 24 | (2**24 - 1 - position % 2**24)`` in the order of their windows; empty for no text."""
 
-    def choose(grams: Column) -> Column:
-        windows = F.greatest(F.size(grams) - F.lit(window - 1), F.lit(1))
-        # least() leaves out nulls past the end: a short text is one window.
-        least = F.transform(F.sequence(F.lit(0), windows - 1), lambda i: F.least(*[F.get(grams, i + j) for j in range(window)]))
-        return F.when(F.size(grams) > 0, F.array_distinct(least)).otherwise(F.array().cast("array<bigint>"))
+def chosen(raw: Column) -> Column:
+    return F.array_distinct(minima(packed_grams(raw)))
 
-    return _let(packed_grams(F.coalesce(text, F.lit("")), gram), choose)
+
+def edited_fingerprint(own: Column, changed: Column, head: Column) -> Column:
+    """``fingerprint(changed)`` of a text that begins with the first ``head`` bytes of one whose fingerprint is ``own``.
+
+    The windows that lie in the head chose the same grams there; only those that reach beyond it are looked at.
+    """
+
+    def joined(v: Column) -> Column:
+        rest = F.transform(chosen(v["tail"]), lambda x: x - v["start"])
+        return F.array_distinct(F.concat(F.filter(v["own"], lambda x: F.lit(POSITIONS) - x.bitwiseAND(F.lit(POSITIONS)) <= v["sure"]), rest))
+
+    # The last position that a window of the head can be the first to choose; then the bytes before the first window that may differ.
+    bounds = F.struct((head - (GRAM + WINDOW - 2)).alias("sure"), F.greatest(head - (GRAM + 2 * WINDOW - 3), F.lit(0)).alias("start"))
+    tail = lambda v: F.substring(changed.cast("binary"), v["start"] + 1, F.octet_length(changed))
+    return _let(bounds, lambda v: _let(F.struct(own.alias("own"), v["sure"].alias("sure"), v["start"].alias("start"), tail(v).alias("tail")), joined))
 
 
 def hashes(chosen: Column) -> Column:
@@ -56,7 +87,7 @@ def hashes(chosen: Column) -> Column:
 
 
 def positions(chosen: Column) -> Column:
-    """The number of the word that each chosen gram starts at, from 1 (modulo 2**24)."""
+    """The number of the byte that each chosen gram starts at, from 1."""
     return F.transform(chosen, lambda x: F.lit(POSITIONS) - x.bitwiseAND(F.lit(POSITIONS)))
 
 
@@ -76,43 +107,31 @@ def label(chosen: Column) -> Column:
     return F.lower(F.concat(*[F.lpad(F.hex(F.xxhash64(F.lit(seed), chosen)), 16, "0") for seed in (1, 2)]))
 
 
-def with_next(docs: DataFrame, carried: dict[str, Column], id_col: str = "doc_id", text: str = "text", per_bucket: int = 2048) -> DataFrame:
+def with_next(docs: DataFrame, carried: dict[str, Column], id_col: str = "doc_id", text: str = "text", bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """``(doc_id, text, *carried, next_text, next_*)``: each row beside the next by id; after the last comes the first.
 
-    Rows are dealt to buckets of neighbouring ids by quantiles, so no window holds more than a bucket; the first row
-    of each bucket is also put at the end of the one before. Null ids come first, null texts are empty, equal
-    ids are ordered by text. ``carried`` columns are computed once for each row.
+    Null ids come first, null texts are empty, equal ids are ordered by a hash of the text; rows equal in both are one document that
+    comes out as often as it went in, beside the next different one (or itself, if there is no other). Narrow rows (id and hash) are
+    numbered; texts then go to buckets of as many neighbouring numbers, whatever the ids are, the first of each bucket also to the one
+    before. ``carried`` columns are computed once for each row. An empty table gives an empty result.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63))))
-    ids = rows.select("key")
-    n = max(1, ids.count() // per_bucket)
-    cuts = sorted({int(x) for x in ids.stat.approxQuantile("key", [i / n for i in range(1, n)], 0.2 / n)}) if n > 1 else []
-    steps, step = [], 1
-    while step <= len(cuts):
-        steps.insert(0, step)
-        step *= 2
-    bounds = _longs(cuts)
-    # Binary search: how many cuts lie below the key.
-    bucket = F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), lambda at, s: F.when(F.get(bounds, at + s - 1) < F.col("key"), at + s).otherwise(at)) if steps else F.lit(0)
-    dealt = rows.withColumn("bucket", bucket)
-    firsts = {r["bucket"]: r["key"] for r in dealt.groupBy("bucket").agg(F.min("key").alias("key")).collect()}  # a row for each bucket
-    present = sorted(firsts)
-    before = {b: present[i - 1] for i, b in enumerate(present)}
-    first, prior = _longs([firsts.get(b) for b in range(len(cuts) + 1)]), _longs([before.get(b) for b in range(len(cuts) + 1)])
-    own = F.struct(F.col("bucket").cast("long").alias("bucket"), F.lit(0).alias("extra"))
-    copy = F.struct(F.get(prior, F.col("bucket")).alias("bucket"), F.lit(1).alias("extra"))
-    places = F.when(F.col("key") == F.get(first, F.col("bucket")), F.array(own, copy)).otherwise(F.array(own))
-    spread = dealt.select("doc_id", "key", "text", F.inline(places)).repartition("bucket")
+    rows = rows.withColumn("key", F.coalesce("doc_id", F.lit(-(2**63)))).withColumn("mark", F.xxhash64("text"))
+    ranked = cut(global_rank(rows.groupBy("key", "mark").agg(F.count(F.lit(1)).alias("copies")), ["key", "mark"]))
+    n, most = ranked.agg(F.count(F.lit(1)), F.max("copies")).first()
+    if most and most > 1:
+        rows = rows.groupBy("key", "mark").agg(F.first("doc_id").alias("doc_id"), F.first("text").alias("text"))
+    at = F.col("rank") - 1
+    own = F.struct(F.floor(at / bucket_rows).alias("bucket"), at.alias("place"))
+    before = F.when(at == 0, F.lit(n)).otherwise(at)  # the first follows the last
+    copy = F.struct(F.floor((before - 1) / bucket_rows).alias("bucket"), before.alias("place"))
+    places = F.when(at % bucket_rows == 0, F.array(own, copy)).otherwise(F.array(own))
+    spread = rows.join(ranked, ["key", "mark"]).select("doc_id", "text", "copies", F.inline(places)).repartition("bucket")
     made = spread.select("*", *[c.alias(k) for k, c in carried.items()])
-    order = Window.partitionBy("bucket").orderBy("extra", "key", "text")
+    order = Window.partitionBy("bucket").orderBy("place")
     following = made.select("*", *[F.lead(k).over(order).alias(f"next_{k}") for k in ("text", *carried)])
-    return following.where("extra = 0").drop("key", "bucket", "extra")
-
-
-def _longs(values: list[int | None]) -> Column:
-    """A constant array of longs."""
-    return F.split(F.lit(",".join("" if v is None else str(v) for v in values)), ",").try_cast("array<bigint>")
+    several = following.where("next_text IS NOT NULL")
+    return several.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).drop("bucket", "place", "copies", "copy")
 
 
 def edited(text: Column, following: Column) -> Column:
@@ -124,8 +143,12 @@ def edited(text: Column, following: Column) -> Column:
 def compare(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """Each document's fingerprint beside its edited text's and the next document's, with their likeness.
 
-    One row per row of ``docs``; an empty table gives an empty result.
+    One row per row of ``docs``; other columns are not read. Null and empty texts have an empty fingerprint, which is wholly like another
+    empty one. Order and repeated rows as in ``with_next``. An empty table gives an empty result.
     """
     pairs = with_next(docs, {"chosen": fingerprint(F.col("text"))}, id_col, text)
-    full = pairs.withColumn("edited", edited(F.col("text"), F.col("next_text"))).withColumn("edited_chosen", fingerprint(F.col("edited")))
+    half = F.floor(F.length("text") / 2).cast("int")
+    head = F.octet_length(F.substring("text", F.lit(1), F.length("text") - half))
+    full = pairs.withColumn("edited", edited(F.col("text"), F.col("next_text"))).withColumn("head", head)
+    full = full.withColumn("edited_chosen", edited_fingerprint(F.col("chosen"), F.col("edited"), F.col("head"))).drop("head")
     return full.withColumn("near_edited", likeness(F.col("chosen"), F.col("edited_chosen"))).withColumn("near_next", likeness(F.col("chosen"), F.col("next_chosen")))
