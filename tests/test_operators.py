@@ -176,3 +176,11 @@ def test_clusters_against_brute_force(spark, latitude):
     df = spark.createDataFrame([(*p, "x", 1) for p in points], "id long, tipo string, lat double, lon double, kind string, part int")
     got = geo_clusters(df, "id", "tipo", "lat", "lon", 500.0).collect()
     assert {r["id"]: r["cluster"] for r in got} == near and all((r["kind"], r["part"]) == ("x", 1) for r in got)
+
+
+def test_deep_folders_keep_their_placemarks(spark):
+    mark = "<Placemark><name>p{0}</name><Point><coordinates> {0},1 </coordinates></Point></Placemark>"
+    kml = "".join(f"<Folder><name>f{i}</name>{mark.format(i)}" for i in range(6)) + "</Folder>" * 6
+    kml = f"<kml><Document><name>d</name>{kml}<Folder><name>g</name>{mark.format(9)}</Folder></Document></kml>"
+    got = io.placemarks(spark.createDataFrame([(kml,), (None,)], "k string"), "k").collect()
+    assert {(r["folder"], r["name"], r["coordinates"]) for r in got} == {(f"f{i}", f"p{i}", f"{i},1") for i in range(6)} | {("g", "p9", "9,1")}

@@ -9,10 +9,10 @@ from urbana.session import scratch_path
 from urbana.streaming import ops
 
 
-def _events(t, files: int = 1):
-    """``events`` as a stream of files in time order, so that nothing comes late."""
+def _events(t):
+    """``events`` as a stream of files, each a range of time; what is there comes in one batch, so nothing is late."""
     at = scratch_path(t.spark, "events")
-    t.events.repartitionByRange(files, "ts").sortWithinPartitions("ts").write.parquet(at)
+    t.events.repartitionByRange("ts").write.parquet(at)
     return ops.stream_files(t.spark, at, t.events.schema, "ts")
 
 
@@ -22,7 +22,7 @@ def _ntz(df, *cols):
 
 @query("r01_stream_files", "SELECT event_id, user_id, event_type FROM events")
 def _(t):
-    return ops.run_once(_events(t, 4).select("event_id", "user_id", "event_type"))
+    return ops.run_once(_events(t).select("event_id", "user_id", "event_type"))
 
 
 @query("r02_stream_digest", "SELECT event_id, event_type FROM events WHERE event_type IN ('click', 'purchase')")
@@ -39,7 +39,7 @@ def _(t):
 def _flushed(t, plan):
     """A stream of all events and, last, one far in the future that moves the watermark past every window; its own rows are dropped."""
     at = scratch_path(t.spark, "flushed")
-    t.events.repartitionByRange(1, "ts").write.parquet(f"{at}/a")
+    t.events.repartitionByRange("ts").write.parquet(f"{at}/a")
     last = t.events.limit(1).withColumn("ts", F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'"))
     last.write.parquet(f"{at}/b")
     return plan(ops.stream_files(t.spark, f"{at}/*", t.events.schema, "ts"))

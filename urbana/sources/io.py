@@ -67,8 +67,24 @@ def read_xml_rows(spark: SparkSession, path: str, row_tag: str, schema: T.Struct
     return spark.read.format("xml").option("rowTag", row_tag).schema(schema).load(path)
 
 
-def placemarks(df: DataFrame, text: str, depth: int = 3) -> DataFrame:
-    """Placemarks of KML texts: ``(folder, name, coordinates, attributes)``; ``folder`` is the nearest one, to a bounded depth."""
+def folder_depth(text: Column) -> Column:
+    """How deep the folders of a KML text lie in each other."""
+    tags = F.regexp_extract_all(text, F.lit(r"<(/?)Folder(?:\s[^>]*[^/>]|\s)?>"), F.lit(1))
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(at: Column, closing: Column) -> Column:
+        now = F.when(closing == "/", at["now"] - 1).otherwise(at["now"] + 1)
+        return F.struct(now.alias("now"), F.greatest(at["most"], now).alias("most"))
+
+    return F.aggregate(tags, zero, step, lambda at: at["most"])
+
+
+def placemarks(df: DataFrame, text: str) -> DataFrame:
+    """Placemarks of KML texts: ``(folder, name, coordinates, attributes)``; ``folder`` is the nearest one.
+
+    The schema follows the deepest folder that occurs, so none is lost. Null texts have no placemarks.
+    """
+    depth = max(1, df.agg(F.max(folder_depth(F.col(text)))).first()[0] or 0)
     mark = "Placemark ARRAY<STRUCT<name STRING, Point: STRUCT<coordinates STRING>, ExtendedData: STRUCT<Data: ARRAY<STRUCT<_name STRING, value STRING>>>>>"
     node = f"STRUCT<name STRING, {mark}>"
     for _ in range(depth - 1):
