@@ -68,14 +68,6 @@ def attachment_links(c: Column) -> Column:
     return F.array_join(F.filter(F.split(block, r"[\s,;]+"), lambda x: x.startswith("http")), ";")
 
 
-def chat_markup(c: Column) -> Column:
-    """Markdown emphasis, headings, links and bullets as chat markup."""
-    steps = [(r"\*\*(.+?)\*\*", "*$1*"), (r"__(.+?)__", "_$1_"), (r"~~(.+?)~~", "~$1~"), (r"(?m)^#{1,6}\s+(.+)$", "*$1*"), (r"\[([^\]]+)\]\(([^)]+)\)", "$1: $2"), (r"(?m)^[-+]\s+", "• ")]
-    for pattern, to in steps:
-        c = F.regexp_replace(c, pattern, to)
-    return c
-
-
 def fill(template: str, **values: Column) -> Column:
     """``{name}`` in a template replaced by values; a null value is an empty text."""
     parts, rest = [], template

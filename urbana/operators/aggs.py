@@ -81,6 +81,12 @@ def nest(df: DataFrame, keys: list[str], cols: list[str], name: str = "items") -
     return df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(*cols))).alias(name))
 
 
+def nest_by(df: DataFrame, keys: list[str], by: str, cols: list[str], name: str = "items") -> DataFrame:
+    """A group's rows as a map from one column to a struct of others, in order; of rows with the same name the last in order counts."""
+    last = df.groupBy(*keys, by).agg(F.max(F.struct(*cols)).alias("__v"))
+    return last.groupBy(*keys).agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct(by, "__v")))).alias(name))
+
+
 def run_stats(df: DataFrame, key: str) -> DataFrame:
     """Rows, different keys and null keys of a table."""
     return df.agg(F.count(F.lit(1)).alias("linhas"), F.count_distinct(key).alias("chaves"), F.count_if(F.col(key).isNull()).alias("nulos"))

@@ -5,9 +5,11 @@ from __future__ import annotations
 import datetime as dt
 import functools
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from urbana.session import cut
+
 
 def _same(keys: list[str], a: str, b: str) -> Column:
     return functools.reduce(Column.__and__, [F.col(f"{a}.{k}").eqNullSafe(F.col(f"{b}.{k}")) for k in keys])
@@ -19,6 +21,35 @@ def upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     return stay.unionByName(source.select(*target.columns))
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Truncate a staging table and load it."""
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def store(df: DataFrame, path: str, keys: list[str], parts: int = 64) -> None:
+    """Write a table dealt to parts by its keys, so that an upsert rewrites the parts it touches. For 100 TB take thousands."""
+    _dealt(df, keys, parts).repartition("__part").write.partitionBy("__part").mode("overwrite").parquet(path)
+
+
+def upsert_stored(spark: SparkSession, path: str, source: DataFrame, keys: list[str], parts: int = 64) -> None:
+    """Upsert a staged table into a stored one of so many parts; parts without a source row are neither read nor written.
+
+    The new parts are first written to the shared folder, then put in place. Running it again gives the same table. Null keys
+    are equal, the source has each key once; an empty source changes nothing.
+    """
+    new = _dealt(source, keys, parts)
+    touched = [r[0] for r in new.select("__part").distinct().collect()]  # at most ``parts`` numbers
+    if touched:
+        old = spark.read.schema(new.schema).parquet(path).where(F.col("__part").isin(touched))
+        merged = cut(upsert(old, new, ["__part", *keys]))
+        merged.repartition("__part").write.partitionBy("__part").mode("overwrite").option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _dealt(df: DataFrame, keys: list[str], parts: int) -> DataFrame:
+    return df.withColumn("__part", F.pmod(F.xxhash64(*keys), F.lit(parts)).cast("int"))
+
+
 def publish(df: DataFrame, existing: DataFrame, key: str, mode: str) -> DataFrame:
     """Full: the new rows. Incremental: the existing rows and those new by id."""
     return df if mode == "full" else existing.unionByName(df.join(existing.select(key), key, "left_anti").select(*existing.columns))

@@ -91,6 +91,29 @@ def version_matrix(df: DataFrame, entity: str, version: str, col: str) -> DataFr
     return full.withColumn("na_anterior", F.coalesce(F.lag("presente").over(w), F.lit(False))).withColumn("na_seguinte", F.coalesce(F.lead("presente").over(w), F.lit(False)))
 
 
+def version_carry(df: DataFrame, entity: str, version: str, col: str) -> DataFrame:
+    """Columns of a layout with the versions they belong to, and those they are known to be absent from: ``(…, outra, presente)``.
+
+    A column that an entity's version has is present in it. One that the version before lacks is absent from that version and
+    all older ones, one that the version after lacks is absent from that and all newer ones. Versions are those of all entities.
+    They are the releases of a layout: one row of them is broadcast.
+    """
+    here = df.select(entity, version, col).distinct()
+    w = Window.partitionBy(entity).orderBy(version)
+    steps = here.select(entity, version).distinct().withColumns({"__before": F.lag(version).over(w), "__after": F.lead(version).over(w)})
+    near = here.join(steps, [entity, version])
+
+    def absent(side: str) -> DataFrame:
+        lacks = near.where(F.col(side).isNotNull()).join(here.select(entity, F.col(version).alias(side), col), [entity, side, col], "left_anti")
+        return lacks.select(entity, version, col, F.col(side).alias("__from"), F.lit(side == "__before").alias("__down"))
+
+    book = here.agg(F.array_sort(F.collect_set(version)).alias("__book"))
+    gone = absent("__before").unionByName(absent("__after")).crossJoin(F.broadcast(book))  # one row
+    reached = F.filter("__book", lambda x: F.when(F.col("__down"), x <= F.col("__from")).otherwise(x >= F.col("__from")))
+    carried = gone.select(entity, version, col, F.explode(reached).alias("outra"), F.lit(False).alias("presente"))
+    return here.select(entity, version, col, F.col(version).alias("outra"), F.lit(True).alias("presente")).unionByName(carried)
+
+
 def dedupe_equivalents(df: DataFrame, ticket: str, person: str, order: list[str]) -> DataFrame:
     """Within a ticket one row of each person, the first in order; rows without a person all stay."""
     n = F.row_number().over(Window.partitionBy(ticket, person).orderBy(*order))

@@ -3,16 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import functools
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from urbana.functions.contact import first_valid
 from urbana.functions.text import address_key, short_name
-from urbana.operators import campaign, geo, joins, messages
+from urbana.operators import campaign, forecast, geo, joins, messages
 from urbana.operators.aggs import summarize_group
 from urbana.operators.select import dedupe_equivalents, escalating_groups, latest_by, seeded_order
 from urbana.queries.base import query
-from urbana.sources.io import read_xml_rows
 from urbana.session import scratch_path
 
 NOW = dt.datetime(2024, 1, 20, 12, 0, 0)
@@ -59,16 +60,31 @@ def _(t):
     return campaign.throttle(log, "h", "ts", F.md5(F.lit("nada")), now, 100_000_000, 120)
 
 
-@query("g05_forecast_tables", "SELECT 'previsao' AS tabela, CAST(n_nationkey AS VARCHAR) AS chave, n_name AS valor FROM nation UNION ALL SELECT 'zona', CAST(r_regionkey AS VARCHAR), r_name FROM region")
+@query("g05_forecast_tables", """
+WITH o AS (SELECT o_orderkey AS k, o_orderpriority AS p, o_orderdate AS d FROM orders), l AS (SELECT *, lpad(CAST(l_linenumber AS VARCHAR), 2, '0') AS n FROM lineitem JOIN o ON k = l_orderkey), r AS (
+SELECT k, 'sinotico' AS tabela, p AS chave, NULL AS valor, NULL AS quando, d, p FROM o WHERE k IN (SELECT l_orderkey FROM lineitem)
+UNION ALL SELECT k, 'periodo', n, l_returnflag, CAST(l_shipdate AS DATE), d, p FROM l
+UNION ALL SELECT k, 'zona', n, CAST(CAST(l_partkey + 0.5 AS DOUBLE) AS VARCHAR), CAST(d AS DATE), d, p FROM l
+UNION ALL SELECT k, 'mare', l_linestatus, CAST(CAST(l_linenumber + 0.5 AS DOUBLE) AS VARCHAR), CASE l_linenumber % 4 WHEN 3 THEN NULL ELSE CAST(l_shipdate AS DATE) END, d, p FROM l)
+SELECT tabela, md5(CAST(strftime(d, '%Y-%m-%dT%H:%M:%S') || '|' || p AS VARCHAR)) AS id_execucao, chave, valor, CAST(quando AS VARCHAR) AS quando, count(*) AS n FROM r GROUP BY ALL""")
 def _(t):
+    """A forecast document made of each order and its lines, written as lines of XML and read back as four tables."""
     at = scratch_path(t.spark, "forecast")
-    p = F.format_string('<previsao periodo="%d" ceu="%s"/>', "n_nationkey", "n_name")
-    z = F.format_string('<Zona zona="%d" maxima="%s"/>', "r_regionkey", "r_name")
-    whole = t.nation.agg(F.array_join(F.sort_array(F.collect_list(p)), "").alias("p")).crossJoin(t.region.agg(F.array_join(F.sort_array(F.collect_list(z)), "").alias("z")))  # one row each
-    whole.select(F.concat(F.lit("<previsoes>"), F.col("p"), F.lit("<Temperatura data='x'>"), F.col("z"), F.lit("</Temperatura></previsoes>"))).write.text(at)
-    doc = read_xml_rows(t.spark, at, "previsoes", "previsao ARRAY<STRUCT<_periodo: STRING, _ceu: STRING>>, Temperatura STRUCT<_data: STRING, Zona: ARRAY<STRUCT<_zona: STRING, _maxima: STRING>>>")
-    a = doc.select(F.explode("previsao").alias("x")).select(F.lit("previsao").alias("tabela"), F.col("x._periodo").alias("chave"), F.col("x._ceu").alias("valor"))
-    return a.unionAll(doc.select(F.explode("Temperatura.Zona").alias("x")).select(F.lit("zona"), F.col("x._zona"), F.col("x._maxima")))
+    day, n = F.date_format("l_shipdate", "yyyy-MM-dd"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")
+    form = F.when(F.col("l_linenumber") % 4 == 0, F.concat(day, F.lit("T00:00:00"))).when(F.col("l_linenumber") % 4 == 1, F.concat(day, F.lit(" 00:00:00"))).when(F.col("l_linenumber") % 4 == 2, F.date_format("l_shipdate", "dd/MM/yyyy 00:00:00")).otherwise("logo")
+    parts = {
+        "previsao": F.format_string('<previsao datePeriodo="%s" periodo="%s" ceu="%s"/>', day, n, "l_returnflag"),
+        "zona": F.format_string('<Zona zona="%s" maxima="%s.5"/>', n, F.col("l_partkey").cast("string")),
+        "mare": F.format_string('<tabua elevacao="%s" date="%s" altura="%s.5"/>', "l_linestatus", form, F.col("l_linenumber").cast("string")),
+    }
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*[F.array_join(F.collect_list(c), "").alias(k) for k, c in parts.items()])
+    head = F.format_string('<previsoes Createdate="%s"><quadroSinotico sinotico="%s"/>', F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), "o_orderpriority")
+    t.orders.join(lines, "o_orderkey").select(F.concat(head, "previsao", F.lit("<Temperatura>"), "zona", F.lit("</Temperatura><TabuasMares>"), "mare", F.lit("</TabuasMares></previsoes>"))).write.text(at)
+    docs = t.spark.read.text(at).select(F.from_xml("value", forecast.DOCUMENT).alias("d")).select("d.*")  # a file of many roots is no XML file
+    tables = forecast.forecast_tables(docs, NOW, F.md5(F.concat("_Createdate", F.lit("|"), "quadroSinotico._sinotico")))
+    shown = {"sinotico": ("sinotico", None, None), "periodo": ("periodo", "ceu", "data_periodo"), "zona": ("zona", "temp_maxima", "data_temperatura"), "mare": ("elevacao", "altura", "to_date(data_hora)")}
+    each = [tables[k].selectExpr(f"'{k}' AS tabela", "id_execucao", *[f"CAST({c} AS STRING) AS {name}" for c, name in zip([c or "NULL" for c in cols], ("chave", "valor", "quando"))]) for k, cols in shown.items()]
+    return functools.reduce(DataFrame.unionAll, each).groupBy("tabela", "id_execucao", "chave", "valor", "quando").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("g06_split_feed", "SELECT event_id, 'chuva' AS feed, value FROM events WHERE value IS NOT NULL UNION ALL SELECT event_id, 'rio', try_cast(json_extract_string(props, '$.k') AS DOUBLE) FROM events WHERE try_cast(json_extract_string(props, '$.k') AS DOUBLE) IS NOT NULL")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from urbana.functions import contact as ct
 from urbana.functions import dates as ds
 from urbana.functions import geo, text as tx
+from urbana.functions.markup import chat_markup
 from urbana.operators import clean
 from urbana.operators.joins import unnest
 from urbana.queries.base import query
@@ -121,10 +122,13 @@ def _(t):
     return t.part.select("p_partkey", tx.leading_number(F.concat(F.col("p_size").cast("string"), F.lit("ºC"))).alias("a"), tx.leading_number(F.lit("NIL")).alias("b"))
 
 
-@query("f18_chat_markup", r"SELECT conv_id, turn, regexp_replace('**' || role || '** [' || turn || '](http://x)', '\*\*(.+?)\*\*', '*\1*', 'g').regexp_replace('\[([^\]]+)\]\(([^)]+)\)', '\1: \2', 'g') AS t FROM conversations")
+@query("f18_chat_markup", r"""
+SELECT conv_id, turn, '*' || role || E'*\n\n*' || turn || '* http://x/' || turn || ' `**' || role || E'**`\n* feito[1]\n\n```papel' || repeat(' ', greatest(length(role) - 5, 0)) || E' | n\n' || role || repeat(' ', greatest(5 - length(role), 0)) || ' | ' || turn || E'```\n\n---\n_Notas:_\n[1] ' || role AS t
+FROM conversations""")
 def _(t):
-    s = F.concat(F.lit("**"), F.col("role"), F.lit("** ["), F.col("turn").cast("string"), F.lit("](http://x)"))
-    return t.conversations.select("conv_id", "turn", tx.chat_markup(s).alias("t"))
+    """A message around each turn with a heading, bold, a link, code, a task, a table and a footnote."""
+    body = "# {role}\n**{turn}** [aqui](http://x/{turn}) `**{role}**`\n* [x] feito[^n][^nada]\n|papel|n|\n|--|--|\n|{role}|{turn}|\n[^n]: {role}\n"
+    return t.conversations.select("conv_id", "turn", chat_markup(tx.fill(body, role=F.col("role"), turn=F.col("turn"))).alias("t"))
 
 
 @query("f19_template_fill", "SELECT c_custkey, 'Oi ' || c_name || ', saldo ' || coalesce(CASE WHEN c_custkey % 2 = 0 THEN c_mktsegment END, '') || '!' AS msg FROM customer")

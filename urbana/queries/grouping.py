@@ -97,9 +97,16 @@ def _(t):
     return aggs.usage_stats(c, "conv_id", "total", ["a", "b"], "turn", "role")
 
 
-@query("a16_nest")
+@query("a16_nest", """SELECT l_orderkey, '[' || string_agg('{"l_linenumber":' || l_linenumber || ',"l_partkey":' || l_partkey || '}', ',' ORDER BY l_linenumber, l_partkey) || ']' AS itens FROM lineitem GROUP BY 1""")
 def _(t):
-    return aggs.nest(t.part, ["p_brand"], ["p_size", "p_partkey"])
+    return aggs.nest(t.lineitem, ["l_orderkey"], ["l_linenumber", "l_partkey"]).select("l_orderkey", F.to_json("items").alias("itens"))
+
+
+@query("a16_nest_by_key", """
+SELECT l_orderkey, '{' || string_agg('"' || l_linenumber || '":{"l_partkey":' || p || ',"l_suppkey":' || s || '}', ',' ORDER BY l_linenumber) || '}' AS itens
+FROM (SELECT l_orderkey, l_linenumber, l_partkey AS p, l_suppkey AS s FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_partkey DESC, l_suppkey DESC) = 1) GROUP BY 1""")
+def _(t):
+    return aggs.nest_by(t.lineitem, ["l_orderkey"], "l_linenumber", ["l_partkey", "l_suppkey"]).select("l_orderkey", F.to_json("items").alias("itens"))
 
 
 @query("a17_run_stats", "SELECT count(*) AS linhas, count(DISTINCT l_orderkey) AS chaves, count(*) FILTER (l_orderkey IS NULL) AS nulos FROM lineitem")

@@ -12,15 +12,34 @@ from urbana.queries.sources import registry_lines
 from urbana.session import scratch_path
 
 
-@query("m01_upsert", """
+UPSERTED = """
 WITH alvo AS (SELECT CASE WHEN c_custkey % 100 <> 1 THEN c_custkey END AS k, c_mktsegment AS v FROM customer WHERE c_custkey % 2 = 0 OR c_custkey = 1), novo AS (SELECT nullif(c_custkey, 1) AS k, 'novo' AS v FROM customer WHERE c_custkey % 3 = 0 OR c_custkey = 1)
-SELECT * FROM alvo a WHERE NOT EXISTS (SELECT 1 FROM novo n WHERE n.k IS NOT DISTINCT FROM a.k) UNION ALL SELECT * FROM novo""")
+SELECT * FROM alvo a WHERE NOT EXISTS (SELECT 1 FROM novo n WHERE n.k IS NOT DISTINCT FROM a.k) UNION ALL SELECT * FROM novo"""
+
+
+@query("m01_upsert", UPSERTED)
 def _(t):
+    target, source = _upsert_sides(t)
+    return inc.upsert(target, source, ["k"])
+
+
+def _upsert_sides(t):
     target = t.customer.where("c_custkey % 2 = 0 OR c_custkey = 1").select(F.when(F.col("c_custkey") % 100 != 1, F.col("c_custkey")).alias("k"), F.col("c_mktsegment").alias("v"))
     source = t.customer.where("c_custkey % 3 = 0 OR c_custkey = 1").select(F.nullif(F.col("c_custkey"), F.lit(1)).alias("k"), F.lit("novo").alias("v"))
-    staged = scratch_path(t.spark, "stage")
-    source.write.mode("overwrite").parquet(staged)
-    return inc.upsert(target, t.spark.read.parquet(staged), ["k"])
+    return target, source
+
+
+@query("s19_stage_and_upsert", UPSERTED)
+def _(t):
+    """A staging table loaded twice, then merged twice into a stored table: the second time changes nothing."""
+    target, source = _upsert_sides(t)
+    at, staging = scratch_path(t.spark, "stored"), scratch_path(t.spark, "staging")
+    inc.store(target, at, ["k"], 16)
+    inc.stage(target, staging)
+    staged = inc.stage(source, staging)
+    for _ in range(2):
+        inc.upsert_stored(t.spark, at, staged, ["k"], 16)
+    return t.spark.read.parquet(at).select("k", "v")
 
 
 @query("m02_delete_where", "SELECT event_id FROM events WHERE NOT (event_type LIKE 'c%' AND ts < TIMESTAMP '2024-01-15')")

@@ -181,9 +181,20 @@ def _(t):
     return io.media_catalog(media, "b64", known).select("doc_id", "tipo", "sha1", "bytes")
 
 
-@query("s25_catalog")
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
+COLUMNS = f"""(SELECT DISTINCT table_name AS tabela, column_name AS coluna, CASE data_type WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT[]' THEN 'array<float>' WHEN 'TIMESTAMP' THEN 'timestamp_ntz' ELSE data_type END AS tipo,
+column_index FROM duckdb_columns() WHERE table_name IN {TABLES})"""
+
+
+@query("s25_catalog", f"SELECT tabela, coluna, tipo, CAST(row_number() OVER (PARTITION BY tabela ORDER BY column_index) - 1 AS INTEGER) AS posicao, '' AS descricao FROM {COLUMNS}")
+def _(t):
+    return io.catalog({n: getattr(t, n) for n in TABLES})
+
+
+@query("s25_catalog_documents", f"""SELECT 'base' AS conjunto, tabela, '{{' || string_agg('"' || coluna || '":{{"description":"","type":"' || tipo || '"}}', ',' ORDER BY coluna) || '}}' AS colunas FROM {COLUMNS} GROUP BY tabela""")
 def _(t):
-    return io.catalog({n: getattr(t, n) for n in ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")})
+    documents = io.catalog_documents(io.catalog({n: getattr(t, n) for n in TABLES}), "base")
+    return documents.select("conjunto", F.inline("tabelas")).withColumnsRenamed({"name": "tabela", "schema": "colunas"})
 
 
 @query("s26_empty_guard", "SELECT 0 AS n FROM (SELECT count(*) AS n FROM orders WHERE o_orderkey < 0) WHERE n = 0")

@@ -60,11 +60,17 @@ def _(t):
 
 @query("r06_late_data", "SELECT CAST(date_trunc('day', ts) AS TIMESTAMP) AS inicio, count(*) AS n FROM events GROUP BY 1")
 def _(t):
-    def plan(s):
-        late = ops.with_lateness(s, "ts", "40 days")
-        return late.groupBy(F.window("ts", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("inicio"), "n")
-
-    return _ntz(ops.run_once(_flushed(t, plan)), "inicio")
+    """Three runs of one stream: events without some of the last five days; then those, late but within the delay, and the
+    newer ones; then the oldest events once more, which are too late and dropped."""
+    feed, at = scratch_path(t.spark, "feed"), scratch_path(t.spark, "stream")
+    late = ops.with_lateness(ops.stream_files(t.spark, f"{feed}/*", t.events.schema, "ts"), "ts", "10 days")
+    plan = late.groupBy(F.window("ts", "1 day").alias("w")).agg(F.count(F.lit(1)).alias("n")).select(F.col("w.start").alias("inicio"), "n")
+    held = "(ts >= '2024-01-25' OR ts >= '2024-01-20' AND event_id % 5 = 0)"
+    last = t.events.limit(1).withColumn("ts", F.expr("TIMESTAMP_NTZ'2100-01-01 00:00:00'"))
+    for i, rows in enumerate((t.events.where(f"NOT {held}"), t.events.where(held), t.events.where("ts < '2024-01-05'"), last)):
+        rows.write.parquet(f"{feed}/{i}")
+        done = ops.run_once(plan, at=at)
+    return _ntz(done, "inicio")
 
 
 @query("r07_stateful_emit")
@@ -74,10 +80,13 @@ def _(t):
 
 @query("r08_idempotent_sink", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
 def _(t):
-    at = scratch_path(t.spark, "sink")
-    ops.run_once(_events(t).select("event_id", "user_id"), sink=ops.idempotent_sink(at, ["event_id"]))
-    last = t.spark.read.parquet(at)
-    return last.where(F.col("version") == last.agg(F.max("version")).first()[0]).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    """Half of the events, then all of them: the sink has each event once."""
+    feed, at, run = scratch_path(t.spark, "feed"), scratch_path(t.spark, "sink"), scratch_path(t.spark, "stream")
+    s = ops.stream_files(t.spark, f"{feed}/*", t.events.schema).select("event_id", "user_id")
+    for i, rows in enumerate((t.events.where("event_id % 2 = 0"), t.events)):
+        rows.write.parquet(f"{feed}/{i}")
+        ops.run_once(s, sink=ops.idempotent_sink(at, ["event_id"]), at=run)
+    return t.spark.read.parquet(at).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("r09_stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")

@@ -106,6 +106,16 @@ def _(t):
     return select.version_matrix(t.part.select("p_brand", (F.col("p_size") % 10).alias("v"), "p_type"), "p_brand", "v", "p_type")
 
 
+@query("w14_version_carry", """
+WITH h AS (SELECT DISTINCT p_brand, p_size % 10 AS v, p_type FROM part), s AS (SELECT p_brand, v, lag(v) OVER w AS antes, lead(v) OVER w AS depois FROM (SELECT DISTINCT p_brand, v FROM h) WINDOW w AS (PARTITION BY p_brand ORDER BY v)),
+n AS (SELECT h.*, antes, depois FROM h JOIN s ON h.p_brand = s.p_brand AND h.v = s.v), o AS (SELECT DISTINCT v AS outra FROM h)
+SELECT *, v AS outra, TRUE AS presente FROM h
+UNION ALL SELECT p_brand, v, p_type, outra, FALSE FROM n JOIN o ON outra <= antes WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.p_brand = n.p_brand AND h.v = n.antes AND h.p_type = n.p_type)
+UNION ALL SELECT p_brand, v, p_type, outra, FALSE FROM n JOIN o ON outra >= depois WHERE NOT EXISTS (SELECT 1 FROM h WHERE h.p_brand = n.p_brand AND h.v = n.depois AND h.p_type = n.p_type)""")
+def _(t):
+    return select.version_carry(t.part.select("p_brand", (F.col("p_size") % 10).alias("v"), "p_type"), "p_brand", "v", "p_type")
+
+
 @query("w15_dedupe_equivalents", """
 WITH x AS (SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, CASE WHEN l_suppkey % 3 <> 0 THEN l_suppkey END AS pessoa FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, pessoa FROM x QUALIFY pessoa IS NULL OR row_number() OVER (PARTITION BY l_orderkey, pessoa ORDER BY l_linenumber, l_partkey, l_quantity) = 1""")

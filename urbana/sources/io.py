@@ -185,7 +185,19 @@ def media_catalog(df: DataFrame, col: str, existing: DataFrame | None = None) ->
 
 
 def catalog(tables: dict[str, DataFrame]) -> DataFrame:
-    """``(tabela, coluna, tipo, posicao)`` of several tables, from their schemas alone."""
+    """``(tabela, coluna, tipo, posicao, descricao)`` of several tables, from their schemas alone; a column's comment describes it."""
     spark = next(iter(tables.values())).sparkSession
-    rows = [F.struct(F.lit(t).alias("tabela"), F.lit(f.name).alias("coluna"), F.lit(f.dataType.simpleString()).alias("tipo"), F.lit(i).alias("posicao")) for t, df in tables.items() for i, f in enumerate(df.schema)]
-    return spark.range(1).select(F.inline(F.array(*rows)))
+    rows = [(t, f.name, f.dataType.simpleString(), i, f.metadata.get("comment", "")) for t, df in tables.items() for i, f in enumerate(df.schema)]
+    return spark.createDataFrame(rows, "tabela string, coluna string, tipo string, posicao int, descricao string")
+
+
+def catalog_documents(columns: DataFrame, dataset: str) -> DataFrame:
+    """A data set's tables, each with its columns as a map from name to ``{description, type}``: ``(conjunto, tabelas)``, one row.
+
+    Quotes around a description go; a missing one is an empty text.
+    """
+    told = F.regexp_replace(F.coalesce("descricao", F.lit("")), '^"|"$', "")
+    entry = F.struct("coluna", F.struct(told.alias("description"), F.col("tipo").alias("type")).alias("como"))
+    tables = columns.groupBy("tabela").agg(F.map_from_entries(F.array_sort(F.collect_list(entry))).alias("schema"))
+    listed = F.array_sort(F.collect_list(F.struct(F.col("tabela").alias("name"), F.to_json("schema").alias("schema"))))
+    return tables.agg(listed.alias("tabelas")).select(F.lit(dataset).alias("conjunto"), "tabelas")

@@ -9,7 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from urbana.operators.incremental import upsert
 from urbana.session import scratch_path
 
 
@@ -100,22 +99,31 @@ def stateful_emit(s: DataFrame, key: str, ts: str, n: int, minutes: int, delay:
 
 
 def idempotent_sink(folder: str, keys: list[str]):
-    """A ``foreachBatch`` function that upserts batches into versions of a table; a batch that comes again changes nothing."""
+    """A ``foreachBatch`` function that appends the rows whose key no earlier batch has written, as a folder for each batch.
+
+    A batch that comes again replaces its own folder by the same rows; a key that comes again in a later batch is left out.
+    Earlier batches are read for their keys only, and never written again.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         now = batch.dropDuplicates(keys)
         if batch_id:
-            now = upsert(spark.read.parquet(f"{folder}/version={batch_id - 1}"), now, keys)
-        now.write.mode("overwrite").parquet(f"{folder}/version={batch_id}")
+            schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
+            sent = spark.read.schema(schema).parquet(folder).where(F.col("batch") < batch_id).select(*keys)
+            now = now.join(sent, keys, "left_anti").select(*batch.columns)
+        now.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
 
     return write
 
 
-def run_once(s: DataFrame, mode: str = "append", sink=None) -> DataFrame | None:
-    """Run a stream over what is there into the shared folder; the rows written, or None with a sink of one's own."""
+def run_once(s: DataFrame, mode: str = "append", sink=None, at: str | None = None) -> DataFrame | None:
+    """Run a stream over what is there into the shared folder; the rows written, or None with a sink of one's own.
+
+    With the folder ``at`` of an earlier run, the stream goes on where that one ended: its offsets, state and watermark are kept.
+    """
     spark = s.sparkSession
-    at = scratch_path(spark, "stream")
+    at = at or scratch_path(spark, "stream")
     w = s.writeStream.option("checkpointLocation", f"{at}/checkpoint").trigger(availableNow=True)
     if sink is not None:
         w.foreachBatch(sink).start().awaitTermination()
