@@ -15,8 +15,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
 
     Alternating large and small stars: each node links its larger neighbours, then its smaller ones, to the smallest node
     it knows, until only stars remain. Smallest neighbours are partial aggregates, so a hub costs one row per map task;
-    the two joins have one row per node on one side, and those of the few hubs are broadcast. Each round is written and read again, so a plan never holds more than one
-    round; links never grow in number, and their number of rounds grows with the logarithm of the longest path.
+    the two joins have one row per node on one side, and those of the few hubs are broadcast. What several joins read is
+    written and read again, so that nothing is worked out twice and a plan never holds more than one step; links never
+    grow in number, and their number of rounds grows with the logarithm of the longest path.
     Edges with a null end, and self loops, are ignored; repeated edges count once; an empty input gives an empty result.
     """
     ends = edges.select(F.col(a).alias("x"), F.col(b).alias("y")).where("x <> y")
@@ -25,9 +26,9 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     while state[0]:
         sides = links.select(F.col("high").alias("node"), F.col("low").alias("other")).unionByName(links.select(F.col("low").alias("node"), F.col("high").alias("other")))
         least = sides.groupBy("node").agg(F.min("other").alias("least"), F.count(F.lit(1)).alias("n"))
-        least = least.select(F.col("node").alias("low"), F.least("node", "least").alias("least"), "n")
-        large = _by_node(links, least, "low", state[0]).select("high", F.col("least").alias("low"))
-        lowest = large.groupBy("high").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("n"))
+        least = cut(least.select(F.col("node").alias("low"), F.least("node", "least").alias("least"), "n"))
+        large = cut(_by_node(links, least, "low", state[0]).select("high", F.col("least").alias("low")))
+        lowest = cut(large.groupBy("high").agg(F.min("low").alias("least"), F.count(F.lit(1)).alias("n")))
         passed_on = _by_node(large, lowest, "high", state[0]).where("low <> least").select(F.col("low").alias("high"), F.col("least").alias("low"))
         links = cut(passed_on.unionByName(lowest.select("high", F.col("least").alias("low"))).distinct())
         before, state = state, _state(links)
