@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbana.llm import line_dedup, packing, pieces, planes, quality_rules, simhash, toxicity, url_filter, weak_quality, winnow
+from urbana.llm import filter_audit, line_dedup, packing, pieces, planes, quality_rules, simhash, toxicity, url_filter, weak_quality, winnow
 from urbana.session import scratch_path, table
 
 
@@ -85,9 +85,15 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes from ``documents`` in each order of them, by ``source``."""
+    masks = filter_audit.with_masks(table(spark, sf_dir, "documents"))
+    return filter_audit.audit(filter_audit.cells(masks, table(spark, sf_dir, "labels")))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op3_toxicity, op4_quality_rules, op5_token_binary, op6_document_fingerprints, op7_url_filters, op8_best_fit_packing, op9_quality_classifier, op10_line_dedup)
+    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op3_toxicity, op4_quality_rules, op5_token_binary, op6_document_fingerprints, op7_url_filters, op8_best_fit_packing, op9_quality_classifier, op10_line_dedup, op12_filter_interaction_audit)
 }
 
 _COUNTS = r"""
@@ -134,4 +140,37 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
-ORACLES: dict[str, str] = {"op4_quality_rules": QUALITY_SQL, "op10_line_dedup": LINES_SQL}
+AUDIT_SQL = r"""
+WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
+    split_words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM docs),
+    marks AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels GROUP BY doc_id),
+    failed AS (
+        SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+            CAST(len(words) < 50 AS INT) + 2 * CAST(100 * list_unique(words) < 65 * len(words) AS INT)
+            + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * length(text) AS INT)
+            + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(doc_id > first AS INT) AS mask
+        FROM split_words LEFT JOIN marks USING (doc_id)),
+    counted AS (SELECT part, mask, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM failed GROUP BY part, mask),
+    letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) v(letter, bit)),
+    steps AS (
+        SELECT '' AS filter_order, 0 AS applied, 0 AS step, '' AS letter, 0 AS bit
+        UNION ALL
+        SELECT filter_order || l.letter, applied | l.bit, step + 1, l.letter, l.bit FROM steps JOIN letters l ON applied & l.bit = 0),
+    metrics AS (
+        SELECT part, filter_order AS prefix, step, letter,
+            sum(CASE WHEN mask & applied = 0 THEN n ELSE 0 END) AS kept,
+            sum(CASE WHEN mask & applied = bit THEN n ELSE 0 END) AS removed,
+            sum(CASE WHEN mask & bit <> 0 AND mask & applied <> bit THEN n ELSE 0 END) AS redundant,
+            sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+            sum(CASE WHEN mask & applied = bit THEN good ELSE 0 END) AS good_lost,
+            sum(CASE WHEN mask & applied = bit THEN toxic ELSE 0 END) AS toxic_lost
+        FROM counted CROSS JOIN steps WHERE step > 0 GROUP BY ALL),
+    orders AS (SELECT s.filter_order, CAST(unnest(range(1, 6)) AS INT) AS step FROM steps s WHERE s.step = 5),
+    laid AS (SELECT m.*, o.filter_order FROM orders o JOIN metrics m ON m.step = o.step AND m.prefix = left(o.filter_order, o.step))
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+    CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+    CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM laid
+"""
+
+ORACLES: dict[str, str] = {"op12_filter_interaction_audit": AUDIT_SQL, "op4_quality_rules": QUALITY_SQL, "op10_line_dedup": LINES_SQL}
