@@ -11,7 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbana.llm import filter_audit, line_dedup, packing, pieces, planes, quality_rules, simhash, toxicity, url_filter, weak_quality, winnow
+from urbana.llm import filter_audit, line_dedup, packing, periodic, pieces, planes, quality_rules, simhash, toxicity, url_filter, weak_quality, winnow
+from urbana.llm.arrow import slices, texts
 from urbana.session import scratch_path, table
 
 
@@ -91,9 +92,46 @@ def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame
     return filter_audit.audit(filter_audit.cells(masks, table(spark, sf_dir, "labels")))
 
 
+def with_repeated_tails(docs: DataFrame) -> DataFrame:
+    """``(doc_id, text)``: the words of each text joined by a space; those of a tenth of the ids repeat from some word on, as their crc32 says.
+
+    Null texts are empty, and a text without words becomes empty; a row without an id keeps its words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            out = []
+            for i, t in zip(b.column(0).to_pylist(), texts(b, "text"), strict=True):
+                words = t.split()
+                h = 1 if i is None else zlib.crc32(str(i).encode())
+                if h % 10 == 0 and words:
+                    g = h // 10
+                    a = g % len(words)
+                    p = 1 + (len(words) - a) // (3 + g % 8)
+                    words = words[:a] + (words[a : a + p] * -(-(len(words) - a) // p))[: len(words) - a]
+                out.append(b" ".join(words).decode("utf-8", "replace"))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(out, pa.string())], names=["doc_id", "text"])
+
+    source = docs.select("doc_id", "text")
+    return source.mapInArrow(run, f"doc_id {source.schema['doc_id'].dataType.simpleString()}, text string")
+
+
+def op13_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in ``documents``, a tenth of them with repeated tails, and the texts without repetitions."""
+    got = periodic.with_runs(with_repeated_tails(table(spark, sf_dir, "documents")), keep=["doc_id"])
+    # Runs are in the order of ties, so only a greater exponent takes the place of an earlier run.
+    best = F.reduce(F.slice("runs", 2, F.greatest(F.size("runs") - 1, F.lit(0))), F.get("runs", F.lit(0)), lambda a, r: F.when(r["length"] * a["period"] > a["length"] * r["period"], r).otherwise(a))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    named = got.withColumn("best", best)
+    return named.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period", F.expr("1000 * best.length DIV best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op3_toxicity, op4_quality_rules, op5_token_binary, op6_document_fingerprints, op7_url_filters, op8_best_fit_packing, op9_quality_classifier, op10_line_dedup, op12_filter_interaction_audit)
+    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op3_toxicity, op4_quality_rules, op5_token_binary, op6_document_fingerprints, op7_url_filters, op8_best_fit_packing, op9_quality_classifier, op10_line_dedup, op12_filter_interaction_audit, op13_periodic_run_detection)
 }
 
 _COUNTS = r"""
