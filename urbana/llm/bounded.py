@@ -4,11 +4,13 @@ Each member of a group that is too large for a task is measured against one repr
 linked to it (a star). By the triangle inequality a pair within reach that is not wholly linked to the representative has
 no member nearer to it than the nearest member outside less the reach: all others are done. What stays too large after
 ``ROUNDS`` such rounds is dealt in blocks, and every two blocks meet in a task. No pair is left out.
+
+Groups, sizes and representatives stay tables. A table with one row per large group is broadcast where it is small, by its
+rows and bytes; else it is joined by group, and the few groups with much of all bytes meet it in parts.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -20,54 +22,69 @@ from pyspark.sql import functions as F
 from urbana.session import cut
 
 ROUNDS = 6
+HEAVY = 1024  # groups with over 1/HEAVY of all bytes are joined in parts; there can be no more than HEAVY
+SMALL_BYTES = 8 << 20  # a table of one row per group is broadcast up to this
 Metric = Callable[[list[bytes], list[bytes]], np.ndarray]
 
 
+def parts_of(weights: DataFrame, key: str, weight: str, heavy: int = HEAVY) -> DataFrame:
+    """``(key, parts)`` of the keys that weigh over ``1 / heavy`` of all: ``heavy`` rows at most, and twice as many parts."""
+    total = weights.agg(F.sum(weight)).first()[0] or 0
+    return F.broadcast(weights.where(F.col(weight) > total / heavy).select(key, F.ceil(F.col(weight) * heavy / max(total, 1)).cast("int").alias("parts")))
+
+
+def meet(rows: DataFrame, keyed: DataFrame, key: str, item: str, parts: DataFrame, how: str = "inner") -> DataFrame:
+    """The join of ``rows`` with ``keyed``, which has one row per key; the rows of heavy keys are dealt to their ``parts`` by ``item``."""
+    dealt = rows.join(parts, key, "left").withColumn("salt", F.coalesce(F.pmod(F.xxhash64(item, F.lit("part")), F.col("parts")).cast("int"), F.lit(0))).drop("parts")
+    spread = keyed.join(parts, key, "left").withColumn("salt", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1))).drop("parts")
+    return dealt.join(spread, [key, "salt"], how).drop("salt")
+
+
+def _with(rows: DataFrame, keyed: DataFrame, parts: DataFrame, how: str = "inner", size: str = "0") -> DataFrame:
+    """As ``meet``, by broadcast where ``keyed`` is small; ``size`` is the SQL of a row's bytes beside its key."""
+    if (keyed.agg(F.sum(F.expr(f"64L + {size}"))).first()[0] or 0) <= SMALL_BYTES:
+        return rows.join(F.broadcast(keyed), "grp", how)
+    return meet(rows, keyed, "grp", "item", parts, how)
+
+
 def split(rows: DataFrame, metric: Metric, reach: float, cap: int) -> tuple[DataFrame | None, DataFrame]:
     """Star links ``(a, b)`` (none: no group was too large), and ``rows(grp, item, data)`` still to be compared, with ``part``.
 
     Pairs of one ``(grp, part)`` are to be compared; no such part holds more than about ``cap`` bytes of ``data``.
     """
     weight = F.sum(F.length("data") + 1).alias("bytes")
-    large = rows.groupBy("grp").agg(weight).where(F.col("bytes") > cap).select("grp").collect()  # at most a row for each cap bytes
     whole = F.lit("").alias("part")
-    if not large:
+    large = cut(rows.groupBy("grp").agg(weight).where(F.col("bytes") > cap))
+    if large.isEmpty():
         return None, rows.select("*", whole)
-    spark = rows.sparkSession
-    keys = F.broadcast(spark.createDataFrame(large, rows.select("grp").schema))
-    done, stars = [rows.join(keys, "grp", "left_anti").select("grp", "item", "data", whole)], []
-    left = cut(rows.join(keys, "grp").select("grp", "item", "data"))
+    parts = parts_of(large, "grp", "bytes")
+    marked = _with(rows, large, parts, "left")
+    done, stars = [marked.where("bytes IS NULL").select("grp", "item", "data", whole)], []
+    left = cut(marked.where("bytes IS NOT NULL").select("grp", "item", "data"))
+    kind = left.schema["grp"].dataType.simpleString()
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                far = metric(b.column(2).to_pylist(), b.column(4).to_pylist())
+                yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(far, pa.float64())], names=["grp", "item", "data", "centre", "far"])
+
     for n in range(ROUNDS):
-        chosen = left.groupBy("grp").agg(F.min_by(F.struct("item", "data"), F.xxhash64("item", F.lit(n))).alias("one"))
-        centres = {_key(r["grp"]): (bytes(r["one"]["item"]), bytes(r["one"]["data"])) for r in chosen.collect()}
-        shared = spark.sparkContext.broadcast(centres)  # one row for each large group
-
-        def measure(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            for b in batches:
-                if b.num_rows:
-                    of = [shared.value[_key(g)] for g in b.column(0).to_pylist()]
-                    far = metric(b.column(2).to_pylist(), [x[1] for x in of])
-                    yield pa.RecordBatch.from_arrays([*b.columns, pa.array([x[0] for x in of], pa.binary()), pa.array(far, pa.float64())], names=["grp", "item", "data", "centre", "far"])
-
-        kind = left.schema["grp"].dataType.simpleString()
-        measured = cut(left.mapInArrow(measure, f"grp {kind}, item binary, data binary, centre binary, far double"))
+        one = left.groupBy("grp").agg(F.min_by(F.struct("item", "data"), F.xxhash64("item", F.lit(n))).alias("one"))
+        centres = cut(one.select("grp", F.col("one.item").alias("centre"), F.col("one.data").alias("centre_data")))
+        paired = _with(left, centres, parts, size="length(centre) + length(centre_data)").select("grp", "item", "data", "centre", "centre_data")
+        measured = cut(paired.mapInArrow(measure, f"grp {kind}, item binary, data binary, centre binary, far double"))
         stars.append(measured.where((F.col("far") <= reach) & (F.col("centre") != F.col("item"))).select(F.col("centre").alias("a"), F.col("item").alias("b")))
-        outside = measured.where(F.col("far") > reach).groupBy("grp").agg(F.min("far").alias("least"))
-        rest = measured.join(F.broadcast(outside), "grp").where(F.col("far") >= F.col("least") - reach - 1e-9)
-        left = cut(rest.select("grp", "item", "data"))
-        sizes = {_key(r["grp"]): (r["grp"], r["bytes"]) for r in left.groupBy("grp").agg(weight).collect()}
-        over = [(g,) for g, size in sizes.values() if size > cap]
-        keys = F.broadcast(spark.createDataFrame(over, rows.select("grp").schema))
-        done.append(left.join(keys, "grp", "left_anti").select("grp", "item", "data", whole))
-        if not over:
+        outside = cut(measured.where(F.col("far") > reach).groupBy("grp").agg(F.min("far").alias("least")))
+        left = cut(_with(measured, outside, parts).where(F.col("far") >= F.col("least") - reach - 1e-9).select("grp", "item", "data"))
+        large = cut(left.groupBy("grp").agg(weight).where(F.col("bytes") > cap))
+        marked = _with(left, large, parts, "left")
+        done.append(marked.where("bytes IS NULL").select("grp", "item", "data", whole))
+        if large.isEmpty():
             return reduce(DataFrame.unionByName, stars), reduce(DataFrame.unionByName, done)
-        left = left.join(keys, "grp")
-    blocks = F.broadcast(spark.createDataFrame([(g, math.ceil(2 * size / cap)) for g, size in sizes.values() if size > cap], f"grp {kind}, blocks int"))
+        left = marked.where("bytes IS NOT NULL").select("grp", "item", "data")
+    blocks = large.select("grp", F.ceil(2 * F.col("bytes") / cap).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("item", F.lit("block")), F.col("blocks")).cast("int")
-    met = left.join(blocks, "grp").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    met = _with(left, blocks, parts).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     done.append(met.select("grp", "item", "data", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")).alias("part")))
     return reduce(DataFrame.unionByName, stars), reduce(DataFrame.unionByName, done)
-
-
-def _key(group):
-    return bytes(group) if isinstance(group, bytearray) else tuple(group.values()) if isinstance(group, dict) else tuple(group) if isinstance(group, tuple) else group

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from urbana.llm import filter_audit, line_dedup, packing, periodic, pieces, planes, quality_rules, simhash, toxicity, url_filter, weak_quality, winnow
+from urbana.llm import filter_audit, jaccard_join, line_dedup, packing, periodic, pieces, planes, quality_rules, simhash, toxicity, url_filter, weak_quality, winnow
 from urbana.llm.arrow import slices, texts
 from urbana.session import scratch_path, table
 
@@ -86,6 +86,11 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op11_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of ``documents`` whose sets of five-word shingles are similar by 0.8 or more."""
+    return jaccard_join.join(table(spark, sf_dir, "documents"))
+
+
 def op12_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What each of five filters removes from ``documents`` in each order of them, by ``source``."""
     masks = filter_audit.with_masks(table(spark, sf_dir, "documents"))
@@ -131,7 +136,7 @@ def op13_periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op3_toxicity, op4_quality_rules, op5_token_binary, op6_document_fingerprints, op7_url_filters, op8_best_fit_packing, op9_quality_classifier, op10_line_dedup, op12_filter_interaction_audit, op13_periodic_run_detection)
+    for f in (op1_simhash_near_dedup, op2_sentencepiece_codec, op3_toxicity, op4_quality_rules, op5_token_binary, op6_document_fingerprints, op7_url_filters, op8_best_fit_packing, op9_quality_classifier, op10_line_dedup, op11_ngram_jaccard_join, op12_filter_interaction_audit, op13_periodic_run_detection)
 }
 
 _COUNTS = r"""
@@ -178,6 +183,22 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
 FROM marked GROUP BY doc_id
 """
 
+JACCARD_SQL = r"""
+WITH RECURSIVE docs AS (
+        SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+    grams AS (
+        SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+            ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' ')))) END AS grams
+        FROM docs),
+    named AS (SELECT doc_id, len(grams) AS n, min(doc_id) OVER (PARTITION BY CASE WHEN len(grams) = 0 THEN CAST(doc_id AS VARCHAR) ELSE array_to_string(grams, chr(10)) END) AS rep, grams FROM grams),
+    members AS (SELECT doc_id AS rep, n, unnest(grams) AS gram FROM named WHERE doc_id = rep),
+    pairs AS (SELECT a.rep AS a, b.rep AS b FROM members a JOIN members b ON a.gram = b.gram AND a.rep < b.rep GROUP BY a.rep, b.rep, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+    links AS (SELECT a, b FROM pairs UNION ALL SELECT b, a FROM pairs),
+    reach AS (SELECT rep AS a, rep AS b FROM named GROUP BY rep UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+    lowest AS (SELECT a AS rep, min(b) AS component_id FROM reach GROUP BY a)
+SELECT doc_id, CAST(n AS BIGINT) AS n_shingles, component_id FROM named JOIN lowest USING (rep)
+"""
+
 AUDIT_SQL = r"""
 WITH RECURSIVE docs AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text FROM documents),
     split_words AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first FROM docs),
@@ -211,4 +232,4 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
 FROM laid
 """
 
-ORACLES: dict[str, str] = {"op12_filter_interaction_audit": AUDIT_SQL, "op4_quality_rules": QUALITY_SQL, "op10_line_dedup": LINES_SQL}
+ORACLES: dict[str, str] = {"op11_ngram_jaccard_join": JACCARD_SQL, "op12_filter_interaction_audit": AUDIT_SQL, "op4_quality_rules": QUALITY_SQL, "op10_line_dedup": LINES_SQL}

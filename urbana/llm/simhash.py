@@ -17,7 +17,7 @@ shingles are compared, and documents are linked by their exact Jaccard similarit
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -35,10 +35,10 @@ SEED = 42
 SAMPLE = 16384  # fingerprints that the top of the tree is fitted on
 LEAF = 384  # fingerprints of a leaf that are compared with each other
 HOT_CLASSES = 4096
-SALTS = 16  # parts of a component where its members join its smallest id
 SHARD = 32768  # fingerprints a shard should hold at most
 TREE = 40  # bits of a group's number below its tree
 SET_BYTES = 1 << 24  # shingle sets that a task compares at most; one larger set may come with others
+Pairs = Callable[[list[np.ndarray], float], list[tuple[int, int]]]
 
 
 @dataclass(frozen=True)
@@ -314,11 +314,10 @@ def _to_rows(rows: DataFrame, classes: DataFrame, key: str) -> DataFrame:
 def _lowest(classes: DataFrame, edges: DataFrame, key: str) -> DataFrame:
     """``(key, copies, component_id)``: the smallest ``low`` of the component of each row of ``classes(key, low, copies)``."""
     found = connected_components(edges).select(F.col("node").alias(key), F.col("component").alias("root"))
-    linked = classes.join(found, key)
-    # A component can hold a large share of all classes: its one smallest id meets them in ``SALTS`` parts.
-    salts = F.explode(F.array(*[F.lit(i) for i in range(SALTS)]))
-    lowest = linked.groupBy("root").agg(F.min("low").alias("component_id")).withColumn("salt", salts)
-    named = linked.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int")).join(lowest, ["root", "salt"]).select(key, "component_id")
+    linked = cut(classes.join(found, key).select(key, "low", "root"))
+    # A component can hold a large share of all classes: its one smallest id meets them in parts.
+    lowest = cut(linked.groupBy("root").agg(F.min("low").alias("component_id"), F.count(F.lit(1)).alias("n")))
+    named = bounded.meet(linked, lowest.drop("n"), "root", key, bounded.parts_of(lowest, "root", "n")).select(key, "component_id")
     return classes.join(named, key, "left").select(key, "copies", F.coalesce("component_id", "low").alias("component_id"))
 
 
@@ -336,9 +335,6 @@ def similar(docs: DataFrame, how: Linking, shingle: int) -> DataFrame:
         sets = [np.unique(shingles(t.lower().split(), shingle)) for t in batch]
         return [pa.array([majority(h, how.bits) for h in sets], pa.binary()), pa.array([xxhash.xxh3_128_digest(h.tobytes(), SEED) for h in sets], pa.binary())]
 
-    def members(batch: list[bytes]) -> list[pa.Array]:
-        return [pa.array([np.unique(shingles(t.lower().split(), shingle)).tobytes() for t in batch], pa.large_binary()).cast(pa.binary())]
-
     rows = cut(with_columns(marked, "text", "simhash binary, item binary", outline, ["doc_id", "mark"]))
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("mark").alias("mark"))
     classes = cut(rows.groupBy("item").agg(F.min(first).alias("low"), F.min("simhash").alias("simhash"), F.count(F.lit(1)).alias("copies")))
@@ -346,22 +342,33 @@ def similar(docs: DataFrame, how: Linking, shingle: int) -> DataFrame:
     near = connected_components(links(prints, how)).select(F.col("node").alias("simhash"), F.col("component").alias("grp"))
     candidates = prints.join(near, "simhash", "left").where("grp IS NOT NULL OR sets > 1").select("simhash", F.coalesce("grp", "simhash").alias("grp"))
     asked = classes.join(candidates, "simhash").select("low.mark", F.col("low.id").alias("id"), "item", "grp")
+    return verified(marked, rows, classes, asked, how.jaccard, shingle, alike_pairs).select("doc_id", "simhash", "component_id")
+
+
+def verified(marked: DataFrame, rows: DataFrame, classes: DataFrame, asked: DataFrame, least: float, shingle: int, pairs: Pairs) -> DataFrame:
+    """``rows(doc_id, item, ...)`` with their ``component_id``, by the exact similarity of the sets of each group in ``asked(id, mark, item, grp)``.
+
+    ``marked(doc_id, mark, text)`` has the texts, ``classes(item, low, copies)`` the smallest document of each set; ``pairs`` compares the sets of a task.
+    """
+
+    def members(batch: list[bytes]) -> list[pa.Array]:
+        return [pa.array([np.unique(shingles(t.lower().split(), shingle)).tobytes() for t in batch], pa.large_binary()).cast(pa.binary())]
+
     texts = marked.alias("d").join(asked.alias("c"), (F.col("d.mark") == F.col("c.mark")) & F.col("d.doc_id").eqNullSafe(F.col("c.id"))).select("grp", "item", "text")
     sets = with_columns(texts, "text", "data binary", members, ["grp", "item"])
-    edges = alike(sets, how.jaccard)
-    every = _lowest(classes.select("item", "low", "copies"), edges, "item").select("item", "copies", F.col("component_id.id").alias("component_id"))
-    return _to_rows(rows, every, "item").select("doc_id", "simhash", "component_id")
+    every = _lowest(classes.select("item", "low", "copies"), alike(sets, least, pairs), "item")
+    return _to_rows(rows, every.select("item", "copies", F.col("component_id.id").alias("component_id")), "item")
 
 
-def alike(sets: DataFrame, least: float) -> DataFrame:
+def alike(sets: DataFrame, least: float, pairs: Pairs) -> DataFrame:
     """A spanning forest ``(a, b)`` of the links between items of a group of ``sets(grp, item, data)`` with Jaccard similarity ``least`` or more."""
     reach = 1 - least + 1e-9
     stars, rest = bounded.split(sets, jaccard_distances, reach, SET_BYTES)
 
     def link(group: pa.Table) -> pa.Table:
         items, data = group.column("item").to_pylist(), group.column("data").to_pylist()
-        pairs = alike_pairs([np.frombuffer(x, np.uint64) for x in data], reach)
-        return pa.table({"a": pa.array([items[i] for i, _ in pairs], pa.binary()), "b": pa.array([items[j] for _, j in pairs], pa.binary())})
+        found = pairs([np.frombuffer(x, np.uint64) for x in data], reach)
+        return pa.table({"a": pa.array([items[i] for i, _ in found], pa.binary()), "b": pa.array([items[j] for _, j in found], pa.binary())})
 
     found = rest.groupBy("grp", "part").applyInArrow(link, "a binary, b binary")
     return found if stars is None else found.unionByName(stars)
