@@ -4,11 +4,12 @@ A set of shingles is a point: shingles are hashed into groups, and a coordinate
 counts is at least the size of the intersection; in a box of points the greatest counts bound it for all of them.
 
 Two steps use that bound. *Over all documents* it is used by slices of groups. Let ``a <= b`` be the sizes of two linked sets: they differ in
-``(a + b) / 9`` shingles at most, so of ``(a + b) / 9 + 1`` slices or more at least one has the same counts in every group. (With
-fewer slices than differences a box must be searched around each point, and at this similarity boxes of unrelated texts overlap: a tree over whole
+``(a + b) / 9`` shingles at most, and so in no more of the slices that the groups are cut into. Put in one order, by falling sum of counts and
+then by hash, the slices that two such sets have alike begin within the first ``(a + b) / 9 + 1`` of each: a set meets others by these, its
+fullest ones. (With fewer slices than differences a box must be searched around each point, and at this similarity boxes of unrelated texts overlap: a tree over whole
 vectors deals nearly every point to nearly every shard.) Sets are banded by size, the number of slices follows the band, and documents meet by
-shuffles on (band, slice, hash of the slice's counts, a group being a hash). Slices without shingles say nothing: a set with so many of them that they could be all
-that it shares, and any small set, also meets others by the groups that lead in hash order. Sets that meet are joined to components.
+shuffles on (band, slice, hash of the slice's counts, a group being a hash). Slices without shingles say nothing: a set that has too few others,
+and any small set, also meets others by the groups that lead in hash order. Sets that meet are joined to components.
 *Inside a component* of sets an R-tree over counts in coarser groups, packed by median cuts, is searched for each set; what its boxes and
 points can't rule out is compared set by set, exactly.
 """
@@ -33,6 +34,7 @@ from urbana.session import cut
 LEAST = 0.8
 SMALL = 16  # sets of up to so many shingles meet by their leading groups alone
 BAND = 1.6  # greatest size of a band over its least
+SPARE = 1.25  # slices for each that two linked sets may differ in
 SAMPLE = 16384  # texts from which frequent slices are known, chosen by a hash of the text
 FREQUENT = 8  # texts of the sample that make a slice frequent
 LEAF = 16  # points of a leaf of the R-tree, and boxes of a node
@@ -47,8 +49,7 @@ def bands() -> list[tuple[int, int, int]]:
     while low < 1 << 40:
         end = math.ceil(low * BAND)
         most = (end - 1 + math.floor(1.25 * (end - 1))) // 9
-        n = most + 1
-        out.append((low, end, n + 1 + n // 32))
+        out.append((low, end, math.ceil(SPARE * (most + 1)) + 1))
         low = end
     return out
 
@@ -75,9 +76,11 @@ def slice_keys(h: np.ndarray) -> np.ndarray:
             of = of[by]
             first = np.nonzero(np.concatenate([[True], of[1:] != of[:-1]]))[0]
             sums = np.add.reduceat(spread[by], first)
-            found.append(_mix(_mix(sums + (of[first] + 1).astype(np.uint64)) + np.uint64(i + 1)))
-            differ = (n + (math.floor(1.25 * n) if n < end else end - 1)) // 9
-            leading |= slices - len(first) >= slices - differ
+            keys = _mix(_mix(sums + (of[first] + 1).astype(np.uint64)) + np.uint64(i + 1))
+            needed = (n + (math.floor(1.25 * n) if n < end else end - 1)) // 9 + 1
+            fullest = np.lexsort((keys, first - np.append(first[1:], n)))
+            found.append(keys[fullest[:needed]])
+            leading |= len(keys) < needed
     if leading:
         needed = -(-4 * n // 5)
         found.append(_mix(np.partition(h, n - needed)[: n - needed + 1]))

@@ -360,14 +360,14 @@ def verified(marked: DataFrame, rows: DataFrame, classes: DataFrame, asked: Data
     return _to_rows(rows, every.select("item", "copies", F.col("component_id.id").alias("component_id")), "item")
 
 
-def alike(sets: DataFrame, least: float, pairs: Pairs) -> DataFrame:
+def alike(sets: DataFrame, least: float, pairs: Pairs | None = None) -> DataFrame:
     """A spanning forest ``(a, b)`` of the links between items of a group of ``sets(grp, item, data)`` with Jaccard similarity ``least`` or more."""
     reach = 1 - least + 1e-9
     stars, rest = bounded.split(sets, jaccard_distances, reach, SET_BYTES)
 
     def link(group: pa.Table) -> pa.Table:
         items, data = group.column("item").to_pylist(), group.column("data").to_pylist()
-        found = pairs([np.frombuffer(x, np.uint64) for x in data], reach)
+        found = (pairs or alike_pairs)([np.frombuffer(x, np.uint64) for x in data], reach)
         return pa.table({"a": pa.array([items[i] for i, _ in found], pa.binary()), "b": pa.array([items[j] for _, j in found], pa.binary())})
 
     found = rest.groupBy("grp", "part").applyInArrow(link, "a binary, b binary")
