@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from urbana.operators import scan
+from urbana.session import cut
+
 
 def first_by(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
     """The first row of each key in an explicit order (null keys are one key). Give tie keys for a fixed result."""
@@ -31,18 +34,12 @@ def seeded_order(df: DataFrame, id_col: str, seed: str, rank: str = "rank") -> D
 
 
 def global_rank(df: DataFrame, order: list[str], rank: str = "rank") -> DataFrame:
-    """Row numbers over the whole table without one large window."""
-    from urbana.session import cut
-
-    dealt = cut(df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()))
-    sizes = dealt.groupBy("__part").count().orderBy("__part").collect()  # a row for each partition
-    before, total = [], 0
-    for r in sizes:
-        before.append((r["__part"], total))
-        total += r["count"]
-    offsets = F.create_map(*[F.lit(x) for pair in before for x in pair]) if before else F.create_map().cast("map<int,int>")
-    w = Window.partitionBy("__part").orderBy(*order)
-    return dealt.withColumn(rank, (F.row_number().over(w) + offsets[F.col("__part")]).cast("long")).drop("__part")
+    """Row numbers over the whole table: rows are numbered in ranges as these are dealt, and the counts of the ranges before are joined. One shuffle."""
+    placed = cut(scan.dealt(df, order))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("n"))
+    w = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition
+    offsets = sizes.select("__part", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("__before"))
+    return placed.join(F.broadcast(offsets), "__part").withColumn(rank, F.col("__row") + F.col("__before") + 1).drop("__part", "__row", "__before")
 
 
 def escalating_groups(df: DataFrame, rank: str = "rank") -> DataFrame:
@@ -63,9 +60,9 @@ def seeded_sample(df: DataFrame, key: str, percent: float, seed: str) -> DataFra
 
 
 def batches(df: DataFrame, keys: list[str], order: list[str], size: int, label: str) -> DataFrame:
-    """Batches of ``size`` rows within each key, numbered and labelled."""
-    n = F.ceil(F.row_number().over(Window.partitionBy(*keys).orderBy(*order)) / size).cast("long")
-    return df.withColumn("lote", n).withColumn("rotulo", F.concat(F.lit(label), F.col("lote").cast("string")))
+    """Batches of ``size`` rows within each key, numbered and labelled. The numbering is a segmented scan: few keys don't make few tasks."""
+    ranked = scan.running_sum(df, keys, order, F.lit(1), "lote")
+    return ranked.withColumn("lote", F.ceil(F.col("lote") / size).cast("long")).withColumn("rotulo", F.concat(F.lit(label), F.col("lote").cast("string")))
 
 
 def dedupe_names(df: DataFrame, group: list[str], name: str, order: list[str]) -> DataFrame:
@@ -75,9 +72,11 @@ def dedupe_names(df: DataFrame, group: list[str], name: str, order: list[str]) -
 
 
 def fold_continuations(df: DataFrame, part: list[str], order: str, key: str, text: str) -> DataFrame:
-    """Rows without a key go to the keyed row before, their texts joined by a blank in order."""
-    block = F.count(key).over(Window.partitionBy(*part).orderBy(order))
-    grouped = df.withColumn("__block", block).groupBy(*part, "__block")
+    """Rows without a key go to the keyed row before, their texts joined by a blank in order.
+
+    Blocks are numbered by a segmented scan, so that a part may hold any share of the rows; a task joins the texts of one keyed row.
+    """
+    grouped = scan.running_sum(df, part, [order], F.col(key).isNotNull().cast("int"), "__block").groupBy(*part, "__block")
     whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col(order).alias("o"), F.col(text).alias("t")))), lambda x: x["t"]), " ")
     return grouped.agg(F.min(order).alias(order), F.max(key).alias(key), whole.alias(text)).drop("__block")
 

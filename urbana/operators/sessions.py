@@ -2,37 +2,19 @@
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+
+from urbana.operators import scan
 
 
 def anchored_sessions(df: DataFrame, key: str, ts: str, hours: int) -> DataFrame:
     """``df`` with ``sessao`` (from 1) and ``inicio``: a session ends a fixed time after its **first** row.
 
-    A key's different times, in order, are jumped through from start to start; the starts then run among the key's rows in one
-    ordered window that carries the last start on. The memory bound of a task is one key's different times. Rows
-    without a key are one key; rows without a time have no session and are left out.
+    A segmented scan: a key may hold any share of the rows. Rows without a key are one key; rows without a time have no session and are left out.
     """
-    times = df.where(F.col(ts).isNotNull()).select(F.col(key).alias("k"), F.col(ts).alias("t")).distinct()
-    span = np.timedelta64(hours, "h")
-
-    def starts(rows: pd.DataFrame) -> pd.DataFrame:
-        at = np.sort(rows["t"].to_numpy())
-        found, i = [], 0
-        while i < len(at):
-            found.append(i)
-            i = int(np.searchsorted(at, at[i] + span, side="right"))
-        return pd.DataFrame({"k": rows["k"].iloc[0], "t": at[found], "n": np.arange(1, len(found) + 1)})
-
-    found = times.groupBy("k").applyInPandas(starts, T.StructType([*times.schema.fields, T.StructField("n", T.LongType())]))
-    own = [F.col(c) for c in df.columns if c not in ("sessao", "inicio")]
-    marks = found.select(F.col("k").alias(key), F.col("t").alias(ts), F.col("n").cast("int").alias("sessao"), F.col("t").alias("inicio"), F.lit(True).alias("__mark"))
-    rows = df.where(F.col(ts).isNotNull()).select(*own, F.lit(False).alias("__mark")).unionByName(marks, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy(F.col(ts), F.col("__mark").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    return rows.withColumns({c: F.last(c, ignorenulls=True).over(w) for c in ("sessao", "inicio")}).where(~F.col("__mark")).drop("__mark")
+    rows = df.where(F.col(ts).isNotNull()).select(*[c for c in df.columns if c not in ("sessao", "inicio")])
+    return scan.anchored(rows, [key], ts, hours * 3_600_000_000, "sessao", "inicio").withColumn("sessao", F.col("sessao").cast("int"))
 
 
 def since_previous(df: DataFrame, key: str, ts: str, ties: list[str] = ()) -> DataFrame:
@@ -44,14 +26,11 @@ def since_previous(df: DataFrame, key: str, ts: str, ties: list[str] = ()) -> Da
 def gap_sessions(df: DataFrame, key: str, ts: str, seconds: int, ties: list[str] = ()) -> DataFrame:
     """``df`` with ``sessao`` (from 1) and ``sessao_id``: a new session after more than a gap without rows.
 
-    The id is the first 16 hex digits of md5(start + '_' + key).
+    The id is the first 16 hex digits of md5(start + '_' + key). A segmented scan: a key may hold any share of the rows.
     """
-    w = Window.partitionBy(key).orderBy(ts, *ties)
-    fresh = F.when(F.coalesce(F.timestamp_diff("SECOND", F.lag(ts).over(w), F.col(ts)), F.lit(seconds + 1)) > seconds, 1).otherwise(0)
-    marked = df.withColumn("__new", fresh).withColumn("sessao", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    start = F.min(ts).over(Window.partitionBy(key, "sessao"))
-    named = F.substring(F.md5(F.concat(F.date_format(start, "yyyy-MM-dd HH:mm:ss"), F.lit("_"), F.col(key).cast("string"))), 1, 16)
-    return marked.withColumn("sessao_id", named).drop("__new")
+    found = scan.gaps(df.drop("sessao"), [key], ts, seconds, list(ties), "sessao", "__began")
+    named = F.substring(F.md5(F.concat(F.date_format("__began", "yyyy-MM-dd HH:mm:ss"), F.lit("_"), F.col(key).cast("string"))), 1, 16)
+    return found.withColumn("sessao_id", named).drop("__began")
 
 
 def lookup_within_key(df: DataFrame, key: str, call: str, name: str) -> DataFrame:
