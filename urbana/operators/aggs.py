@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import functools
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -39,28 +41,54 @@ def ordered_list(order: list[str], value: str) -> Column:
     return F.transform(F.array_sort(F.collect_list(F.struct(*order, F.col(value).alias("__v")))), lambda x: x["__v"])
 
 
+def first_items(df: DataFrame, keys: list[str], order: list[str], values: list[str], most: int) -> DataFrame:
+    """``(keys, itens, n)``: the first ``most`` rows of each group in order, as structs of ``values``, and the number of its rows.
+
+    A limit on a row number is taken before the shuffle too: a task passes on ``most`` rows of a group and one count, and no array holds more.
+    """
+    w = Window.partitionBy(*keys).orderBy(*order)
+    head = df.select(*dict.fromkeys([*keys, *order, *values])).withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= most)
+    items = head.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("__rn", F.struct(*values).alias("v")))), lambda x: x["v"]).alias("itens"))
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    same = functools.reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"i.{k}")) for k in keys])
+    return sizes.alias("s").join(items.alias("i"), same).select(*[F.col(f"s.{k}").alias(k) for k in keys], "itens", "n")
+
+
 def join_numbered(arr: Column) -> Column:
     """``1. a\\n2. b``."""
     return F.array_join(F.transform(arr, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n")
 
 
-def join_capped(arr: Column, n: int, width: int, sep: str = "; ") -> Column:
-    """The first ``n`` items, each cut to a width, and ``+N more``."""
+def join_capped(arr: Column, n: int, width: int, sep: str = "; ", total: Column | None = None) -> Column:
+    """The first ``n`` items, each cut to a width, and ``+N more``. ``total``: the number of items where the array holds only the first."""
+    there = F.size(arr) if total is None else total
     shown = F.array_join(F.transform(F.slice(arr, 1, n), lambda x: F.left(x, F.lit(width))), sep)
-    return F.when(F.size(arr) > n, F.concat(shown, F.lit(" +"), (F.size(arr) - n).cast("string"), F.lit(" more"))).otherwise(shown)
-
-
-def summarize_group(df: DataFrame, keys: list[str], ts: str, id_col: str, text: str, severity: Column, lat: str, lon: str) -> DataFrame:
-    """Ids and texts in time order, the oldest time, the centre, the worst severity and the count of each group."""
-    return df.groupBy(*keys).agg(
-        ordered_list([ts, id_col], id_col).alias("ids"), join_numbered(ordered_list([ts, id_col], text)).alias("descricoes"), F.min(ts).alias("mais_antigo"),
-        F.round(F.avg(lat), 6).alias("lat"), F.round(F.avg(lon), 6).alias("lon"), F.max(severity).alias("severidade"), F.count(F.lit(1)).alias("n"),
-    )
-
-
-def bulletin(df: DataFrame, day: Column, order: list[str], text: str) -> DataFrame:
-    """A day's texts, one per line."""
-    return df.groupBy(day.alias("dia")).agg(F.array_join(ordered_list(order, text), "\n").alias("boletim"))
+    return F.when(there > n, F.concat(shown, F.lit(" +"), (there - n).cast("string"), F.lit(" more"))).otherwise(shown)
+
+
+def summarize_group(df: DataFrame, keys: list[str], ts: str, id_col: str, text: str, severity: Column, lat: str, lon: str, most: int | None = None) -> DataFrame:
+    """Ids and texts in time order, the oldest time, the centre, the worst severity and the count of each group.
+
+    With ``most``, only the first so many ids and texts, followed by ``+N more`` (see ``first_items``); without, a group's ids and texts are one array each.
+    """
+    measures = [F.min(ts).alias("mais_antigo"), F.round(F.avg(lat), 6).alias("lat"), F.round(F.avg(lon), 6).alias("lon"), F.max(severity).alias("severidade"), F.count(F.lit(1)).alias("n")]
+    if most is None:
+        return df.groupBy(*keys).agg(ordered_list([ts, id_col], id_col).alias("ids"), join_numbered(ordered_list([ts, id_col], text)).alias("descricoes"), *measures)
+    items = first_items(df, keys, [ts, id_col], [id_col, text], most).withColumnRenamed("n", "__n").alias("i")
+    sums = df.groupBy(*keys).agg(*measures).alias("s")
+    same = functools.reduce(lambda a, b: a & b, [F.col(f"s.{k}").eqNullSafe(F.col(f"i.{k}")) for k in keys])
+    more = F.when(F.col("__n") > most, F.concat(F.lit("\n+"), (F.col("__n") - most).cast("string"), F.lit(" more"))).otherwise("")
+    ids, texts = F.transform("itens", lambda x: x[id_col]).alias("ids"), F.concat(join_numbered(F.transform("itens", lambda x: x[text])), more).alias("descricoes")
+    return sums.join(items, same).select(*[F.col(f"s.{k}").alias(k) for k in keys], ids, texts, "mais_antigo", "lat", "lon", "severidade", F.col("s.n").alias("n"))
+
+
+def bulletin(df: DataFrame, day: Column, order: list[str], text: str, most: int | None = None) -> DataFrame:
+    """A day's texts, one per line; with ``most``, the first so many and how many more there are."""
+    if most is None:
+        return df.groupBy(day.alias("dia")).agg(F.array_join(ordered_list(order, text), "\n").alias("boletim"))
+    items = first_items(df.withColumn("dia", day), ["dia"], order, [text], most)
+    more = F.when(F.col("n") > most, F.concat(F.lit("\n+"), (F.col("n") - most).cast("string"), F.lit(" more"))).otherwise("")
+    return items.select("dia", F.concat(F.array_join(F.transform("itens", lambda x: x[text]), "\n"), more).alias("boletim"))
 
 
 def count_children(df: DataFrame, child: DataFrame, key: str, name: str) -> DataFrame:

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import functools
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def suppress(df: DataFrame, history: DataFrame, keys: list[str], condition: Column | None = None) -> DataFrame:
@@ -52,14 +54,62 @@ def entity_days(df: DataFrame, start: Column, end: Column, day: str = "day") ->
     return df.withColumn(day, F.explode(F.when(start <= end, F.sequence(start, end)).otherwise(F.array().cast("array<date>"))))
 
 
-def valid_at(df: DataFrame, periods: DataFrame, keys: list[str], ts: str, start: str, end: str) -> DataFrame:
-    """Rows beside the periods of their key that hold their time, both bounds included."""
-    return df.join(periods, keys).where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end)))
+def seconds_of(kind: T.DataType, c: Column) -> Column:
+    """A date, time or number as whole seconds (a number as its floor), in the order of its values and free of time zones."""
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("long") * 86_400
+    if isinstance(kind, T.TimestampNTZType):
+        return F.timestamp_diff("SECOND", F.lit(dt.datetime(1900, 1, 1)).cast("timestamp_ntz"), c)
+    return F.unix_seconds(c) if isinstance(kind, T.TimestampType) else F.floor(c).cast("long")
 
 
-def daily_snapshots(df: DataFrame, added: str, until: Column, day: str = "snapshot") -> DataFrame:
-    """For each day the rows added on it or before."""
-    return entity_days(df, F.to_date(added), until, day)
+def valid_at(df: DataFrame, periods: DataFrame, keys: list[str], ts: str, start: str, end: str) -> DataFrame:
+    """Rows beside the periods of their key that hold their time, both bounds included.
+
+    A period belongs to the level of time bins that are just longer than it, so it lies in at most two of them; a row looks into one
+    bin of each level that occurs (one for each power of two of lengths). Rows of a key meet only periods near their time, so a key with many rows and
+    many periods neither forms their product nor meets in one task. Periods without a bound, or that end before they start, hold nothing.
+    """
+    found = [c for c in periods.columns if c not in keys]
+    low, high = (seconds_of(periods.schema[c].dataType, F.col(c)) for c in (start, end))
+    spans = periods.where(F.col(start) <= F.col(end)).withColumns({"__low": low, "__high": high}).withColumn("__level", F.length(F.bin(F.col("__high") - F.col("__low"))))
+    levels = sorted(r[0] for r in spans.select("__level").distinct().collect())  # at most 64 numbers
+    placed = spans.withColumn("__bin", F.explode(F.expr("array_distinct(array(shiftright(__low, __level), shiftright(__high, __level)))"))).select(*keys, "__level", "__bin", *found)
+    rows = df.withColumn("__at", seconds_of(df.schema[ts].dataType, F.col(ts))).withColumn("__level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    rows = rows.withColumn("__bin", F.expr("shiftright(__at, __level)")).drop("__at")
+    return rows.join(placed, [*keys, "__level", "__bin"]).where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("__level", "__bin")
+
+
+def daily_snapshots(df: DataFrame, added: str, days: list[dt.date], day: str = "snapshot") -> DataFrame:
+    """For each day asked for, the rows added on it or before. The result has that many copies of a row at most; ``snapshot_counts`` copies none."""
+    asked = F.array(*[F.lit(d) for d in sorted(set(days))]).cast("array<date>")
+    return df.withColumn(day, F.explode(F.filter(asked, lambda d: d >= F.to_date(added))))
+
+
+def snapshot_intervals(df: DataFrame, added: str, removed: str | None = None, by: list[str] = ()) -> DataFrame:
+    """``(by, n, desde, ate)``: how many rows are there, from a day to another, both included; ``ate`` is null for the last.
+
+    Rows become changes of a day's number, summed by day before anything is ordered; the running sum goes over days on which something changes. A row
+    is there from its day of ``added`` to the one before that of ``removed`` (null: for good); rows without a day never are.
+    """
+    by = list(by)
+    there = df.where(F.col(added).isNotNull())
+    changes = there.select(*by, F.to_date(added).alias("desde"), F.lit(1).alias("d"))
+    if removed:
+        there = there.where(F.to_date(removed) > F.to_date(added)).unionByName(there.where(F.col(removed).isNull()))
+        gone = there.where(F.col(removed).isNotNull()).select(*by, F.to_date(removed).alias("desde"), F.lit(-1).alias("d"))
+        changes = there.select(*by, F.to_date(added).alias("desde"), F.lit(1).alias("d")).unionByName(gone)
+    daily = changes.groupBy(*by, "desde").agg(F.sum("d").alias("d"))
+    w = Window.partitionBy(*by).orderBy("desde")
+    return daily.select(*by, F.sum("d").over(w).alias("n"), "desde", F.date_sub(F.lead("desde").over(w), 1).alias("ate"))
+
+
+def snapshot_counts(df: DataFrame, added: str, until: Column, since: Column | None = None, removed: str | None = None, by: list[str] = (), day: str = "snapshot") -> DataFrame:
+    """``(by, day, n)`` for each day from the first one (or ``since``) to ``until``: intervals of ``snapshot_intervals`` spread over the days asked for."""
+    spans = snapshot_intervals(df, added, removed, by)
+    first = F.greatest("desde", since) if since is not None else F.col("desde")
+    last = F.least(F.coalesce("ate", until), until)
+    return entity_days(spans, first, last, day).select(*by, day, "n")
 
 
 def compare_keys(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

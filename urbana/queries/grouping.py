@@ -65,12 +65,29 @@ def _(t):
     return aggs.summarize_group(e, ["user_id"], "ts", "event_id", "event_type", F.col("value"), "value", "neg").withColumn("ids", F.array_join("ids", ","))
 
 
+@query("a10_summarize_first", """
+SELECT user_id, string_agg(event_id, ',' ORDER BY ts, event_id) FILTER (r <= 20) AS ids, string_agg(r || '. ' || event_type, chr(10) ORDER BY ts, event_id) FILTER (r <= 20) || CASE WHEN count(*) > 20 THEN chr(10) || '+' || (count(*) - 20) || ' more' ELSE '' END AS descricoes,
+min(ts) AS mais_antigo, round(avg(value), 6) AS lat, round(avg(-value), 6) AS lon, max(value) AS severidade, count(*) AS n
+FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS r FROM events) GROUP BY 1""")
+def _(t):
+    e = t.events.withColumn("neg", -F.col("value"))
+    return aggs.summarize_group(e, ["user_id"], "ts", "event_id", "event_type", F.col("value"), "value", "neg", most=20).withColumn("ids", F.array_join("ids", ","))
+
+
+@query("a12_bulletin_first", """
+SELECT dia, string_agg(linha, chr(10) ORDER BY ts, event_id) FILTER (r <= 50) || CASE WHEN count(*) > 50 THEN chr(10) || '+' || (count(*) - 50) || ' more' ELSE '' END AS boletim
+FROM (SELECT CAST(ts AS DATE) AS dia, ts, event_id, event_type || ' ' || event_id AS linha, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY ts, event_id) AS r FROM events) GROUP BY 1""")
+def _(t):
+    e = t.events.withColumn("linha", F.concat_ws(" ", "event_type", F.col("event_id").cast("string")))
+    return aggs.bulletin(e, F.to_date("ts"), ["ts", "event_id"], "linha", most=50)
+
+
 @query("a11_join_capped", """
 SELECT user_id, array_to_string(list_transform(a[1:5], lambda x: x[1:3]), '; ') || CASE WHEN len(a) > 5 THEN ' +' || (len(a) - 5) || ' more' ELSE '' END AS resumo
 FROM (SELECT user_id, list(event_type ORDER BY ts, event_id) AS a FROM events GROUP BY 1)""")
 def _(t):
-    g = t.events.groupBy("user_id").agg(aggs.ordered_list(["ts", "event_id"], "event_type").alias("a"))
-    return g.select("user_id", aggs.join_capped(F.col("a"), 5, 3).alias("resumo"))
+    g = aggs.first_items(t.events, ["user_id"], ["ts", "event_id"], ["event_type"], 5)
+    return g.select("user_id", aggs.join_capped(F.transform("itens", lambda x: x["event_type"]), 5, 3, total=F.col("n")).alias("resumo"))
 
 
 @query("a12_bulletin", "SELECT CAST(ts AS DATE) AS dia, string_agg(event_type || ' ' || event_id, chr(10) ORDER BY ts, event_id) AS boletim FROM events GROUP BY 1")

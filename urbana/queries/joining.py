@@ -111,12 +111,41 @@ def _(t):
     return joins.valid_at(t.orders, p, ["o_custkey"], "o_orderdate", "inicio", "fim").select("o_orderkey", "o_custkey")
 
 
+@query("j14_events_in_periods", """
+WITH p AS (SELECT event_type, event_id AS periodo, ts AS inicio, ts + to_minutes(CAST(event_id % 900 AS INTEGER)) AS fim FROM events WHERE event_id % 5 = 0)
+SELECT e.event_type, periodo, count(*) AS n, CAST(sum(e.event_id) AS BIGINT) AS ids FROM events e JOIN p ON e.event_type = p.event_type AND e.ts BETWEEN inicio AND fim GROUP BY ALL""")
+def _(t):
+    """Events inside periods of minutes to hours that begin at every fifth event of their type: few keys, many rows and periods each."""
+    p = t.events.where("event_id % 5 = 0").selectExpr("event_type", "event_id AS periodo", "ts AS inicio", "timestampadd(MINUTE, CAST(event_id % 900 AS INT), ts) AS fim")
+    return joins.valid_at(t.events, p, ["event_type"], "ts", "inicio", "fim").groupBy("event_type", "periodo").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+
+
 @query("j15_daily_snapshots", """
 WITH f AS (SELECT user_id, min(ts) AS added FROM events GROUP BY 1)
 SELECT CAST(d AS DATE) AS snapshot, count(*) AS n FROM f, unnest(generate_series(CAST(added AS DATE), DATE '2024-01-31', INTERVAL 1 DAY)) AS u(d) GROUP BY 1""")
 def _(t):
     first = t.events.groupBy("user_id").agg(F.min("ts").alias("added"))
-    return joins.daily_snapshots(first, "added", F.lit(dt.date(2024, 1, 31))).groupBy("snapshot").agg(F.count(F.lit(1)).alias("n"))
+    return joins.snapshot_counts(first, "added", F.lit(dt.date(2024, 1, 31)))
+
+
+@query("j15_snapshot_rows", """
+WITH f AS (SELECT user_id, min(ts) AS added FROM events GROUP BY 1)
+SELECT user_id, CAST(d AS DATE) AS snapshot FROM f, unnest([DATE '2024-01-01', DATE '2024-01-05', DATE '2024-01-31']) AS u(d) WHERE CAST(added AS DATE) <= d""")
+def _(t):
+    first = t.events.groupBy("user_id").agg(F.min("ts").alias("added"))
+    return joins.daily_snapshots(first, "added", [dt.date(2024, 1, d) for d in (5, 1, 31)]).select("user_id", "snapshot")
+
+
+@query("j15_open_orders", """
+WITH o AS (SELECT o_orderpriority, CAST(o_orderdate AS DATE) AS a, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) + CAST(o_orderkey % 50 AS INTEGER) END AS r FROM orders),
+d AS (SELECT CAST(d AS DATE) AS snapshot FROM unnest(generate_series(DATE '1995-01-01', DATE '1995-03-31', INTERVAL 1 DAY)) AS u(d)),
+c AS (SELECT o_orderpriority, a AS dia, count(*) AS n FROM o WHERE r IS NULL OR r > a GROUP BY ALL UNION ALL SELECT o_orderpriority, r, -count(*) FROM o WHERE r > a GROUP BY ALL)
+SELECT o_orderpriority, snapshot, CAST(sum(n) AS BIGINT) AS n FROM c JOIN d ON dia <= snapshot GROUP BY ALL""")
+def _(t):
+    """Orders open on each day of a quarter, by priority; most are closed up to 49 days later."""
+    closed = F.when(F.col("o_orderkey") % 4 != 0, F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 50).cast("int")))
+    o = t.orders.select("o_orderpriority", F.to_date("o_orderdate").alias("a"), closed.alias("r"))
+    return joins.snapshot_counts(o, "a", F.lit(dt.date(1995, 3, 31)), F.lit(dt.date(1995, 1, 1)), "r", ["o_orderpriority"])
 
 
 @query("j16_compare_keys", """
