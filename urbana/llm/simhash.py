@@ -37,7 +37,7 @@ LEAF = 384  # fingerprints of a leaf that are compared with each other
 HOT_CLASSES = 4096
 SHARD = 32768  # fingerprints a shard should hold at most
 TREE = 40  # bits of a group's number below its tree
-SET_BYTES = 1 << 24  # shingle sets that a task compares at most; one larger set may come with others
+SET_BYTES = 1 << 22  # shingle sets that a task compares at most; one larger set may come with others
 Pairs = Callable[[list[np.ndarray], float], list[tuple[int, int]]]
 
 
@@ -367,8 +367,10 @@ def alike(sets: DataFrame, least: float, pairs: Pairs | None = None) -> DataFram
 
     def link(group: pa.Table) -> pa.Table:
         items, data = group.column("item").to_pylist(), group.column("data").to_pylist()
-        found = (pairs or alike_pairs)([np.frombuffer(x, np.uint64) for x in data], reach)
-        return pa.table({"a": pa.array([items[i] for i, _ in found], pa.binary()), "b": pa.array([items[j] for _, j in found], pa.binary())})
+        found = np.array((pairs or alike_pairs)([np.frombuffer(x, np.uint64) for x in data], reach), np.int64).reshape(-1, 2)
+        root = forest(len(items), iter([(found[:, 0], found[:, 1])]))
+        leaf = np.nonzero(root != np.arange(len(items)))[0].tolist()
+        return pa.table({"a": pa.array([items[root[i]] for i in leaf], pa.binary()), "b": pa.array([items[i] for i in leaf], pa.binary())})
 
     found = rest.groupBy("grp", "part").applyInArrow(link, "a binary, b binary")
     return found if stars is None else found.unionByName(stars)
