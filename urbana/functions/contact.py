@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from urbana.functions.text import digits
 
 PLACEHOLDER = "21999999999"
+# Patterns of national numbers, for the column functions and the SQL functions alike.
+MOBILE = "^[1-9][1-9]9[0-9]{8}$"
+ANY = "^[1-9][1-9](9[0-9]{8}|[2-5][0-9]{7})$"
 
 
 def _national(c: Column) -> Column:
@@ -22,13 +25,13 @@ def _national(c: Column) -> Column:
 def format_cellphone(c: Column) -> Column:
     """``55`` + area + nine digits for a valid mobile, else null."""
     n = _national(c)
-    return F.when(n.rlike(r"^[1-9][1-9]9[0-9]{8}$"), F.concat(F.lit("55"), n))
+    return F.when(n.rlike(MOBILE), F.concat(F.lit("55"), n))
 
 
 def format_phone(c: Column) -> Column:
     """A valid mobile or landline with ``55``, else null."""
     n = _national(c)
-    return F.when(n.rlike(r"^[1-9][1-9](9[0-9]{8}|[2-5][0-9]{7})$"), F.concat(F.lit("55"), n))
+    return F.when(n.rlike(ANY), F.concat(F.lit("55"), n))
 
 
 def first_valid(*cs: Column) -> Column:
@@ -71,11 +74,17 @@ def alternates(phones: Column, chosen: Column) -> Column:
 
 
 def register(spark: SparkSession) -> None:
-    """SQL functions that Catalyst inlines."""
+    """SQL functions that Catalyst inlines: the column functions of these modules, and business days as a table."""
+    national = "WHEN startswith({0}, '55') AND length({0}) IN (12, 13) THEN substring({0}, 3, 11) ELSE {0} END".format("regexp_replace(regexp_replace(x, '[^0-9]', ''), '^0+', '')")
     for text in (
-        "cellphone(x STRING) RETURNS STRING RETURN CASE WHEN regexp_replace(x, '[^0-9]', '') RLIKE '^[1-9][1-9]9[0-9]{8}$' THEN '55' || regexp_replace(x, '[^0-9]', '') END",
+        f"national_number(x STRING) RETURNS STRING RETURN CASE {national}",
+        f"cellphone(x STRING) RETURNS STRING RETURN CASE WHEN national_number(x) RLIKE '{MOBILE}' THEN '55' || national_number(x) END",
+        f"phone(x STRING) RETURNS STRING RETURN CASE WHEN national_number(x) RLIKE '{ANY}' THEN '55' || national_number(x) END",
+        "short_name(x STRING) RETURNS STRING RETURN initcap(CASE WHEN size(split(x, ' ')) > 1 THEN concat(get(split(x, ' '), 0), ' ', element_at(split(x, ' '), -1)) ELSE x END)",
         "ninth_digit(x STRING) RETURNS STRING RETURN CASE WHEN length(x) = 12 THEN substring(x, 1, 4) || '9' || substring(x, 5, 8) ELSE x END",
         "calendar_years(a DATE, b DATE) RETURNS INT RETURN year(b) - year(a)",
         "haversine_m(la DOUBLE, lo DOUBLE, lb DOUBLE, lp DOUBLE) RETURNS DOUBLE RETURN 2 * 6371000 * asin(sqrt(pow(sin(radians(lb - la) / 2), 2) + cos(radians(la)) * cos(radians(lb)) * pow(sin(radians(lp - lo) / 2), 2)))",
+        "business_days(a DATE, b DATE, holidays ARRAY<DATE>) RETURNS TABLE (dia DATE, n INT) RETURN "
+        "SELECT CAST(d AS DATE) AS dia, CAST(row_number() OVER (ORDER BY d) AS INT) AS n FROM (SELECT explode(CASE WHEN a <= b THEN sequence(a, b) END) AS d) WHERE weekday(d) < 5 AND NOT array_contains(holidays, d)",
     ):
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {text}")

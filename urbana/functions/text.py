@@ -62,10 +62,20 @@ def address_key(*parts: Column) -> Column:
     return F.lower(F.regexp_replace(F.concat_ws(" ", *parts), r"[^a-zA-Z0-9 ]", ""))
 
 
-def attachment_links(c: Column) -> Column:
-    """Links after ``ANEXOS:`` up to ``>>`` or the end, joined by ``;``."""
-    block = F.regexp_extract(c, r"(?is)ANEXOS:\s*(.+?)(?:\s*>>|$)", 1)
-    return F.array_join(F.filter(F.split(block, r"[\s,;]+"), lambda x: x.startswith("http")), ";")
+# Fixed value: the mark of the feed after which links stand, and its end.
+ATTACHED = r"(?is)ANEXOS:\s*(.+?)(?:\s*>>|$)"
+
+
+def attachment_links(c: Column, direct: Column | None = None) -> Column:
+    """Links after ``ANEXOS:`` up to ``>>`` or the end, joined by ``;``; else the direct link, if it is one; else the empty text.
+
+    Links are apart by ``||``, blanks, commas or semicolons. A null text has no links of its own; without a direct link it gives null.
+    """
+    links = F.filter(F.split(F.regexp_extract(c, ATTACHED, 1), r"\|\||[\s,;]+"), lambda x: x.startswith("http"))
+    found = F.array_join(links, ";")
+    if direct is None:
+        return found
+    return F.when(F.size(links) > 0, found).otherwise(F.when(F.trim(direct).startswith("http"), F.trim(direct)).otherwise(""))
 
 
 def fill(template: str, **values: Column) -> Column:

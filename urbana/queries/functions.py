@@ -86,10 +86,15 @@ def _(t):
     return t.orders.select("o_orderkey", ct.int_text(F.concat(F.col("o_orderkey").cast("string"), F.lit(".0"))).alias("a"), ct.int_text(F.col("o_orderstatus")).alias("b"))
 
 
-@query("f11_attachment_links", "SELECT p_partkey, 'http://a/' || p_partkey || ';http://b/' || p_size AS links FROM part")
+@query("f11_attachment_links", """
+SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'http://a/' || p_partkey || ';http://b/' || p_size WHEN 1 THEN 'http://d/' || p_partkey ELSE '' END AS links FROM part""")
 def _(t):
-    s = F.concat(F.lit("texto ANEXOS: http://a/"), F.col("p_partkey").cast("string"), F.lit(", nada http://b/"), F.col("p_size").cast("string"), F.lit(" >> resto http://c"))
-    return t.part.select("p_partkey", tx.attachment_links(s).alias("links"))
+    """Two links in a text, or else the direct one, or none."""
+    key, size = F.col("p_partkey").cast("string"), F.col("p_size").cast("string")
+    both = F.concat(F.lit("texto ANEXOS: http://a/"), key, F.when(F.col("p_size") % 2 == 0, "||").otherwise(", nada "), F.lit("http://b/"), size, F.lit(" >> resto http://c"))
+    s = F.when(F.col("p_partkey") % 3 == 0, both).when(F.col("p_partkey") % 6 == 1, "sem links http://c")
+    direct = F.when(F.col("p_partkey") % 3 == 1, F.concat(F.lit(" http://d/"), key)).when(F.col("p_partkey") % 6 == 2, "nada")
+    return t.part.select("p_partkey", tx.attachment_links(s, direct).alias("links"))
 
 
 @query("f12_unaccent", "SELECT doc_id, strip_accents(regexp_replace(text, '[^a-zA-Z ñéèêáíóúüöäçñÉÈÊÁÍÓÚÜÖÄÇÑ]', '', 'g')) AS t FROM documents")
@@ -281,7 +286,31 @@ def _(t):
     return t.events.select("event_id", F.date_format("ts", "HH:mm").alias("m"))
 
 
-@query("f50_sql_functions", "SELECT c_custkey, CASE WHEN length('5521' || lpad(CAST(c_custkey AS VARCHAR), 8, '9')) = 12 THEN '55219' || lpad(CAST(c_custkey AS VARCHAR), 8, '9') END AS fone, CAST(24 AS INTEGER) AS anos FROM customer")
+@query("f50_sql_functions", r"""
+WITH n AS (SELECT c_custkey, '0' || '21' || CASE c_custkey % 3 WHEN 0 THEN '9' WHEN 1 THEN '' ELSE '7' END || lpad(CAST(c_custkey AS VARCHAR), 8, '8') AS nacional FROM customer),
+d AS (SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '+55 (' || nacional[2:3] || ') ' || nacional[4:] ELSE nacional END AS escrito, nacional[2:] AS n FROM n)
+SELECT c_custkey, CASE WHEN regexp_matches(n, '^[1-9][1-9]9[0-9]{8}$') THEN '55' || n END AS celular, CASE WHEN regexp_matches(n, '^[1-9][1-9](9[0-9]{8}|[2-5][0-9]{7})$') THEN '55' || n END AS fone,
+'55219' || lpad(CAST(c_custkey AS VARCHAR), 8, '9') AS nono, upper(c_name[1]) || lower(c_name[2:]) || ' Silva' AS nome, CAST(24 AS INTEGER) AS anos,
+round(2 * 6371000 * asin(sqrt(pow(sin(radians(0.01) / 2), 2) + cos(radians(-22.9)) * cos(radians(-22.89)) * pow(sin(radians(0.001 * (c_custkey % 10)) / 2), 2))), 3) AS metros
+FROM d JOIN customer USING (c_custkey)""")
 def _(t):
+    """Every scalar SQL function over the customers, some numbers with 55, brackets or a leading zero."""
     ct.register(t.spark)
-    return t.customer.selectExpr("c_custkey", "ninth_digit('5521' || lpad(CAST(c_custkey AS STRING), 8, '9')) AS fone", "calendar_years(DATE'2000-05-01', DATE'2024-01-01') AS anos")
+    n = t.customer.selectExpr("*", "concat('0', '21', CASE c_custkey % 3 WHEN 0 THEN '9' WHEN 1 THEN '' ELSE '7' END, lpad(CAST(c_custkey AS STRING), 8, '8')) AS nacional")
+    n = n.selectExpr("*", "CASE WHEN c_custkey % 2 = 0 THEN concat('+55 (', substring(nacional, 2, 2), ') ', substring(nacional, 4)) ELSE nacional END AS escrito")
+    return n.selectExpr(
+        "c_custkey", "cellphone(escrito) AS celular", "phone(escrito) AS fone", "ninth_digit('5521' || lpad(CAST(c_custkey AS STRING), 8, '9')) AS nono", "short_name(c_name || ' da Silva') AS nome",
+        "calendar_years(DATE'2000-05-01', DATE'2024-01-01') AS anos", "round(haversine_m(-22.9, -43.2, -22.89, -43.2 + 0.001 * (c_custkey % 10)), 3) AS metros",
+    )
+
+
+@query("f51_business_days", """
+WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS a FROM orders WHERE o_orderkey % 7 = 0)
+SELECT o_orderkey, dia, CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY dia) AS INTEGER) AS n FROM (SELECT o_orderkey, unnest(generate_series(a, a + 9, INTERVAL 1 DAY))::DATE AS dia FROM o)
+WHERE isodow(dia) < 6 AND NOT (month(dia) = 1 AND day(dia) = 1 OR month(dia) = 12 AND day(dia) = 25)""")
+def _(t):
+    """The business days of the ten days from each order on, by a table function joined laterally; two holidays a year."""
+    ct.register(t.spark)
+    t.orders.where("o_orderkey % 7 = 0").select("o_orderkey", F.to_date("o_orderdate").alias("a")).createOrReplaceTempView("f51_orders")
+    years = "transform(sequence(1990, 2030), y -> array(make_date(y, 1, 1), make_date(y, 12, 25)))"
+    return t.spark.sql(f"SELECT o_orderkey, dia, n FROM f51_orders, LATERAL business_days(a, date_add(a, 9), flatten({years}))")
