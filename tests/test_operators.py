@@ -14,7 +14,7 @@ from urbana.operators import campaign, clean, incremental, joins, select, sessio
 from urbana.operators.geo import geo_clusters
 from urbana.operators.graph import connected_components
 from urbana.plans.render import shifted_offset
-from urbana.sources import io
+from urbana.sources import dialects, io
 
 
 def one(spark, column):
@@ -140,6 +140,35 @@ def test_jdbc_windows_on_derby(spark, tmp_path):
     assert io.read_windowed(spark, url, "SELECT * FROM t", '"d"', "month", "2024-01-01", "2024-02-10", lower_bound="2024-02-20", properties=driver).count() == 10
 
 
+def test_a_lower_bound_reads_what_plain_sql_reads(spark, tmp_path):
+    url, driver = f"jdbc:derby:{tmp_path}/db;create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    rows = spark.range(90).select("id", (F.lit(dt.datetime(2024, 1, 1)) + F.make_dt_interval(F.col("id").cast("int"), F.lit(6))).alias("t"))
+    rows.coalesce(1).write.jdbc(url, "t", mode="overwrite", properties=driver)
+    got = io.read_windowed(spark, url, "SELECT * FROM t", '"t"', "month", "2024-01-01", "2024-03-31", lower_bound="2024-02-20 06:00:00", properties=driver, timed=True)
+    plain = spark.read.jdbc(url, """(SELECT * FROM t WHERE "t" >= TIMESTAMP('2024-02-20 06:00:00') AND "t" < TIMESTAMP('2024-04-01 00:00:00')) q""", properties=driver)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.collect())) and got.count() == 40 and got.rdd.getNumPartitions() == 2
+    assert io.read_windowed(spark, url, "SELECT * FROM t", '"t"', "month", "2024-01-01", "2024-01-31", lower_bound="2024-05-01", properties=driver, timed=True).count() == 0
+
+
+@pytest.mark.parametrize(("url", "day", "time"), [
+    ("jdbc:sqlserver://h:1433;databaseName=x", "CONVERT(DATE, '2024-01-01', 23)", "CONVERT(DATETIME2, '2024-01-02 03:04:05', 120)"),
+    ("jdbc:oracle:thin:@//h:1521/x", "DATE '2024-01-01'", "TIMESTAMP '2024-01-02 03:04:05'"),
+    ("jdbc:mysql://h/x", "DATE '2024-01-01'", "TIMESTAMP '2024-01-02 03:04:05'"),
+    ("jdbc:derby:memory:x", "DATE('2024-01-01')", "TIMESTAMP('2024-01-02 03:04:05')"),
+])
+def test_predicates_in_the_words_of_a_database(url, day, time):
+    of = dialects.dialect(url)
+    want = f"(c >= {day} AND c < {day.replace('01-01', '02-01')}) AND c >= {time}"
+    assert io.predicates("c", "month", "2024-01-01", "2024-01-31", dt.date(2024, 5, 1), of, "2024-01-02 03:04:05") == [want]
+
+
+def test_literals_take_nothing_but_dates():
+    with pytest.raises(ValueError):
+        dialects.literal("2024-01-01' OR 1=1 --", "mysql")
+    with pytest.raises(ValueError):
+        dialects.dialect("jdbc:unknown:x")
+
+
 def test_bad_partition_dates_fail_or_drop(spark, tmp_path):
     df = spark.createDataFrame([("2024-01-01",), ("31/02",)], "d string")
     with pytest.raises(Exception, match="bad partition date"):

@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import random
 
 import duckdb
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from urbana.functions import contact, text
 from urbana.functions.markup import chat_markup
-from urbana.operators import aggs, forecast, incremental, select
+from urbana.operators import aggs, campaign, forecast, incremental, select
 from urbana.queries.registry import QUERIES
 from urbana.sources import io
 from urbana.streaming import ops
@@ -90,11 +92,55 @@ def test_chat_markup(spark, md, chat):
 
 def test_a_replayed_batch_changes_nothing(spark, tmp_path):
     at = f"{tmp_path}/sink"
-    write = ops.idempotent_sink(at, ["id"])
+    write = ops.idempotent_sink(at, ["id"], "one", buckets=4)
     batches = [spark.createDataFrame(rows, "id long, v string") for rows in ([(1, "a"), (1, "a"), (2, "b")], [(2, "c"), (3, "d")], [(3, "e")])]
     for i in (0, 1, 1, 2, 1, 0):
         write(batches[i], i)
-    assert sorted(tuple(r) for r in spark.read.parquet(at).select("id", "v").collect()) == [(1, "a"), (2, "b"), (3, "d")]
+    assert sorted(tuple(r) for r in ops.read_sink(spark, at).select("id", "v").collect()) == [(1, "a"), (2, "b"), (3, "d")]
+
+
+def test_a_new_checkpoint_keeps_what_the_sink_has(spark, tmp_path):
+    at = f"{tmp_path}/sink"
+    frame = lambda *rows: spark.createDataFrame(rows, "id long, v string")
+    first, second = ops.idempotent_sink(at, ["id"], "one", buckets=4), ops.idempotent_sink(at, ["id"], "two", buckets=4)
+    first(frame((1, "a")), 0)
+    first(frame((2, "b")), 1)
+    second(frame((2, "x"), (5, "e")), 0)
+    second(frame((2, "x"), (5, "e")), 0)
+    assert sorted(tuple(r) for r in ops.read_sink(spark, at).select("id", "v").collect()) == [(1, "a"), (2, "b"), (5, "e")]
+
+
+def test_a_batch_reads_the_key_buckets_it_touches_only(spark, tmp_path, monkeypatch):
+    at, read = f"{tmp_path}/sink", []
+    write = ops.idempotent_sink(at, ["id"], "one", buckets=16)
+    write(spark.range(2000).select("id"), 0)
+    found = ops._read
+    monkeypatch.setattr(ops, "_read", lambda spark, paths, *more: read.extend(paths) or found(spark, paths, *more))
+    write(spark.createDataFrame([(5,)], "id long"), 1)
+    assert len({p for p in read if "/keys/" in p}) == 1
+    assert ops.read_sink(spark, at).count() == 2000
+
+
+def test_cascade_of_a_repeated_key_keeps_one_row(spark):
+    lookup = spark.createDataFrame([(1, "b"), (1, "a"), (1, None), (2, None)], "k long, v string")
+    got = campaign.cascade(spark.createDataFrame([(1,), (2,), (None,)], "k long"), "k", [("x", lookup)], "v").collect()
+    assert sorted((r["k"] or 0, r["v"], r["fonte"]) for r in got) == [(0, None, None), (1, "a", "x"), (2, None, None)]
+
+
+def test_attachment_links_by_bars_and_the_direct_one(spark):
+    rows = [("ANEXOS: http://a||http://b>> http://c", None, "http://a;http://b"), ("nada", " http://d ", "http://d"), ("ANEXOS: x >>", "y", ""), (None, "http://d", "http://d")]
+    got = spark.createDataFrame(rows, "t string, d string, want string").select(text.attachment_links(F.col("t"), F.col("d")).alias("x"), "want").collect()
+    assert all(r["x"] == r["want"] for r in got)
+
+
+def test_sql_functions_are_the_column_functions(spark):
+    contact.register(spark)
+    rnd = random.Random(2)
+    pool = ["5521988887777", "021988887777", "+55 (21) 98888-7777", "2122334455", "551122334455", "0", "", None, "maria", "maria da silva", "JOSE  x", *["".join(rnd.choice("0123459 -") for _ in range(rnd.randint(8, 14))) for _ in range(300)]]
+    df = spark.createDataFrame([(x,) for x in pool], "x string")
+    got = df.select(F.expr("cellphone(x)").alias("a"), contact.format_cellphone(F.col("x")).alias("b"), F.expr("phone(x)").alias("c"), contact.format_phone(F.col("x")).alias("d"), F.expr("short_name(x)").alias("e"), text.short_name(F.col("x")).alias("f")).collect()
+    assert all(r["a"] == r["b"] and r["c"] == r["d"] and r["e"] == r["f"] for r in got)
+    assert got[0]["a"] == got[1]["a"] == got[2]["a"] == "5521988887777"
 
 
 def test_stored_upsert_rewrites_only_touched_parts(spark, tmp_path):

@@ -109,6 +109,65 @@ def _(t):
     return escalating_groups(seeded_order(named, "c_custkey", "iptu")).drop("alvo").orderBy("rank").limit(300)
 
 
+def _debtors(t):
+    """Customers with their orders as slips, the lines of these as instalments, and their orders as certificates of debt, all nested."""
+    due = F.date_add(F.last_day(F.to_date("l_shipdate")), 1)
+    quota = F.struct(
+        F.col("l_linenumber").alias("n"), due.alias("vencimento"), F.col("l_extendedprice").alias("valor"), (F.col("l_returnflag") == "R").alias("paga"),
+        F.when(F.col("l_quantity") == 1, "Encaminhada para Protesto").otherwise("").alias("observacoes"),
+        F.when(F.col("l_partkey") % 10 != 0, F.concat(F.lit("b"), F.col("l_partkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string"))).alias("barras"), F.concat(F.lit("p"), F.col("l_suppkey").cast("string")).alias("pix"),
+    )
+    quotas = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.array_sort(F.collect_list(quota)).alias("cotas"))
+    o = t.orders.join(quotas, "o_orderkey", "left").withColumn("dia", F.to_date("o_orderdate"))
+    slip = F.struct(F.col("o_orderkey").alias("id"), F.when(F.col("o_orderkey") % 50 != 0, F.col("dia")).alias("criacao"), "cotas")
+    states = F.when(F.col("o_orderstatus") == "F", "Paga").when(F.col("o_orderkey") % 3 == 0, "Cobrança").otherwise("Inscrita")
+    debt = F.struct(F.col("o_orderkey").alias("id"), F.col("dia").alias("geracao"), states.alias("situacao"), (F.floor("o_totalprice") / 100).cast("decimal(12,2)").alias("saldo"))
+    late = F.sum(F.when(F.col("o_orderkey") % 5 == 0, 1).otherwise(0))
+    return o.groupBy(F.col("o_custkey").cast("string").alias("cpf")).agg(F.array_sort(F.collect_list(slip)).alias("guias"), F.array_sort(F.collect_list(debt)).alias("cdas"), F.when(late > 3, late).when(late < 2, 0).alias("vencidas"))
+
+
+def _registry(t):
+    phone = F.struct(F.struct((F.col("c_custkey") % 13 == 0).alias("indicador_optout"), F.when(F.col("c_custkey") % 17 != 1, F.col("c_custkey") % 19 == 0).alias("indicador_quarentena")).alias("principal"))
+    return t.customer.select(F.col("c_custkey").cast("string").alias("cpf"), F.when(F.col("c_custkey") % 4 == 0, "").when(F.col("c_custkey") % 4 == 1, F.concat(F.lit("ana "), "c_name")).alias("nome_social"), F.col("c_name").alias("nome"), phone.alias("telefone_rmi"))
+
+
+_STATE = "CASE WHEN o_orderstatus = 'F' THEN 'Paga' WHEN o_orderkey % 3 = 0 THEN 'Cobrança' ELSE 'Inscrita' END"
+
+
+@query("g07_due_reminders", f"""
+WITH envios AS (SELECT o_custkey AS k, 'f' || (o_custkey % 1000) AS telefone, max(CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderdate AS DATE) END) AS cobranca FROM orders WHERE o_orderkey % 7 <> 3 AND (o_orderkey % 11 <> 5 OR o_orderdate >= TIMESTAMP '1995-01-01') GROUP BY ALL),
+cotas AS (SELECT o_custkey AS k, o_orderkey AS guia, CASE WHEN o_orderkey % 50 <> 0 THEN CAST(o_orderdate AS DATE) END AS criacao, CAST(last_day(l_shipdate) + INTERVAL 1 DAY AS DATE) AS vencimento, l_extendedprice AS valor, l_linenumber,
+    CASE WHEN l_partkey % 10 <> 0 THEN 'b' || l_partkey || '-' || l_linenumber END AS barras, 'p' || l_suppkey AS pix FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_returnflag <> 'R' AND l_quantity <> 1),
+tudo AS (SELECT e.*, c.* EXCLUDE (k), d.o_orderkey AS cda FROM envios e JOIN cotas c USING (k) JOIN orders d ON d.o_custkey = k AND {_STATE.replace('o_order', 'd.o_order')} <> 'Paga' WHERE (criacao IS NULL OR criacao >= cobranca) AND barras IS NOT NULL),
+postas AS (SELECT *, row_number() OVER (PARTITION BY k, telefone, cda ORDER BY criacao DESC NULLS LAST, vencimento, guia, valor, barras, pix) AS rn FROM tudo)
+SELECT DISTINCT telefone, CAST(k AS VARCHAR) AS SubscriberKey, CASE k % 4 WHEN 1 THEN 'Ana ' ELSE '' END || upper(c_name[1]) || lower(c_name[2:]) AS nome_sobrenome, vencimento AS data_vencimento, guia AS numero_guia, 'R$ ' || replace(printf('%.2f', valor), '.', ',') AS valor_guia, barras AS cod_boleto, pix AS cod_pix
+FROM postas JOIN customer ON c_custkey = k WHERE rn = 1 AND vencimento = DATE '1998-08-01' AND k % 13 <> 0 AND k % 17 <> 1 AND k % 19 <> 0""")
+def _(t):
+    """People reached by a charge, whose next open instalment falls due in two days; two histories of sends, nested debts, consent."""
+    o = t.orders.where("o_orderkey % 7 <> 3").selectExpr("CAST(o_custkey AS STRING) AS cpf", "concat('f', o_custkey % 1000) AS telefone", "CASE WHEN o_orderkey % 2 = 0 THEN 'cobranca' ELSE 'lembrete' END AS modelo", "to_date(o_orderdate) AS data", "o_orderkey % 11 = 5 AS ruim")
+    sends = o.where("data >= '1995-01-01'").select("cpf", "telefone", "modelo", "data", F.lit(False).alias("indicador_quarentena"))
+    legacy = o.where("data < '1995-01-01'").select("cpf", "telefone", "modelo", "data", F.when(F.col("ruim"), F.col("data")).alias("data_falha"))
+    reached = campaign.charged(sends, legacy, "cobranca", "lembrete")
+    return campaign.due_reminders(_debtors(t), reached, _registry(t), dt.date(1998, 7, 30), 2, "Encaminhada para Protesto", ["Paga", "Parcelamento Irregular"])
+
+
+@query("g07_debt_charges", f"""
+WITH dividas AS (SELECT o_custkey AS k, count(*) FILTER (s <> 'Paga') AS n, sum(saldo) FILTER (s <> 'Paga') AS soma, max(dia) FILTER (s <> 'Paga') AS ultima, sum(CASE WHEN o_orderkey % 5 = 0 THEN 1 ELSE 0 END) AS atraso
+    FROM (SELECT *, {_STATE} AS s, CAST(floor(o_totalprice) / 100 AS DECIMAL(12,2)) AS saldo, CAST(o_orderdate AS DATE) AS dia FROM orders) GROUP BY 1),
+alvo AS (SELECT c_custkey AS k, c_name, CAST(1998 - (1930 + c_custkey % 60) AS INTEGER) AS idade, n, soma, ultima FROM customer JOIN dividas ON k = c_custkey
+    WHERE c_custkey % 5 <> 4 AND (atraso > 3 OR atraso BETWEEN 2 AND 3) AND n > 0 AND 1998 - (1930 + c_custkey % 60) <= 60 AND soma <= 6000 AND ultima >= DATE '1996-01-30' AND c_custkey NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND value > 95)),
+r AS (SELECT *, row_number() OVER (ORDER BY md5(k || 'divida'), CAST(k AS VARCHAR)) AS o FROM alvo)
+SELECT CAST(k AS VARCHAR) AS cpf, 'f' || (k % 1000) AS telefone, upper(c_name[1]) || lower(c_name[2:]) AS nome_sobrenome, idade, n AS n_cdas_ativas, CAST(soma AS DOUBLE) AS soma_divida_total, ultima AS dt_ultima_cda, o AS ordem_sorteio,
+CAST(ceil((sqrt(22500 + 200 * o) - 150) / 100) AS BIGINT) AS grupo_escalonado, 100 * (CAST(ceil((sqrt(22500 + 200 * o) - 150) / 100) AS BIGINT) + 1) AS tamanho_alvo_grupo FROM r ORDER BY o LIMIT 300""")
+def _(t):
+    """People who owe little, pay nothing now and were not charged lately, in a seeded order; the campaign takes the first 300."""
+    ways = F.when(F.col("c_custkey") % 5 == 4, "NÃO ENVIAR").when(F.col("c_custkey") % 5 == 0, "TESTAR").otherwise("ENVIAR")
+    born = F.make_date((1930 + F.col("c_custkey") % 60).cast("int"), F.lit(6), F.lit(15))
+    people = t.customer.select(F.col("c_custkey").cast("string").alias("cpf"), F.col("c_name").alias("nome"), born.alias("nascimento"), F.concat(F.lit("f"), (F.col("c_custkey") % 1000).cast("string")).alias("telefone"), ways.alias("estrategia"))
+    sent = t.events.where("event_type = 'purchase' AND value > 95").select(F.col("user_id").cast("string").alias("cpf"))
+    return campaign.debt_charges(_debtors(t), people, sent, dt.date(1998, 7, 30), ["Inscrita", "Cobrança"], 6000, 60, 30, "divida", 300)
+
+
 _DISPATCH = """
 b AS (SELECT c_custkey AS id, CASE WHEN c_custkey % 11 = 0 THEN '' ELSE CAST(c_custkey % 700 AS VARCHAR) END AS fone FROM customer),
 p AS (SELECT * FROM b WHERE trim(fone) <> '' AND fone NOT IN (SELECT CAST(s_suppkey AS VARCHAR) FROM supplier) AND fone NOT IN (SELECT CAST(user_id AS VARCHAR) FROM events WHERE event_type = 'purchase'))"""
@@ -172,6 +231,16 @@ def _(t):
     return joins.unknown_keys(keyed, keyed.where("p_size < 10"), "chave")
 
 
+@query("g15_cascade_repeated_keys", """
+WITH a AS (SELECT l_partkey, min(l_returnflag) AS v FROM lineitem WHERE l_quantity > 49 GROUP BY 1), b AS (SELECT l_partkey, min(l_linestatus) AS v FROM lineitem WHERE l_quantity < 5 GROUP BY 1)
+SELECT p_partkey, coalesce(a.v, b.v) AS lugar, CASE WHEN a.v IS NOT NULL THEN 'a' WHEN b.v IS NOT NULL THEN 'b' END AS fonte FROM part LEFT JOIN a ON a.l_partkey = p_partkey LEFT JOIN b ON b.l_partkey = p_partkey""")
+def _(t):
+    """Lookups with many rows of a key: a part stays one row."""
+    a = t.lineitem.where("l_quantity > 49").select(F.col("l_partkey").alias("p_partkey"), F.col("l_returnflag").alias("lugar"))
+    b = t.lineitem.where("l_quantity < 5").select(F.col("l_partkey").alias("p_partkey"), F.col("l_linestatus").alias("lugar"))
+    return campaign.cascade(t.part.select("p_partkey"), "p_partkey", [("a", a), ("b", b)], "lugar")
+
+
 @query("g15_cascade", "SELECT p_partkey, coalesce(s_name, n_name) AS lugar, CASE WHEN s_name IS NOT NULL THEN 'a' WHEN n_name IS NOT NULL THEN 'b' END AS fonte FROM part LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal > 0) ON s_suppkey = p_partkey LEFT JOIN nation ON n_nationkey = p_partkey")
 def _(t):
     a = t.supplier.where("s_acctbal > 0").select(F.col("s_suppkey").alias("p_partkey"), F.col("s_name").alias("lugar"))

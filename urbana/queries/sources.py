@@ -11,7 +11,7 @@ from urbana.operators import clean
 from urbana.operators.incremental import publish, rolling_upsert
 from urbana.queries.base import query
 from urbana.session import scratch_path
-from urbana.sources import io
+from urbana.sources import dialects, io
 
 RUN = dt.datetime(2024, 2, 1, 12, 0, 0)
 
@@ -24,9 +24,22 @@ def _(t):
     return x.drop("w")
 
 
+@query("s02_dialect_predicates", """
+WITH d(dialeto, antes, depois) AS (VALUES ('derby', 'DATE(' || chr(39), chr(39) || ')'), ('mysql', 'DATE ' || chr(39), chr(39)), ('oracle', 'DATE ' || chr(39), chr(39)), ('sqlserver', 'CONVERT(DATE, ' || chr(39), chr(39) || ', 23)')),
+m AS (SELECT date_trunc('month', o_orderdate) AS mes, count(*) AS n FROM orders WHERE o_orderdate >= TIMESTAMP '1995-03-15' AND o_orderdate < TIMESTAMP '1996-01-01' GROUP BY 1)
+SELECT dialeto, '(o_orderdate >= ' || antes || strftime(mes, '%Y-%m-%d') || depois || ' AND o_orderdate < ' || antes || strftime(mes + INTERVAL 1 MONTH, '%Y-%m-%d') || depois || ') AND o_orderdate >= ' || antes || '1995-03-15' || depois AS predicado, n FROM d, m""")
+def _(t):
+    """The predicate of each month from a lower bound on, for four databases, with the orders that it takes here."""
+    texts = {name: io.predicates("o_orderdate", "month", "1995-01-01", "previous_day", dt.date(1996, 1, 1), name, "1995-03-15") for name in ("derby", "mysql", "oracle", "sqlserver", "spark")}
+    which = F.coalesce(*[F.when(F.expr(p), i) for i, p in enumerate(texts.pop("spark"))])
+    every = F.array(*[F.struct(F.lit(name).alias("dialeto"), F.array(*map(F.lit, preds)).alias("p")) for name, preds in texts.items()])
+    months = t.orders.withColumn("w", which).where("w IS NOT NULL").groupBy("w").agg(F.count(F.lit(1)).alias("n"))
+    return months.withColumn("d", F.explode(every)).select("d.dialeto", F.get("d.p", F.col("w")).alias("predicado"), "n")
+
+
 @query("s03_lower_bound", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '1998-01-01'")
 def _(t):
-    return t.orders.where(F.col("o_orderdate") > F.lit(dt.datetime(1998, 1, 1)).cast("timestamp_ntz")).select("o_orderkey", "o_orderdate")
+    return t.orders.where(dialects.lower_bound("o_orderdate", "1998-01-01 00:00:00", "spark", strict=True)).select("o_orderkey", "o_orderdate")
 
 
 @query("s04_loaded_at", "SELECT n_nationkey, TIMESTAMP '2024-02-01 12:00:00' AS loaded_at FROM nation")

@@ -86,7 +86,18 @@ def _(t):
     for i, rows in enumerate((t.events.where("event_id % 2 = 0"), t.events)):
         rows.write.parquet(f"{feed}/{i}")
         ops.run_once(s, sink=ops.idempotent_sink(at, ["event_id"]), at=run)
-    return t.spark.read.parquet(at).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+    return ops.read_sink(t.spark, at).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("r08_sink_after_a_new_checkpoint", "SELECT user_id, count(*) AS n FROM events GROUP BY 1")
+def _(t):
+    """Two thirds of the events by one run, all of them by another that knows nothing of it: the sink keeps the former and adds the others."""
+    feed, at = scratch_path(t.spark, "feed"), scratch_path(t.spark, "sink")
+    for i, rows in enumerate((t.events.where("event_id % 3 = 0"), t.events.where("event_id % 3 = 1"), t.events)):
+        rows.write.parquet(f"{feed}/{i}")
+        s = ops.stream_files(t.spark, f"{feed}/*", t.events.schema).select("event_id", "user_id")
+        ops.run_once(s, sink=ops.idempotent_sink(at, ["event_id"]), at=scratch_path(t.spark, "stream"))
+    return ops.read_sink(t.spark, at).groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("r09_stream_dedup", "SELECT DISTINCT user_id, event_type FROM events")

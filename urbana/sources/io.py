@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from urbana.sources import dialects
+
 # --- databases ---------------------------------------------------------------------------------------
 
 
@@ -35,18 +37,22 @@ def windows(freq: str, start: dt.date, end: dt.date) -> list[tuple[dt.date, dt.d
     return out
 
 
-def predicates(column: str, freq: str, start: str, end: str, today: dt.date, literal: str = "DATE('{}')") -> list[str]:
-    """One SQL predicate for each window."""
+def predicates(column: str, freq: str, start: str, end: str, today: dt.date, dialect: str = "spark", lower_bound: str | None = None, timed: bool = False) -> list[str]:
+    """One SQL predicate for each window, in the words of a database. With a lower bound, windows that end before it are left out and the others keep to it.
+    ``timed``: bounds are times of day, for databases that compare a column of times with nothing else."""
     spans = windows(freq, resolve(start, today), resolve(end, today))
-    return [f"{column} >= {literal.format(a)} AND {column} < {literal.format(b)}" for a, b in spans]
-
-
-def read_windowed(spark: SparkSession, url: str, query: str, column: str, freq: str, start: str, end: str, today: dt.date | None = None, lower_bound: str | None = None, properties: dict | None = None) -> DataFrame:
-    """A query of a database, one partition and one predicate for each window. The dialect follows from the url."""
-    preds = predicates(column, freq, start, end, today or dt.datetime.now(dt.timezone.utc).date())
-    if lower_bound:
-        preds = [f"({p}) AND {column} >= DATE('{lower_bound}')" for p in preds]
-    return spark.read.jdbc(url, f"({query}) q", predicates=preds, properties={"fetchsize": "50000"} | (properties or {}))
+    if timed:
+        spans = [(dt.datetime.combine(a, dt.time()), dt.datetime.combine(b, dt.time())) for a, b in spans]
+    if lower_bound is None:
+        return [dialects.window(column, a, b, dialect) for a, b in spans]
+    bound = dialects.lower_bound(column, lower_bound, dialect)
+    return [f"({dialects.window(column, a, b, dialect)}) AND {bound}" for a, b in spans if b.isoformat() > lower_bound[:10]]
+
+
+def read_windowed(spark: SparkSession, url: str, query: str, column: str, freq: str, start: str, end: str, today: dt.date | None = None, lower_bound: str | None = None, properties: dict | None = None, timed: bool = False) -> DataFrame:
+    """A query of a database, one partition and one predicate for each window, in the dialect of the url; an empty result where the bound is after all windows."""
+    preds = predicates(column, freq, start, end, today or dt.datetime.now(dt.timezone.utc).date(), dialects.dialect(url), lower_bound, timed)
+    return spark.read.jdbc(url, f"({query}) q", predicates=preds or ["1 = 0"], properties={"fetchsize": "50000"} | (properties or {}))
 
 
 def with_loaded_at(df: DataFrame, ts: dt.datetime) -> DataFrame:

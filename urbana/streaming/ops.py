@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import functools
+import time
 from collections.abc import Iterator
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,25 +101,57 @@ def stateful_emit(s: DataFrame, key: str, ts: str, n: int, minutes: int, delay:
     return rows.groupBy("key").applyInPandasWithState(run, EMITTED, "n long, oldest long", "append", "EventTimeTimeout")
 
 
-def idempotent_sink(folder: str, keys: list[str]):
-    """A ``foreachBatch`` function that appends the rows whose key no earlier batch has written, as a folder for each batch.
+def idempotent_sink(folder: str, keys: list[str], run: str | None = None, buckets: int = 16):
+    """A ``foreachBatch`` function that appends to ``folder/rows`` the rows whose key no earlier batch of any run has written.
 
-    A batch that comes again replaces its own folder by the same rows; a key that comes again in a later batch is left out.
-    Earlier batches are read for their keys only, and never written again.
+    The ledger ``folder/batches`` gives each batch of each query run its place in time, once and for all; a batch that comes again keeps its place, and
+    replaces its own rows and keys by the same ones. A new checkpoint is a new run and adds to what is there. Written keys lie in hash
+    buckets, and a batch reads those of its own keys' buckets only. One writer at a time. ``run``: a name for the run; by default the query's id.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        now = batch.dropDuplicates(keys)
-        if batch_id:
-            schema = T.StructType([*batch.schema.fields, T.StructField("batch", T.LongType())])
-            sent = spark.read.schema(schema).parquet(folder).where(F.col("batch") < batch_id).select(*keys)
-            now = now.join(sent, keys, "left_anti").select(*batch.columns)
-        now.write.mode("overwrite").parquet(f"{folder}/batch={batch_id}")
+        name = run or spark.sparkContext.getLocalProperty("sql.streaming.queryId") or "run"
+        own = f"{folder}/batches/run={name}/batch={batch_id}"
+        if (place := _read(spark, [own], "place long")) is None:
+            spark.range(1).select(F.lit(time.time_ns()).alias("place")).coalesce(1).write.mode("overwrite").parquet(own)
+            place = _read(spark, [own], "place long")
+        place = place.first()[0]
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        batch = batch.dropDuplicates(keys).withColumn("__bucket", bucket).persist()
+        touched = [r[0] for r in batch.select("__bucket").distinct().collect()]  # numbers below ``buckets``
+        known = T.StructType([*[batch.schema[k] for k in keys], T.StructField("__place", T.LongType())])
+        paths = [f"{folder}/keys/bucket={b}" for b in touched]
+        seen = _read(spark, paths, known, f"{folder}/keys")
+        if seen is None:  # some buckets are still empty
+            parts = [p for p in (_read(spark, [x], known, f"{folder}/keys") for x in paths) if p is not None]
+            seen = functools.reduce(DataFrame.unionByName, parts) if parts else None
+        fresh = batch if seen is None else batch.join(seen.where(F.col("__place") < place).select(*keys), keys, "left_anti")
+        rows = f"{folder}/rows/run={name}/batch={batch_id}"
+        fresh.select(*batch.columns).write.mode("overwrite").parquet(rows)
+        batch.unpersist()
+        written = spark.read.parquet(rows).select(*keys, F.lit(place).alias("__place"), F.col("__bucket").alias("bucket"), F.lit(name).alias("run"), F.lit(batch_id).alias("batch"))
+        written.repartition("bucket").write.partitionBy("bucket", "run", "batch").option("partitionOverwriteMode", "dynamic").mode("overwrite").parquet(f"{folder}/keys")
 
     return write
 
 
+def read_sink(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that a sink has written."""
+    return spark.read.parquet(f"{folder}/rows").drop("__bucket", "run", "batch")
+
+
+def _read(spark: SparkSession, paths: list[str], schema, base: str | None = None) -> DataFrame | None:
+    """The Parquet files of paths, None where there are none."""
+    try:
+        reader = spark.read.schema(schema)
+        return (reader.option("basePath", base) if base else reader).parquet(*paths) if paths else None
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def run_once(s: DataFrame, mode: str = "append", sink=None, at: str | None = None) -> DataFrame | None:
     """Run a stream over what is there into the shared folder; the rows written, or None with a sink of one's own.
 
