@@ -51,6 +51,19 @@ def test_stateful_emit(spark):
     assert sorted((r["key"], r["motivo"], r["n"], r["ms"]) for r in got) == sorted((k, *e) for k, ts in times.items() for e in _emitted(ts, 5, 7))
 
 
+def test_emission_goes_on_after_a_restart(spark, tmp_path):
+    rnd = random.Random(9)
+    start = 1_704_067_200_000
+    times = {k: [start + rnd.randrange(0, 40 * 60_000) for _ in range(60)] for k in ("a", "b")}
+    cut = start + 20 * 60_000
+    for i, rows in enumerate(([(k, t) for k, ts in times.items() for t in ts if t < cut], [(k, t) for k, ts in times.items() for t in ts if t >= cut], [("z", start + 10**10)])):
+        spark.createDataFrame(rows, "k string, ms long").selectExpr("k", "timestamp_millis(ms) AS ts").write.parquet(f"{tmp_path}/in/{i}")
+        s = ops.stream_files(spark, f"{tmp_path}/in/*", spark.read.parquet(f"{tmp_path}/in/0").schema)
+        got = ops.run_once(ops.stateful_emit(s, "k", "ts", 5, 7, "0 seconds"), at=f"{tmp_path}/run")
+    found = got.where("key <> 'z'").select("key", "motivo", "n", F.unix_millis("mais_antigo")).collect()
+    assert sorted(map(tuple, found)) == sorted((k, *e) for k, ts in times.items() for e in _emitted(ts, 5, 7))
+
+
 def _utm(lat, lon):
     """Degrees to metres of the southern zone 23 by Krüger's series, an independent way to the same projection."""
     f, a, k0 = 1 / 298.257222101, 6378137.0, 0.9996

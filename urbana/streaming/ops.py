@@ -6,11 +6,13 @@ import functools
 import time
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from urbana.session import scratch_path
 
@@ -64,41 +66,72 @@ def stream_suppress(s: DataFrame, static: DataFrame, keys: list[str]) -> DataFra
 EMITTED = "key string, motivo string, n long, mais_antigo timestamp"
 
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class CountOrAge(StatefulProcessor):
+    """Groups of a key's rows in order of time: emitted at ``n`` rows, or when ``millis`` have passed since the oldest.
+
+    The open group is a list of fewer than ``n`` times, its oldest a value; an event-time timer ends it when no more rows come. State is cleared with
+    the group. (Spark's state TTL counts processing time only, so the timer does its work here.)
+    """
+
+    def __init__(self, n: int, millis: int):
+        self.n, self.millis = n, millis
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", "t long")
+        self.oldest = handle.getValueState("oldest", "t long")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        new = [pd.to_datetime(b.iloc[:, -1]).to_numpy("datetime64[ms]").astype(np.int64) for b in rows]
+        kept = np.array([t[0] for t in self.open.get()] if self.open.exists() else [], np.int64)
+        at, i, out = np.sort(np.concatenate([kept, *new])), 0, []
+        while i < len(at):
+            aged = int(np.searchsorted(at, at[i] + self.millis))
+            end = min(i + self.n, aged)
+            if end == i + self.n or aged < len(at):
+                out.append((str(key[0]), "count" if end == i + self.n else "age", end - i, int(at[i])))
+                i = end
+            else:
+                break
+        self.keep(at[i:].tolist(), timerValues.getCurrentWatermarkInMs())
+        yield self.frame(out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:  # noqa: N802, N803
+        due = self.oldest.exists() and self.oldest.get()[0] + self.millis <= expiredTimerInfo.getExpiryTimeInMs()
+        out = [(str(key[0]), "age", sum(1 for _ in self.open.get()), self.oldest.get()[0])] if due else []
+        if due:
+            self.keep([], 0)
+        yield self.frame(out)
+
+    def keep(self, times: list[int], watermark: int) -> None:
+        if self.oldest.exists():
+            self.open.clear()
+            self.oldest.clear()
+        if times:
+            self.open.put([(t,) for t in times])
+            self.oldest.update((times[0],))
+            self.handle.registerTimer(max(times[0] + self.millis, watermark + 1))
+
+    def frame(self, rows: list[tuple]) -> pd.DataFrame:
+        found = pd.DataFrame(rows, columns=["key", "motivo", "n", "mais_antigo"])
+        return found.assign(mais_antigo=pd.to_datetime(found["mais_antigo"].astype("int64"), unit="ms"))
+
+    def close(self) -> None:
+        pass
+
+
 def stateful_emit(s: DataFrame, key: str, ts: str, n: int, minutes: int, delay: str) -> DataFrame:
     """A group is emitted when its ``n``-th row comes, or ``minutes`` after its oldest by event time; then it starts anew.
 
-    The state of a key is a count and a time, however many rows it has.
+    The state of a key is fewer than ``n`` times, however many rows it has; a task holds the times of one key's new rows as one array. Needs RocksDB as the
+    session's state store, which is set here.
     """
-
-    def run(key_value: tuple, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        count, oldest = state.get if state.exists else (0, 0)
-        out = []
-
-        def emit(why: str) -> None:
-            nonlocal count, oldest
-            out.append((str(key_value[0]), why, count, pd.Timestamp(oldest, unit="ms")))
-            count = oldest = 0
-
-        if state.hasTimedOut:
-            if count:
-                emit("age")
-        else:
-            times = sorted(int(t.value // 1_000_000) for b in batches for t in b["__ts"])
-            for t in times:
-                if count and t - oldest >= minutes * 60_000:
-                    emit("age")
-                count, oldest = count + 1, min(oldest or t, t)
-                if count >= n:
-                    emit("count")
-        if count:
-            state.update((count, oldest))
-            state.setTimeoutTimestamp(max(oldest + minutes * 60_000, state.getCurrentWatermarkMs() + 1))
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(out, columns=["key", "motivo", "n", "mais_antigo"])
-
-    rows = s.withWatermark(ts, delay).select(F.col(key).cast("string").alias("key"), F.col(ts).alias("__ts"))
-    return rows.groupBy("key").applyInPandasWithState(run, EMITTED, "n long, oldest long", "append", "EventTimeTimeout")
+    s.sparkSession.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    rows = s.withWatermark(ts, delay).select(F.col(key).cast("string").alias("key"), F.col(ts).alias("at"))
+    return rows.groupBy("key").transformWithStateInPandas(CountOrAge(n, minutes * 60_000), EMITTED, "append", "EventTime")
 
 
 def idempotent_sink(folder: str, keys: list[str], run: str | None = None, buckets: int = 16):
