@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from urbana.functions import contact, dates, geo, text
 from urbana.operators import campaign, clean, incremental, joins, select, sessions
+from urbana.operators import geo as geo_module
 from urbana.operators.geo import geo_clusters
 from urbana.operators.graph import connected_components
 from urbana.plans.render import shifted_offset
@@ -36,6 +37,48 @@ def test_clusters_at_the_radius(spark, metres, groups):
     assert got.count() == 3
 
 
+@pytest.mark.parametrize(("gap", "groups"), [(-4.0, 1), (0.6, 2)])
+def test_two_crowds_of_points_make_few_distances(spark, monkeypatch, gap, groups):
+    """10,000 points in each of two strips whose nearest points are closer than the radius, or just further: refined, not multiplied."""
+    made = []
+    children = geo_module._children
+
+    def counted(*args):
+        got = children(*args)
+        made.append(got.count())
+        return got
+
+    monkeypatch.setattr(geo_module, "_children", counted)
+    rnd = random.Random(4)
+    degree = math.pi * 6_371_000 / 180
+    strip = lambda south: [(south + rnd.random() * 15 / degree, -43.2 + rnd.random() * 15 / degree) for _ in range(10_000)]
+    south = -22.9
+    points = strip(south) + strip(south + (15 + 500 + gap) / degree)
+    df = spark.createDataFrame([(i, "a", *p) for i, p in enumerate(points)], "id long, tipo string, lat double, lon double")
+    got = geo_clusters(df, "id", "tipo", "lat", "lon", 500.0)
+    metres = lambda p, q: 2 * 6_371_000 * math.asin(math.sqrt(math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2))
+    top, bottom = sorted(points[:10_000])[-200:], sorted(points[10_000:])[:200]
+    near = min(metres(p, q) for p in top for q in bottom)
+    assert (near <= 500) == (groups == 1)
+    assert got.select("cluster").distinct().count() == groups
+    assert sum(made) < 1_000_000
+
+
+def test_refined_parts_are_like_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(geo_module, "FEW_PAIRS", 0)
+    rnd = random.Random(6)
+    points = [(-22.9 + rnd.random() * 0.05, -43.2 + rnd.random() * 0.05) for _ in range(180)]
+    df = spark.createDataFrame([(i, "a", *p) for i, p in enumerate(points)], "id long, tipo string, lat double, lon double")
+    metres = lambda p, q: 2 * 6_371_000 * math.asin(math.sqrt(math.sin(math.radians(q[0] - p[0]) / 2) ** 2 + math.cos(math.radians(p[0])) * math.cos(math.radians(q[0])) * math.sin(math.radians(q[1] - p[1]) / 2) ** 2))
+    root = list(range(180))
+    for i in range(180):
+        for j in range(i):
+            if metres(points[i], points[j]) <= 500 and root[i] != root[j]:
+                low, high = sorted((root[i], root[j]))
+                root = [low if x == high else x for x in root]
+    assert {r["id"]: r["cluster"] for r in geo_clusters(df, "id", "tipo", "lat", "lon", 500.0).collect()} == dict(enumerate(root))
+
+
 def test_cluster_of_a_report_without_place(spark):
     df = spark.createDataFrame([(5, "a", None, None), (6, "a", None, None)], "id long, tipo string, lat double, lon double")
     assert sorted(r["cluster"] for r in geo_clusters(df, "id", "tipo", "lat", "lon", 500.0).collect()) == [5, 6]
