@@ -269,15 +269,44 @@ def test_token_odd_rows(spark, odd, tmp_path):
 # --- op3, op9 --------------------------------------------------------------------------------------
 
 
-def test_toxicity_held_out(spark):
-    big = "/root/testdata/sf0.1"
-    labels = spark.read.parquet(f"{big}/labels.parquet")
-    docs = spark.read.parquet(f"{big}/documents.parquet").join(labels.select("doc_id"), "doc_id", "left_semi")
-    model = toxicity.fit(docs, labels, rows=(700, 500))
-    got = toxicity.score(docs, model, keep=["doc_id"]).join(labels, "doc_id").where(toxicity.fold() == 2).toPandas()
-    assert got.predicted[got.toxic == 0].mean() < 0.02
-    assert got.score[got.toxic == 1].median() > 0.3  # a quarter of these labels mark texts without any sign of it
+@pytest.fixture(scope="module")
+def big_model(spark):
+    """The query's own fit at sf0.1."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    return docs, labels, toxicity.fit(docs, labels)
+
+
+def test_toxicity_held_out_by_language(big_model):
+    docs, labels, model = big_model
+    seen = docs.join(labels.select("doc_id"), "doc_id", "left_semi")
+    got = toxicity.score(seen, model, keep=["doc_id", "lang"]).join(labels, "doc_id").where(toxicity.fold() == 2).toPandas()
+    assert got.predicted[got.toxic == 0].mean() < 0.015
     assert got.score.between(0, 1).all() and ((got.score >= 0.3) == (got.predicted == 1)).all()
+    recall = got[got.toxic == 1].groupby("lang").predicted.mean()
+    assert got.predicted[got.toxic == 1].mean() >= 0.8
+    # English has documents without any mark; the others have 22 to 52 texts to learn from, whose marks also stand in clean texts. Spanish, with fewest, is not learnt.
+    assert recall["en"] >= 0.9 and recall["de"] >= 0.7 and recall["fr"] >= 0.7
+
+
+def test_toxicity_scores_against_brute_force(spark, docs, big_model):
+    model = big_model[2]
+    size = len(model.weights)
+
+    def word(w: str) -> float:
+        grams = [f"<{w}>"[i : i + n] for n in (3, 4, 5) for i in range(len(w) + 3 - n)] if w else []
+        return sum(model.weights[zlib.crc32(g.encode()) % size] for g in grams) / len(grams) if grams else 0.0
+
+    for r in toxicity.score(docs.limit(40), model).collect():
+        words = WORD.findall(r["text"])
+        words = [w for w, before in zip(words, [None, *words], strict=False) if w != before]
+        if any(len(w.encode()) > 64 for w in words):
+            continue
+        each = [word(re.sub(r"^[\x00-/:-@\[-`{-\x7f]+|[\x00-/:-@\[-`{-\x7f]+$", "", w).lower()) for w in words]
+        runs = sorted([sum(each[i : i + 3]) / 3 for i in range(max(len(each) - 2, 1))] if each else [0.0], reverse=True)
+        most = runs[: -(-len(runs) // 25)]
+        logit = max(runs[0] + model.bias, model.gain * (sum(most) / len(most) + model.bias) + model.shift)
+        logit = min(max(logit, -30), 30)
+        assert r["score"] == pytest.approx(1 / (1 + np.exp(-logit)), abs=1e-9)
 
 
 def as_words(text: str) -> list[str]:
@@ -337,8 +366,15 @@ def test_training_sees_long_texts_to_their_end(spark):
     rows = spark.createDataFrame([("river market " * 60_000 + "blorgfish", 1), ("garden", 0), ("", 0)], "text string, toxic int")
     got = {r["toxic"]: r["words"].split("\n") for r in toxicity.training_words(rows).where("toxic = 1").collect()}
     assert got[1][-1] == "blorgfish" and len(got[1]) == 120_001
-    some = [r["words"].split("\n") for r in toxicity.training_words(rows, most=4000).where("toxic = 1").collect()][0]
-    assert 3500 * 3 < len(some) < 4500 * 3
+
+
+def test_training_draws_whole_texts_within_its_bounds(spark):
+    docs = spark.createDataFrame([(i, f"word{i} " * 100) for i in range(400)] + [(1000, "long " * 10_000)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(400)] + [(1000, 1)], "doc_id long, toxic int")
+    got = toxicity.training_rows(docs, labels, most_bytes=40_000).collect()
+    for kind in (0, 1):
+        own = [r["text"] for r in got if r["toxic"] == kind]
+        assert 30_000 < sum(map(len, own)) <= 40_000 and all(len(t.split()) == 100 for t in own)
 
 
 def brute_profile(t: bytes) -> tuple:
