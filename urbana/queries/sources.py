@@ -199,9 +199,14 @@ COLUMNS = f"""(SELECT DISTINCT table_name AS tabela, column_name AS coluna, CASE
 column_index FROM duckdb_columns() WHERE table_name IN {TABLES})"""
 
 
-@query("s25_catalog", f"SELECT tabela, coluna, tipo, CAST(row_number() OVER (PARTITION BY tabela ORDER BY column_index) - 1 AS INTEGER) AS posicao, '' AS descricao FROM {COLUMNS}")
+MEASURED = " UNION ALL ".join(f"SELECT '{n}' AS tabela, coluna, cheios, (SELECT count(*) FROM {n}) AS linhas FROM (UNPIVOT (SELECT count(COLUMNS('(.*)')) AS '\\1' FROM {n}) ON COLUMNS(*) INTO NAME coluna VALUE cheios)" for n in TABLES)
+
+
+@query("s25_catalog", f"""WITH m AS ({MEASURED}), c AS (SELECT tabela, coluna, tipo, CAST(row_number() OVER (PARTITION BY tabela ORDER BY column_index) - 1 AS INTEGER) AS posicao, '' AS descricao FROM {COLUMNS})
+SELECT c.*, linhas, 1 - cheios / linhas AS parte_nula FROM c JOIN m USING (tabela, coluna)""")
 def _(t):
-    return io.catalog({n: getattr(t, n) for n in TABLES})
+    """All columns of all tables with their rows and shares of nulls."""
+    return io.measured_catalog({n: getattr(t, n) for n in TABLES})
 
 
 @query("s25_catalog_documents", f"""SELECT 'base' AS conjunto, tabela, '{{' || string_agg('"' || coluna || '":{{"description":"","type":"' || tipo || '"}}', ',' ORDER BY coluna) || '}}' AS colunas FROM {COLUMNS} GROUP BY tabela""")

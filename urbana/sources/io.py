@@ -197,6 +197,17 @@ def catalog(tables: dict[str, DataFrame]) -> DataFrame:
     return spark.createDataFrame(rows, "tabela string, coluna string, tipo string, posicao int, descricao string")
 
 
+def measured_catalog(tables: dict[str, DataFrame]) -> DataFrame:
+    """``catalog`` with the rows of each table and, of each column, the share of nulls (null for a table without rows): one aggregate for each table."""
+    counts = []
+    for name, df in tables.items():
+        columns = df.columns
+        one = df.agg(F.count(F.lit(1)).alias("n"), *[F.count(F.col(f"`{c}`")).alias(f"c{i}") for i, c in enumerate(columns)])
+        each = F.explode(F.array(*[F.struct(F.lit(c).alias("coluna"), F.col(f"c{i}").alias("cheios")) for i, c in enumerate(columns)])).alias("c")
+        counts.append(one.select(F.lit(name).alias("tabela"), F.col("n").alias("linhas"), each).select("tabela", "c.coluna", "linhas", (1 - F.try_divide("c.cheios", F.col("linhas"))).alias("parte_nula")))
+    return catalog(tables).join(functools.reduce(DataFrame.unionByName, counts), ["tabela", "coluna"])
+
+
 def catalog_documents(columns: DataFrame, dataset: str) -> DataFrame:
     """A data set's tables, each with its columns as a map from name to ``{description, type}``: ``(conjunto, tabelas)``, one row.
 
