@@ -284,3 +284,28 @@ def test_run_odd_rows(spark, odd):
     assert len(every) == len(ODD) and not any(r["runs"] for r in every) and {r["collapsed"] for r in every if r["doc_id"] == 6} == {LONG}
     assert periodic.with_runs(odd.limit(0)).count() == 0
     assert queries.with_repeated_tails(odd).count() == len(ODD)
+
+
+# --- the pipeline's candidates ---------------------------------------------------------------------
+
+
+def test_recall_of_near_dedup_candidates():
+    """2,500 pairs of sets with similarity 0.8 to 0.9: those that no table of fingerprints brings together are lost."""
+    import corpus_pipeline
+
+    how, rng = corpus_pipeline.NEAR, np.random.default_rng(12)
+    prints, alike = [], []
+    while len(alike) < 2500:
+        n = int(rng.integers(60, 600))
+        both = int(n * rng.uniform(0.885, 0.955))
+        a, more = rng.integers(0, 2**63, n).astype(np.uint64), rng.integers(0, 2**63, n).astype(np.uint64)
+        b = np.concatenate([a[:both], more[: n - both]])
+        j = both / (2 * n - both)
+        if 0.8 <= j <= 0.9:
+            alike.append(j)
+            prints += [simhash.majority(a, how.bits), simhash.majority(b, how.bits)]
+    words = np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1)
+    far = np.unpackbits(words[::2] ^ words[1::2], axis=1)
+    meet = np.any([far[:, p].sum(axis=1) <= how.radius for p in how.positions()], axis=0) & (far.sum(axis=1) <= how.max_distance)
+    alike = np.array(alike)
+    assert meet.mean() >= 0.98 and meet[alike < 0.82].mean() >= 0.93

@@ -80,7 +80,8 @@ def pack(lengths: list[int], capacities: tuple[int, ...] = CAPACITIES, cost: Cal
 
 
 def word_lengths(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with ``n_tokens``: the words of each whole text and an end mark."""
+    """``docs`` with ``n_tokens``: the words of each whole text, of any length, and an end mark. A null or empty text is the mark alone; repeated rows stay;
+    a column of that name is replaced; an empty table gives an empty result."""
 
     def compute(rows: list[bytes]) -> list[pa.Array]:
         return [pa.array([len(t.split()) + 1 for t in rows], pa.int64())]

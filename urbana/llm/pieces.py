@@ -204,8 +204,8 @@ def load(path: str) -> Pieces:
 def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """``docs`` with ``ids``: begin id, the ids of the whole text, end id, as little-endian unsigned 32-bit integers.
 
-    Null texts are empty and get the begin and end ids alone. Other columns pass through (one named ``ids`` is
-    replaced); an empty table gives an empty result.
+    Null texts are empty and get the begin and end ids alone. Texts of any length are encoded whole, one at a time: a task holds a text, its
+    pieces and its ids. Repeated rows stay and get equal ids. Other columns pass through (one named ``ids`` is replaced); an empty table gives an empty result.
     """
 
     def compute(rows: list[bytes]) -> list[pa.Array]:
@@ -217,7 +217,10 @@ def encode(docs: DataFrame, path: str, text: str = "text", keep: list[str] | Non
 
 
 def decode(encoded: DataFrame, path: str, ids: str = "ids", keep: list[str] | None = None) -> DataFrame:
-    """``encoded`` with ``decoded``, the text of its ids (null ids: empty)."""
+    """``encoded`` with ``decoded``, the text of its ids (null ids: empty), which replaces a column of that name.
+
+    Ids of any number are decoded whole, one row at a time. Repeated rows stay; an empty table gives an empty result.
+    """
 
     def compute(rows: list[bytes]) -> list[pa.Array]:
         model = load(path)

@@ -226,7 +226,10 @@ def write(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int, id_col
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
-    """``(doc_id, start, ids)`` of every document in the files: where its ids start among all ids, and its ids (binary, little-endian 32 bit)."""
+    """``(doc_id, start, ids)`` of every document in the files: where its ids start among all ids, and its ids (binary, little-endian 32 bit).
+
+    Repeated rows are read back as they were written, and files of an empty table give none. A task holds one file image, which ends with the document that fills it.
+    """
     files = spark.read.parquet(folder)
     totals = files.groupBy("part").agg(F.sum("n_ids").alias("n")).orderBy("part").collect()  # a row for each writing task
     offset, before = {}, 0

@@ -44,7 +44,10 @@ def counts(text: bytes) -> tuple[int, int, int, int, int]:
 
 
 def with_counts(docs: DataFrame, text: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """``docs`` with the counts of each whole text. Null and empty texts count 0 everywhere."""
+    """``docs`` with the counts of each whole text, which replace columns of these names. Null and empty texts count 0 everywhere.
+
+    Texts of any length are counted whole, one at a time: a task holds a text, its words and its lines. Repeated rows stay; an empty table gives an empty result.
+    """
 
     def compute(rows: list[bytes]) -> list[pa.Array]:
         got = [counts(t) for t in rows]
@@ -60,7 +63,7 @@ def judge(counted: DataFrame, host: str = "source", max_host_rate: float = MAX_H
     10 words, or 3 of 10 words' worth of repeated lines, or a mean word under 3 or over 12 characters.
     Rows without a host are one host of their own. Texts are counted once: the counted rows are written and read again. Counts
     per host are partial sums before the shuffle; for the join with the verdicts, which Spark broadcasts if their written size
-    allows, each host's documents are dealt to ``SALTS`` parts and its one verdict is repeated. Repeated rows stay and count each;
+    allows, each host's documents are dealt to ``SALTS`` parts and its one verdict is repeated. Texts pass through, whatever their length. Repeated rows stay and count each;
     an empty table gives an empty result.
     """
     base = F.expr("n_words < 50 OR 100 * n_repeat_words > 50 * n_words")

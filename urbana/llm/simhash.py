@@ -289,7 +289,8 @@ def components(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str
     """``(doc_id, simhash, component_id)``: one row per row of ``docs``.
 
     ``component_id`` is the smallest id whose fingerprint is reachable over links, null only if every such id
-    is null. Empty texts share the zero fingerprint. Repeated rows stay. An empty table gives an empty result.
+    is null. Empty texts share the zero fingerprint. Texts of any length are read whole: a task holds one text's words and 8 bytes for each of its shingles and
+    bits. Repeated rows stay. An empty table gives an empty result.
     """
     if how.jaccard is not None:
         return similar(docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text")), how, shingle)
@@ -419,7 +420,8 @@ def alike_pairs(sets: list[np.ndarray], reach: float) -> list[tuple[int, int]]:
 def keep_one(docs: DataFrame, how: Linking, id_col: str = "doc_id", text: str = "text", shingle: int = 5) -> DataFrame:
     """``docs`` with one row of each component: that of the smallest id, of equal ids the smallest text hash.
 
-    A row without an id stays only where its component has no other. Repeated rows become one.
+    A row without an id stays only where its component has no other. Repeated rows become one. Texts of any length are read whole; a set of shingles larger than
+    a task's share is compared alone or with few others.
     """
     mark = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
     narrow = docs.select(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), mark.alias("mark")).alias("doc_id"), F.col(text).alias("text"))

@@ -144,7 +144,8 @@ def compare(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Data
     """Each document's fingerprint beside its edited text's and the next document's, with their likeness.
 
     One row per row of ``docs``; other columns are not read. Null and empty texts have an empty fingerprint, which is wholly like another
-    empty one. Order and repeated rows as in ``with_next``. An empty table gives an empty result.
+    empty one. Texts of any length are fingerprinted whole: a task holds a text, its neighbour, and arrays of 8 bytes for each byte of them. Order and repeated rows as
+    in ``with_next``. An empty table gives an empty result.
     """
     pairs = with_next(docs, {"chosen": fingerprint(F.col("text"))}, id_col, text)
     half = F.floor(F.length("text") / 2).cast("int")
