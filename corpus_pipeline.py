@@ -28,34 +28,34 @@ def apart(stage):
 
 @apart
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that do not score as toxic. Null and empty texts stay, repeated rows stay or go together; no documents give none."""
+    """Documents that do not score as toxic, scored whole whatever their length. Null and empty texts stay, repeated rows stay or go together; no documents give none."""
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
     return toxicity.score(docs, model).where("predicted = 0")
 
 
 @apart
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the rules and their host's verdict keep. Null, empty and short texts go; rows without a source are one host;
+    """Documents that the rules and their host's verdict keep, counted whole whatever their length. Null, empty and short texts go; rows without a source are one host;
     repeated rows count each; no documents give none."""
     return quality_rules.judge(quality_rules.with_counts(docs)).where("kept")
 
 
 @apart
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that an earlier one holds; ``n_chars`` follows. No document goes; null texts become empty; rows without
+    """Documents without the lines that an earlier one holds; ``n_chars`` follows. Texts of any length are split whole. No document goes; null texts become empty; rows without
     an id are the last document; no documents give none."""
     return line_dedup.drop_repeated_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
 
 
 @apart
 def keep_one(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near copies (and what these connect). Null and empty texts are one group; of
+    """One document, that of the smallest id, of each group of near copies (and what these connect), compared whole whatever their length. Null and empty texts are one group; of
     repeated rows one stays, and a row without an id only where its group has no other; no documents give none."""
     return simhash.keep_one(docs, NEAR, shingle=5)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Where each piece of each document goes. A null or empty text is one end mark; repeated rows are packed each; no documents give no pieces."""
+    """Where each piece of each document, of any length, goes. A null or empty text is one end mark; repeated rows are packed each; no documents give no pieces."""
     return packing.best_fit(packing.word_lengths(docs, keep=["doc_id"]))
 
 
