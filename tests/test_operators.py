@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from urbana import session
 from urbana.functions import contact, dates, geo, text
 from urbana.operators import campaign, clean, incremental, joins, select, sessions
 from urbana.operators import geo as geo_module
@@ -22,6 +24,17 @@ def one(spark, column):
     return spark.range(1).select(column).first()[0]
 
 
+def test_a_scope_removes_its_scratch_tables(spark, tmp_path):
+    with session.scratch_scope(spark):
+        found = session.cut(spark.range(5))
+        inner = found.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://").removeprefix("file:")
+        found.write.parquet(f"{tmp_path}/kept")
+        assert os.path.isdir(inner)
+    assert not os.path.exists(inner) and spark.read.parquet(f"{tmp_path}/kept").count() == 5
+    outside = session.cut(spark.range(3))
+    assert outside.count() == 3
+
+
 def test_components_of_a_chain_a_ring_and_nothing(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

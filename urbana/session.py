@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,9 +46,32 @@ def shared_dir(spark: SparkSession) -> str:
     return sc._jsc.sc().getCheckpointDir().get().rstrip("/")
 
 
+_scopes: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder, for a table that a job writes and reads again."""
-    return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the shared folder, for a table that a job writes and reads again. It goes with the innermost ``scratch_scope``, if there is one."""
+    path = f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes, at its end, the scratch tables that were begun in it, whatever the file system. Store the result of a query inside the scope:
+
+        with scratch_scope(spark):
+            query(spark, folder).write.parquet(target)
+    """
+    _scopes.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+        for path in _scopes.pop():
+            at = spark._jvm.org.apache.hadoop.fs.Path(path)
+            at.getFileSystem(hadoop).delete(at, True)
 
 
 def cut(df: DataFrame) -> DataFrame:
