@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from urbana.llm import line_dedup, packing, quality_rules, simhash, toxicity
-from urbana.session import scratch_path, table
+from urbana.session import scratch_path, scratch_scope, table
 
 #: Five-word shingles, Jaccard similarity of 0.8 or more, exactly. Candidates: two 256-bit SimHashes of sets with similarity 0.8
 #: differ in about 39 bits (standard deviation 5.7); a pair is one at 56 or fewer if one of 24 tables of 20 bits has it within 1 bit.
@@ -65,10 +65,11 @@ ORACLE_SQL = None  # a trained score and seeded packing are not SQL
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``; each result is written to the shared folder and read again."""
+    """All stages over ``documents``; each result is written to the shared folder and read again, and what else the stage wrote goes."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         folder = scratch_path(spark, name.replace(" ", "-"))
-        stage(spark, docs, sf_dir).write.parquet(folder)
+        with scratch_scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(folder)
         docs = spark.read.parquet(folder)
     return docs
