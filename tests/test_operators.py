@@ -269,3 +269,16 @@ def test_deep_folders_keep_their_placemarks(spark):
     kml = f"<kml><Document><name>d</name>{kml}<Folder><name>g</name>{mark.format(9)}</Folder></Document></kml>"
     got = io.placemarks(spark.createDataFrame([(kml,), (None,)], "k string"), "k").collect()
     assert {(r["folder"], r["name"], r["coordinates"]) for r in got} == {(f"f{i}", f"p{i}", f"{i},1") for i in range(6)} | {("g", "p9", "9,1")}
+
+
+def test_rows_with_periods_of_many_lengths_are_not_broadcast(spark, tmp_path):
+    """Rows are copied for the lengths of their own key's periods only, and are not taken for a small table once they are copied."""
+    spark.range(3000).selectExpr("id % 40 AS k", "IF(id % 97 = 0, NULL, id DIV 40 * 7 + id % 5) AS t", "id AS r").write.parquet(f"{tmp_path}/rows")
+    spark.range(80).selectExpr("id % 40 AS k", "id DIV 40 * 100 AS a", "id DIV 40 * 100 + (1L << (id % 40 % 10)) - 1 AS b", "id AS p").write.parquet(f"{tmp_path}/periods")
+    rows, periods = spark.read.parquet(f"{tmp_path}/rows"), spark.read.parquet(f"{tmp_path}/periods")
+    got = joins.valid_at(rows, periods, ["k"], "t", "a", "b")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "BroadcastHashJoin" in x and "__bin" in x]
+    spans = periods.collect()
+    want = {(r["r"], p["p"]) for r in rows.where("t IS NOT NULL").collect() for p in spans if p["k"] == r["k"] and p["a"] <= r["t"] <= p["b"]}
+    assert {(x["r"], x["p"]) for x in got.collect()} == want and got.count() == len(want) > 500

@@ -67,17 +67,20 @@ def valid_at(df: DataFrame, periods: DataFrame, keys: list[str], ts: str, start:
     """Rows beside the periods of their key that hold their time, both bounds included.
 
     A period belongs to the level of time bins that are just longer than it, so it lies in at most two of them; a row looks into one
-    bin of each level that occurs (one for each power of two of lengths). Rows of a key meet only periods near their time, so a key with many rows and
-    many periods neither forms their product nor meets in one task. Periods without a bound, or that end before they start, hold nothing.
+    bin of each level that occurs among the periods of its key (one for each power of two of lengths). Rows of a key meet only periods near their time, so a
+    key with many rows and many periods neither forms their product nor meets in one task. Periods without a bound, or that end before they start, hold nothing.
     """
     found = [c for c in periods.columns if c not in keys]
     low, high = (seconds_of(periods.schema[c].dataType, F.col(c)) for c in (start, end))
     spans = periods.where(F.col(start) <= F.col(end)).withColumns({"__low": low, "__high": high}).withColumn("__level", F.length(F.bin(F.col("__high") - F.col("__low"))))
-    levels = sorted(r[0] for r in spans.select("__level").distinct().collect())  # at most 64 numbers
+    # the half makes the join shuffle both sides anew, so that Spark can split a key with many rows
+    levels = spans.groupBy(*keys).agg(F.collect_set("__level").alias("__levels")).withColumn("__half", F.explode(F.array(F.lit(0), F.lit(1))))  # at most 64 numbers a key
     placed = spans.withColumn("__bin", F.explode(F.expr("array_distinct(array(shiftright(__low, __level), shiftright(__high, __level)))"))).select(*keys, "__level", "__bin", *found)
-    rows = df.withColumn("__at", seconds_of(df.schema[ts].dataType, F.col(ts))).withColumn("__level", F.explode(F.array(*[F.lit(x) for x in levels]).cast("array<int>")))
+    rows = df.withColumn("__at", seconds_of(df.schema[ts].dataType, F.col(ts))).where("__at IS NOT NULL").withColumn("__half", F.expr("CAST(pmod(xxhash64(__at), 2) AS INT)"))
+    rows = rows.join(levels, [*keys, "__half"]).drop("__half").withColumn("__level", F.explode("__levels")).drop("__levels")
     rows = rows.withColumn("__bin", F.expr("shiftright(__at, __level)")).drop("__at")
-    return rows.join(placed, [*keys, "__level", "__bin"]).where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("__level", "__bin")
+    # Spark's estimates leave out what explode adds: without the hint it broadcasts rows that are far more than it takes them for
+    return rows.hint("merge").join(placed, [*keys, "__level", "__bin"]).where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("__level", "__bin")
 
 
 def daily_snapshots(df: DataFrame, added: str, days: list[dt.date], day: str = "snapshot") -> DataFrame:
