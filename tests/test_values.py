@@ -195,3 +195,10 @@ def test_forecast_without_sections(spark):
     zone = t["zona"].first()
     assert (zone["zona"], zone["temp_maxima"], zone["data_temperatura"], zone["data_alertario"]) == ("n", None, "2024-01-02", dt.datetime(2024, 1, 2, 3, 4, 5))
     assert zone["id_execucao"] in {r["id_execucao"] for r in t["sinotico"].collect()}
+
+
+def test_forecast_documents_are_parsed_once(spark):
+    docs = spark.createDataFrame([("<previsoes Createdate='2024-01-01T00:00:00'><previsao periodo='manha'/><previsao ceu='claro'/></previsoes>",)], "t string").select(F.from_xml("t", forecast.DOCUMENT).alias("d")).select("d.*")
+    t = forecast.forecast_tables(docs, dt.datetime(2024, 1, 2))
+    assert not [k for k, df in t.items() if "from_xml" in df._jdf.queryExecution().optimizedPlan().toString()]
+    assert sorted((r["periodo"] or "", r["ceu"] or "") for r in t["periodo"].collect()) == [("", "claro"), ("manha", "")]

@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from urbana.session import cut
+
 # The attributes and elements of a forecast document.
 DOCUMENT = (
     "_Createdate STRING, previsao ARRAY<STRUCT<_datePeriodo: STRING, _periodo: STRING, _ceu: STRING, _precipitacao: STRING, _dirVento: STRING, _velVento: STRING, _temperatura: STRING>>, "
@@ -20,12 +22,13 @@ def forecast_tables(docs: DataFrame, run: dt.datetime, run_id: Column | None = N
     """``periodo``, ``zona``, ``mare`` and ``sinotico`` of forecast documents; a document's rows share one run id.
 
     The id is a hash of the document and the run unless given. A missing or unreadable creation time is the run's, a tide time
-    of no known form is null, a missing synopsis is an empty text, and absent sections give no rows.
+    of no known form is null, a missing synopsis is an empty text, and absent sections give no rows. Documents are parsed once: what is
+    read from them is stored in the shared folder, and each table is made of that.
     """
     now = F.lit(run).cast("timestamp_ntz")
     made = F.coalesce(F.try_to_timestamp("_Createdate").cast("timestamp_ntz"), now)
     ident = F.md5(F.to_json(F.struct(*docs.columns, now.alias("run")))) if run_id is None else run_id
-    d = docs.select(*docs.columns, ident.alias("id_execucao"), now.cast("date").alias("data_execucao"), F.date_format(now, "HH:mm:ss").alias("hora_execucao"), made.alias("data_alertario"))
+    d = cut(docs.select(*docs.columns, ident.alias("id_execucao"), now.cast("date").alias("data_execucao"), F.date_format(now, "HH:mm:ss").alias("hora_execucao"), made.alias("data_alertario")))
     run_columns = ["id_execucao", "data_execucao", "hora_execucao", "data_alertario"]
 
     def rows(section: str, *cols: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import functools
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from urbana.functions.contact import first_valid
@@ -72,13 +72,19 @@ def _(t):
     at = scratch_path(t.spark, "forecast")
     day, n = F.date_format("l_shipdate", "yyyy-MM-dd"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")
     form = F.when(F.col("l_linenumber") % 4 == 0, F.concat(day, F.lit("T00:00:00"))).when(F.col("l_linenumber") % 4 == 1, F.concat(day, F.lit(" 00:00:00"))).when(F.col("l_linenumber") % 4 == 2, F.date_format("l_shipdate", "dd/MM/yyyy 00:00:00")).otherwise("logo")
+
+    def opened(tag: str, **attributes) -> Column:
+        """The beginning of an element; an attribute without a value is left out."""
+        return F.concat(F.lit(f"<{tag}"), *[F.coalesce(F.concat(F.lit(f' {a}="'), v, F.lit('"')), F.lit("")) for a, v in attributes.items()])
+
+    half = F.lit(".5")
     parts = {
-        "previsao": F.format_string('<previsao datePeriodo="%s" periodo="%s" ceu="%s"/>', day, n, "l_returnflag"),
-        "zona": F.format_string('<Zona zona="%s" maxima="%s.5"/>', n, F.col("l_partkey").cast("string")),
-        "mare": F.format_string('<tabua elevacao="%s" date="%s" altura="%s.5"/>', "l_linestatus", form, F.col("l_linenumber").cast("string")),
+        "previsao": opened("previsao", datePeriodo=day, periodo=n, ceu=F.col("l_returnflag")),
+        "zona": opened("Zona", zona=n, maxima=F.concat(F.col("l_partkey").cast("string"), half)),
+        "mare": opened("tabua", elevacao=F.col("l_linestatus"), date=form, altura=F.concat(F.col("l_linenumber").cast("string"), half)),
     }
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*[F.array_join(F.collect_list(c), "").alias(k) for k, c in parts.items()])
-    head = F.format_string('<previsoes Createdate="%s"><quadroSinotico sinotico="%s"/>', F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss"), "o_orderpriority")
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*[F.array_join(F.collect_list(F.concat(c, F.lit("/>"))), "").alias(k) for k, c in parts.items()])
+    head = F.concat(opened("previsoes", Createdate=F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")), F.lit(">"), opened("quadroSinotico", sinotico=F.col("o_orderpriority")), F.lit("/>"))
     t.orders.join(lines, "o_orderkey").select(F.concat(head, "previsao", F.lit("<Temperatura>"), "zona", F.lit("</Temperatura><TabuasMares>"), "mare", F.lit("</TabuasMares></previsoes>"))).write.text(at)
     docs = t.spark.read.text(at).select(F.from_xml("value", forecast.DOCUMENT).alias("d")).select("d.*")  # a file of many roots is no XML file
     tables = forecast.forecast_tables(docs, NOW, F.md5(F.concat("_Createdate", F.lit("|"), "quadroSinotico._sinotico")))
