@@ -17,6 +17,7 @@ from urbana.operators import geo as geo_module
 from urbana.operators.geo import geo_clusters
 from urbana.operators.graph import connected_components
 from urbana.plans.render import shifted_offset
+from urbana.queries.registry import QUERIES
 from urbana.sources import dialects, io
 
 
@@ -282,3 +283,17 @@ def test_rows_with_periods_of_many_lengths_are_not_broadcast(spark, tmp_path):
     spans = periods.collect()
     want = {(r["r"], p["p"]) for r in rows.where("t IS NOT NULL").collect() for p in spans if p["k"] == r["k"] and p["a"] <= r["t"] <= p["b"]}
     assert {(x["r"], x["p"]) for x in got.collect()} == want and got.count() == len(want) > 500
+
+
+def test_sums_within_periods_make_no_row_for_each_pair(spark):
+    """Rows and periods of one key that all meet; equal times, both bounds, nulls, empty and turned periods."""
+    rows = spark.createDataFrame([("a", 1, 5), ("a", 1, 7), ("a", 2, None), ("a", 4, -3), ("b", 1, 1), (None, 1, 1), ("a", None, 100)], "k string, t long, v long")
+    periods = spark.createDataFrame([("a", 1, 1, "x"), ("a", 2, 3, "y"), ("a", 0, 9, "z"), ("a", 3, 3, "none"), ("a", 4, 1, "turned"), ("a", None, 9, "open"), ("a", 1, 4, "x"), (None, 0, 9, "x"), ("c", 0, 9, "x"), ("b", 1, 1, None)], "k string, a long, b long, p string")
+    got = {tuple(r) for r in joins.summed_within(rows, periods, ["k"], "t", "a", "b", ["p"], {"s": F.col("v")}).collect()}
+    assert got == {("a", "x", 6, 21), ("a", "y", 1, None), ("a", "z", 4, 9), ("b", None, 1, 1)}
+    many = spark.range(4000).selectExpr("id % 2 AS k", "id AS t", "id AS v")
+    spans = many.selectExpr("k", "t - t AS a", "t AS b", "t AS p")
+    got = joins.summed_within(many, spans, ["k"], "t", "a", "b", ["p"], {"s": F.col("v")})
+    for df in (got, QUERIES["j14_events_in_periods"](spark, "/root/testdata/sf0.001")):
+        assert not [x for x in df._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Join" in x and "__part" not in x]
+    assert {(r["k"], r["p"], r["n"], r["s"]) for r in got.collect()} == {(i % 2, i, i // 2 + 1, sum(range(i % 2, i + 1, 2))) for i in range(4000)}

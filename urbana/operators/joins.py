@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from urbana.operators import scan
+
 
 def suppress(df: DataFrame, history: DataFrame, keys: list[str], condition: Column | None = None) -> DataFrame:
     """Rows without a match in a history (filtered by a condition on it first)."""
@@ -83,6 +85,26 @@ def valid_at(df: DataFrame, periods: DataFrame, keys: list[str], ts: str, start:
     return rows.hint("merge").join(placed, [*keys, "__level", "__bin"]).where((F.col(ts) >= F.col(start)) & (F.col(ts) <= F.col(end))).drop("__level", "__bin")
 
 
+def summed_within(df: DataFrame, periods: DataFrame, keys: list[str], ts: str, start: str, end: str, by: list[str], sums: dict[str, Column], count: str = "n") -> DataFrame:
+    """``(keys, by, count, sums)``: how many rows lie in the periods of their key, both bounds included, and sums of whole numbers over them.
+
+    The same as grouping what ``valid_at`` finds, but no row is made for a row in a period: rows of a time are summed first, bounds are sorted among
+    them, and a period's sum is the difference of two running sums. Work follows rows and periods, however many rows a period holds. Periods that
+    hold none are left out; a sum over nulls alone is null.
+    """
+    known = functools.reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    totals = {"__n": F.count(F.lit(1))} | {f"__s{i}": F.sum(c.cast("long")) for i, c in enumerate(sums.values())} | {f"__c{i}": F.count(c) for i, c in enumerate(sums.values())}
+    rows = df.where(known & F.col(ts).isNotNull()).groupBy(*keys, F.col(ts).alias("__at")).agg(*[c.alias(k) for k, c in totals.items()])
+    rows = rows.select("*", F.lit(1).alias("__turn"), *[F.lit(None).cast(periods.schema[b].dataType).alias(b) for b in by])
+    bounds = F.array(F.struct(F.col(start).alias("__at"), F.lit(0).alias("__turn")), F.struct(F.col(end).alias("__at"), F.lit(2).alias("__turn")))
+    turns = periods.where(known & (F.col(start) <= F.col(end))).select(*keys, *by, F.inline(bounds))  # a start comes before rows of its time, an end after them
+    both = rows.unionByName(turns, allowMissingColumns=True).withColumn("__tie", F.xxhash64(*by))
+    run = scan.running_sums(both, keys, ["__at", "__turn", "__tie"], {f"__run{k}": F.col(k) for k in totals}).where("__turn <> 1")
+    net = {k: F.sum(F.when(F.col("__turn") == 2, F.col(f"__run{k}")).otherwise(-F.col(f"__run{k}"))).alias(k) for k in totals}
+    found = run.groupBy(*keys, *by).agg(*net.values()).where("__n > 0")
+    return found.select(*keys, *by, F.col("__n").alias(count), *[F.when(F.col(f"__c{i}") > 0, F.col(f"__s{i}")).alias(name) for i, name in enumerate(sums)])
+
+
 def daily_snapshots(df: DataFrame, added: str, days: list[dt.date], day: str = "snapshot") -> DataFrame:
     """For each day asked for, the rows added on it or before. The result has that many copies of a row at most; ``snapshot_counts`` copies none."""
     asked = F.array(*[F.lit(d) for d in sorted(set(days))]).cast("array<date>")

@@ -62,16 +62,19 @@ def _scanned(rows: DataFrame, keys: list[str], added: list[T.StructField], local
     return rows.mapInArrow(run, schema)
 
 
-def _sums(column: str) -> Local:
-    """The running sum of a column since its key began."""
+def _sums(columns: list[str]) -> Local:
+    """The running sum of each column since its key began."""
 
     def local(b: pa.RecordBatch, new: np.ndarray, state: dict) -> list[pa.Array]:
-        amounts = np.asarray(b.column(b.schema.get_field_index(column)).cast(pa.int64()))
-        total = np.cumsum(amounts)
         start = np.maximum.accumulate(np.where(new, np.arange(len(new)), -1))
-        own = total - np.where(start >= 0, (total - amounts)[np.maximum(start, 0)], -state.get("sum", 0))
-        state["sum"] = int(own[-1])
-        return [pa.array(own)]
+        out = []
+        for column in columns:
+            amounts = np.asarray(b.column(b.schema.get_field_index(column)).cast(pa.int64()))
+            total = np.cumsum(amounts)
+            own = total - np.where(start >= 0, (total - amounts)[np.maximum(start, 0)], -state.get(column, 0))
+            state[column] = int(own[-1])
+            out.append(pa.array(own))
+        return out
 
     return local
 
@@ -87,19 +90,26 @@ def _parts(marked: DataFrame, keys: list[str], last: list[str], first: list[str]
 
 
 def running_sum(df: DataFrame, keys: list[str], order: list[str], amount: Column, name: str) -> DataFrame:
-    """``df`` with the sum, from its key's first row to each row, of a whole number (null is 0). Without keys the table is one key.
+    """``running_sums`` of one number."""
+    return running_sums(df, keys, order, {name: amount})
+
+
+def running_sums(df: DataFrame, keys: list[str], order: list[str], amounts: dict[str, Column]) -> DataFrame:
+    """``df`` with the sums, from its key's first row to each row, of whole numbers (null is 0). Without keys the table is one key.
 
     Rows with equal order have an arbitrary order between them. Rows without a key are one key; an empty table gives an empty result.
     """
-    rows = dealt(df.withColumn("__amount", F.coalesce(amount.cast("long"), F.lit(0))), [*keys, *order])
-    marked = cut(_scanned(rows, keys, [T.StructField("__sum", T.LongType())], _sums("__amount")))
+    n = range(len(amounts))
+    own, sums, carry = ([f"__{x}{i}" for i in n] for x in ("amount", "sum", "carried"))
+    rows = dealt(df.withColumns({own[i]: F.coalesce(a.cast("long"), F.lit(0)) for i, a in enumerate(amounts.values())}), [*keys, *order])
+    marked = cut(_scanned(rows, keys, [T.StructField(x, T.LongType()) for x in sums], _sums(own)))
     w = Window.orderBy("__part")
-    before = F.when(F.col("continued"), F.lag("end.__sum").over(w)).otherwise(0)
+    before = {f"before{i}": F.when(F.col("continued"), F.lag(f"end.{sums[i]}").over(w)).otherwise(0) for i in n}
     chain = F.sum(F.when(F.col("continued") & F.lag("whole").over(w), 0).otherwise(1)).over(w)
-    parts = _parts(marked, keys, ["__sum"]).withColumns({"before": before, "chain": chain})
-    carried = parts.select("__part", F.sum("before").over(Window.partitionBy("chain").orderBy("__part")).alias("__carried"))
-    total = F.col("__sum") + F.when(F.col("__head"), F.col("__carried")).otherwise(0)
-    return marked.join(F.broadcast(carried), "__part").withColumn(name, total).drop("__part", "__row", "__head", "__sum", "__amount", "__carried")
+    parts = _parts(marked, keys, sums).withColumns(before | {"chain": chain})
+    carried = parts.select("__part", *[F.sum(f"before{i}").over(Window.partitionBy("chain").orderBy("__part")).alias(carry[i]) for i in n])
+    totals = {name: F.col(sums[i]) + F.when(F.col("__head"), F.col(carry[i])).otherwise(0) for i, name in enumerate(amounts)}
+    return marked.join(F.broadcast(carried), "__part").withColumns(totals).drop("__part", "__row", "__head", *own, *sums, *carry)
 
 
 def _micros(b: pa.RecordBatch, ts: str) -> np.ndarray:

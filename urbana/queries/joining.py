@@ -117,7 +117,7 @@ SELECT e.event_type, periodo, count(*) AS n, CAST(sum(e.event_id) AS BIGINT) AS
 def _(t):
     """Events inside periods of minutes to hours that begin at every fifth event of their type: few keys, many rows and periods each."""
     p = t.events.where("event_id % 5 = 0").selectExpr("event_type", "event_id AS periodo", "ts AS inicio", "timestampadd(MINUTE, CAST(event_id % 900 AS INT), ts) AS fim")
-    return joins.valid_at(t.events, p, ["event_type"], "ts", "inicio", "fim").groupBy("event_type", "periodo").agg(F.count(F.lit(1)).alias("n"), F.sum("event_id").alias("ids"))
+    return joins.summed_within(t.events, p, ["event_type"], "ts", "inicio", "fim", ["periodo"], {"ids": F.col("event_id")})
 
 
 @query("j15_daily_snapshots", """
