@@ -15,7 +15,8 @@ DOCUMENT = (
     "quadroSinotico STRUCT<_sinotico: STRING, _VALUE: STRING>, Temperatura STRUCT<_data: STRING, Zona: ARRAY<STRUCT<_zona: STRING, _minima: STRING, _maxima: STRING>>>, "
     "TabuasMares STRUCT<tabua: ARRAY<STRUCT<_elevacao: STRING, _date: STRING, _altura: STRING>>>"
 )
-TIDE_TIMES = ("yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd HH:mm:ss", "dd/MM/yyyy HH:mm:ss")
+# with what each form holds for certain: other texts are not tried, as a failed parse costs many times one that succeeds
+TIDE_TIMES = {"yyyy-MM-dd'T'HH:mm:ss": "%-%-%t%", "yyyy-MM-dd HH:mm:ss": "%-%-% %", "dd/MM/yyyy HH:mm:ss": "%/%/% %"}
 
 
 def forecast_tables(docs: DataFrame, run: dt.datetime, run_id: Column | None = None) -> dict[str, DataFrame]:
@@ -41,7 +42,7 @@ def forecast_tables(docs: DataFrame, run: dt.datetime, run_id: Column | None = N
     def number(a: str, b: str) -> Column:
         return F.col(f"x._{a}").try_cast("double").alias(b)
 
-    when = F.coalesce(*[F.try_to_timestamp("x._date", F.lit(f)) for f in TIDE_TIMES]).cast("timestamp_ntz").alias("data_hora")
+    when = F.coalesce(*[F.when(F.lower("x._date").like(has), F.try_to_timestamp("x._date", F.lit(f))) for f, has in TIDE_TIMES.items()]).cast("timestamp_ntz").alias("data_hora")
     words = F.coalesce(F.nullif("quadroSinotico._sinotico", F.lit("")), "quadroSinotico._VALUE", F.lit("")).alias("sinotico")
     return {
         "periodo": rows("previsao", F.to_date("x._datePeriodo", "yyyy-MM-dd").alias("data_periodo"), *x("periodo:periodo", "ceu:ceu", "precipitacao:precipitacao", "dirVento:dir_vento", "velVento:vel_vento", "temperatura:temperatura")),
