@@ -11,7 +11,9 @@ from fractions import Fraction
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from urbana.llm import bounded, filter_audit, jaccard_join, periodic, queries, simhash
 
@@ -141,6 +143,60 @@ def test_many_large_groups_stay_tables(spark, monkeypatch):
     assert pairs == 10_000  # of three that are far apart one was the representative, the others have still to meet
 
 
+def test_similar_sets_share_a_key_in_any_order():
+    rng = np.random.default_rng(8)
+    for _ in range(2000):
+        n = int(rng.choice([4, 5, 9, 16, 17, 20, 21, 26, 27, 45, 100, 400]))
+        gone = int(rng.integers(0, n // 5 + 1))
+        a = np.unique(rng.integers(0, 2**62, n).astype(np.uint64))
+        first = []
+        for x in (a, np.sort(rng.permutation(a)[gone:])):
+            keys = jaccard_join.slice_keys(x)
+            spare, family = jaccard_join.spares(keys, len(x)), keys & jaccard_join.FAMILY
+            late = np.argsort((keys ^ np.uint64(0x5DEECE66D)) * np.uint64(0x9E3779B97F4A7C15))[::-1]  # an order that has nothing to do with the sets
+            place = {f: 0 for f in set(family.tolist())}
+            for i in late:
+                place[int(family[i])] += 1
+                if place[int(family[i])] > spare[i]:
+                    first.append(int(keys[i]))
+        assert len(first) > len(set(first))
+
+
+def test_common_passages_join_no_other_texts(spark):
+    """Before, sets met by their fullest slices, and the slices of a passage that hundreds of texts share made one component of them, which grew with the table."""
+    rnd = random.Random(6)
+    passage = " ".join(f"p{rnd.randrange(10**6)}" for _ in range(40))
+    rows = [(" ".join(f"w{rnd.randrange(10**6)}" for _ in range(35)) + f" {passage} " + " ".join(f"w{rnd.randrange(10**6)}" for _ in range(35)),) for _ in range(400)]
+    groups = [r["n"] for r in jaccard_join.candidates(spark.createDataFrame(rows, "text string"), 5).groupBy("grp").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert max(groups, default=0) < 40
+
+
+def test_blocks_meet_by_turns(spark, monkeypatch):
+    """A group that no star thins out: every two of its blocks meet, and no turn copies a row more than twice as often as ``COPIES``."""
+    monkeypatch.setattr(bounded, "COPIES", 1)
+    monkeypatch.setattr(bounded, "ROUNDS", 1)
+    copies, met = [], bounded._met
+
+    def counted(*args):
+        out = met(*args)
+        copies.append(out.groupBy("item").count().agg(F.max("count")).first()[0])
+        return out
+
+    monkeypatch.setattr(bounded, "_met", counted)
+    items = [f"i{i:03d}".encode() for i in range(60)]
+    frame = spark.createDataFrame(pd.DataFrame([(b"g", x, x) for x in items], columns=["grp", "item", "data"]), "grp binary, item binary, data binary")
+
+    def link(group: pa.Table) -> pa.Table:
+        own = group.column("item").to_pylist()
+        both = [(a, b) for a in own for b in own if a < b]
+        return pa.table({"a": pa.array([a for a, _ in both], pa.binary()), "b": pa.array([b for _, b in both], pa.binary())})
+
+    links = bounded.links(frame, lambda data, centres: np.array([0.3 + (x != c) * 0.3 for x, c in zip(data, centres)]), 0.4, 60, link)
+    found = {tuple(sorted((bytes(r["a"]), bytes(r["b"])))) for r in links.distinct().collect()}
+    assert len(copies) > 3 and max(copies) <= 2
+    assert found >= {(a, b) for a, b in itertools.combinations(items, 2)} and len(found) == 60 * 59 // 2
+
+
 # --- op12 ------------------------------------------------------------------------------------------
 
 

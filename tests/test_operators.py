@@ -6,6 +6,7 @@ import datetime as dt
 import math
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -36,6 +37,21 @@ def test_a_scope_removes_its_scratch_tables(spark, tmp_path):
     assert outside.count() == 3
 
 
+def test_a_cut_leaves_no_shuffle_files(spark):
+    def files() -> set[str]:
+        disk = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+        return {x for x in disk.getAllFiles().mkString(" ").split() if "shuffle_" in x}
+
+    before = files()
+    found = session.cut(spark.range(10_000).groupBy((F.col("id") % 100).alias("k")).count())
+    for _ in range(50):  # removal is asynchronous
+        if not files() - before:
+            break
+        time.sleep(0.1)
+    assert not files() - before and found.count() == 100
+    assert spark.conf.get(session.SHUFFLES_GO) == "false"
+
+
 def test_components_of_a_chain_a_ring_and_nothing(spark):
     edges = [(i, i + 1) for i in range(1, 40)] + [(100, 101), (101, 102), (102, 100), (7, 7)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}

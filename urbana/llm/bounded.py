@@ -3,7 +3,7 @@
 Each member of a group that is too large for a task is measured against one representative, and those within reach are
 linked to it (a star). By the triangle inequality a pair within reach that is not wholly linked to the representative has
 no member nearer to it than the nearest member outside less the reach: all others are done. What stays too large after
-``ROUNDS`` such rounds is dealt in blocks, and every two blocks meet in a task. No pair is left out.
+``ROUNDS`` such rounds is dealt in blocks, and every two blocks meet in a task; a row meets ``COPIES`` blocks at a time. No pair is left out.
 
 Groups, sizes and representatives stay tables. A table with one row per large group is broadcast where it is small, by its
 rows and bytes; else it is joined by group, and the few groups with much of all bytes meet it in parts.
@@ -19,10 +19,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from urbana.session import cut
+from urbana.session import cut, discard, scratch_path, scratch_scope
 
 ROUNDS = 6
 HEAVY = 1024  # groups with over 1/HEAVY of all bytes are joined in parts; there can be no more than HEAVY
+COPIES = 4  # distances of blocks that meet at once: twice as many copies of a row
 SMALL_BYTES = 8 << 20  # a table of one row per group is broadcast up to this
 Metric = Callable[[list[bytes], list[bytes]], np.ndarray]
 
@@ -52,15 +53,48 @@ def split(rows: DataFrame, metric: Metric, reach: float, cap: int) -> tuple[Data
 
     Pairs of one ``(grp, part)`` are to be compared; no such part holds more than about ``cap`` bytes of ``data``.
     """
+    stars, whole, blocks = _thinned(rows, metric, reach, cap)
+    met = [] if blocks is None else [_met(blocks, "0", "int(blocks div 2)")]
+    return stars, reduce(DataFrame.unionByName, [whole, *met])
+
+
+def links(rows: DataFrame, metric: Metric, reach: float, cap: int, link: Callable[[pa.Table], pa.Table]) -> DataFrame:
+    """Links ``(a, b)`` of ``rows(grp, item, data)``: those of the stars, and what ``link`` finds among the rows of a part, as by ``split``.
+
+    Where groups are compared by blocks, a row meets ``COPIES`` blocks at a time and what they link is stored: so the rows are never copied more than so often at once.
+    """
+    stars, whole, blocks = _thinned(rows, metric, reach, cap)
+    kind = "a binary, b binary"
+    found = [*([] if stars is None else [stars]), whole.groupBy("grp", "part").applyInArrow(link, kind)]
+    most = 0 if blocks is None else blocks.agg(F.max("blocks")).first()[0] or 0
+    for n in range(0, most // 2 + 1 if most else 0, COPIES):  # a block meets itself and the half of the others that follow it
+        turn = _met(blocks, f"{n}", f"least({n + COPIES - 1}, int(blocks div 2))")
+        found.append(cut(turn.groupBy("grp", "part").applyInArrow(link, kind)))
+    return reduce(DataFrame.unionByName, found)
+
+
+def _met(blocks: DataFrame, low: str, high: str) -> DataFrame:
+    """The rows of ``blocks(grp, item, data, own, blocks)`` once for each pair of blocks at a distance of ``low`` to ``high`` round the circle of a group's blocks."""
+    step = F.explode(F.expr(f"CASE WHEN {low} <= {high} THEN sequence({low}, {high}) END"))
+    ends = F.expr("array_distinct(array(pmod(own + step, blocks), pmod(own - step, blocks)))")
+    return blocks.withColumn("step", step).withColumn("other", F.explode(ends)).select("grp", "item", "data", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")).alias("part"))
+
+
+def _thinned(rows: DataFrame, metric: Metric, reach: float, cap: int) -> tuple[DataFrame | None, DataFrame, DataFrame | None]:
+    """Star links, the rows of groups of at most ``cap`` bytes, whole, and those of the groups still larger with the block they are dealt to and the number of blocks.
+
+    Each round stores what goes on and what is done, and its other tables go.
+    """
     weight = F.sum(F.length("data") + 1).alias("bytes")
     whole = F.lit("").alias("part")
     large = cut(rows.groupBy("grp").agg(weight).where(F.col("bytes") > cap))
     if large.isEmpty():
-        return None, rows.select("*", whole)
-    parts = parts_of(large, "grp", "bytes")
+        return None, rows.select("*", whole), None
+    spark, parts = rows.sparkSession, parts_of(large, "grp", "bytes")
     marked = _with(rows, large, parts, "left")
     done, stars = [marked.where("bytes IS NULL").select("grp", "item", "data", whole)], []
-    left = cut(marked.where("bytes IS NOT NULL").select("grp", "item", "data"))
+    held = scratch_path(spark, "left")
+    left = cut(marked.where("bytes IS NOT NULL").select("grp", "item", "data"), held)
     kind = left.schema["grp"].dataType.simpleString()
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -70,21 +104,22 @@ def split(rows: DataFrame, metric: Metric, reach: float, cap: int) -> tuple[Data
                 yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array(far, pa.float64())], names=["grp", "item", "data", "centre", "far"])
 
     for n in range(ROUNDS):
-        one = left.groupBy("grp").agg(F.min_by(F.struct("item", "data"), F.xxhash64("item", F.lit(n))).alias("one"))
-        centres = cut(one.select("grp", F.col("one.item").alias("centre"), F.col("one.data").alias("centre_data")))
-        paired = _with(left, centres, parts, size="length(centre) + length(centre_data)").select("grp", "item", "data", "centre", "centre_data")
-        measured = cut(paired.mapInArrow(measure, f"grp {kind}, item binary, data binary, centre binary, far double"))
-        stars.append(measured.where((F.col("far") <= reach) & (F.col("centre") != F.col("item"))).select(F.col("centre").alias("a"), F.col("item").alias("b")))
-        outside = cut(measured.where(F.col("far") > reach).groupBy("grp").agg(F.min("far").alias("least")))
-        left = cut(_with(measured, outside, parts).where(F.col("far") >= F.col("least") - reach - 1e-9).select("grp", "item", "data"))
-        large = cut(left.groupBy("grp").agg(weight).where(F.col("bytes") > cap))
-        marked = _with(left, large, parts, "left")
-        done.append(marked.where("bytes IS NULL").select("grp", "item", "data", whole))
+        near, ended, onward, sizes = (scratch_path(spark, x) for x in ("near", "ended", "left", "large"))
+        with scratch_scope(spark):
+            one = left.groupBy("grp").agg(F.min_by(F.struct("item", "data"), F.xxhash64("item", F.lit(n))).alias("one"))
+            centres = cut(one.select("grp", F.col("one.item").alias("centre"), F.col("one.data").alias("centre_data")))
+            paired = _with(left, centres, parts, size="length(centre) + length(centre_data)").select("grp", "item", "data", "centre", "centre_data")
+            measured = cut(paired.mapInArrow(measure, f"grp {kind}, item binary, data binary, centre binary, far double"))
+            discard(spark, held)
+            stars.append(cut(measured.where((F.col("far") <= reach) & (F.col("centre") != F.col("item"))).select(F.col("centre").alias("a"), F.col("item").alias("b")), near))
+            outside = cut(measured.where(F.col("far") > reach).groupBy("grp").agg(F.min("far").alias("least")))
+            open_ = cut(_with(measured, outside, parts).where(F.col("far") >= F.col("least") - reach - 1e-9).select("grp", "item", "data"))
+            large = cut(open_.groupBy("grp").agg(weight).where(F.col("bytes") > cap), sizes)
+            marked = _with(open_, large, parts, "left")
+            done.append(cut(marked.where("bytes IS NULL").select("grp", "item", "data", whole), ended))
+            left, held = cut(marked.where("bytes IS NOT NULL").select("grp", "item", "data"), onward), onward
         if large.isEmpty():
-            return reduce(DataFrame.unionByName, stars), reduce(DataFrame.unionByName, done)
-        left = marked.where("bytes IS NOT NULL").select("grp", "item", "data")
+            return reduce(DataFrame.unionByName, stars), reduce(DataFrame.unionByName, done), None
     blocks = large.select("grp", F.ceil(2 * F.col("bytes") / cap).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("item", F.lit("block")), F.col("blocks")).cast("int")
-    met = _with(left, blocks, parts).withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    done.append(met.select("grp", "item", "data", F.concat_ws("-", F.least("own", "other"), F.greatest("own", "other")).alias("part")))
-    return reduce(DataFrame.unionByName, stars), reduce(DataFrame.unionByName, done)
+    return reduce(DataFrame.unionByName, stars), reduce(DataFrame.unionByName, done), _with(left, blocks, parts).withColumn("own", own)

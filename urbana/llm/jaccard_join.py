@@ -4,12 +4,12 @@ A set of shingles is a point: shingles are hashed into groups, and a coordinate
 counts is at least the size of the intersection; in a box of points the greatest counts bound it for all of them.
 
 Two steps use that bound. *Over all documents* it is used by slices of groups. Let ``a <= b`` be the sizes of two linked sets: they differ in
-``(a + b) / 9`` shingles at most, and so in no more of the slices that the groups are cut into. Put in one order, by falling sum of counts and
-then by hash, the slices that two such sets have alike begin within the first ``(a + b) / 9 + 1`` of each: a set meets others by these, its
-fullest ones. (With fewer slices than differences a box must be searched around each point, and at this similarity boxes of unrelated texts overlap: a tree over whole
+``(a + b) / 9`` shingles at most, and so in no more of the slices that the groups are cut into. Put in one order, whatever it is,
+the slices that two such sets have alike begin within the first ``(a + b) / 9 + 1`` of each. The order is by how many sets have a slice as it is: a set meets others by
+its rarest ones, so that passages and lines that many texts share do not join these. (With fewer slices than differences a box must be searched around each point, and at this similarity boxes of unrelated texts overlap: a tree over whole
 vectors deals nearly every point to nearly every shard.) Sets are banded by size, the number of slices follows the band, and documents meet by
 shuffles on (band, slice, hash of the slice's counts, a group being a hash). Slices without shingles say nothing: a set that has too few others,
-and any small set, also meets others by the groups that lead in hash order. Sets that meet are joined to components.
+and any small set, also meets others by its rarest groups themselves. Sets that meet are joined to components.
 *Inside a component* of sets an R-tree over counts in coarser groups, packed by median cuts, is searched for each set; what its boxes and
 points can't rule out is compared set by set, exactly.
 """
@@ -29,7 +29,7 @@ from urbana.llm.arrow import slices as batches_of
 from urbana.llm.arrow import texts, with_columns
 from urbana.llm.simhash import SEED, _mix, shingles, verified
 from urbana.operators.graph import connected_components
-from urbana.session import cut
+from urbana.session import cut, settled
 
 LEAST = 0.8
 SMALL = 16  # sets of up to so many shingles meet by their leading groups alone
@@ -55,10 +55,19 @@ def bands() -> list[tuple[int, int, int]]:
 
 
 BANDS = bands()
+FAMILY = np.uint64(63)  # of a key, the bits that number its family: a band, or after these the shingles themselves
+
+
+def needed(n: int, family: int) -> int:
+    """Of the keys of a family, in whatever order all keys are, a set of ``n`` shingles meets every similar one by so many of its first."""
+    if family == len(BANDS):
+        return n - -(-4 * n // 5) + 1
+    end = BANDS[family][1]
+    return (n + (math.floor(1.25 * n) if n < end else end - 1)) // 9 + 1
 
 
 def slice_keys(h: np.ndarray) -> np.ndarray:
-    """The keys by which a set of distinct hashes meets others; two sets with similarity 0.8 or more share one."""
+    """The keys by which a set of distinct hashes may meet others, in one or more families; the six low bits number a key's family."""
     n = len(h)
     if n < 4:  # no other set is similar to these
         return np.zeros(0, np.uint64)
@@ -77,52 +86,65 @@ def slice_keys(h: np.ndarray) -> np.ndarray:
             first = np.nonzero(np.concatenate([[True], of[1:] != of[:-1]]))[0]
             sums = np.add.reduceat(spread[by], first)
             keys = _mix(_mix(sums + (of[first] + 1).astype(np.uint64)) + np.uint64(i + 1))
-            needed = (n + (math.floor(1.25 * n) if n < end else end - 1)) // 9 + 1
-            fullest = np.lexsort((keys, first - np.append(first[1:], n)))
-            found.append(keys[fullest[:needed]])
-            leading |= len(keys) < needed
+            found.append(keys & ~FAMILY | np.uint64(i))
+            leading |= len(keys) < needed(n, i)
     if leading:
-        needed = -(-4 * n // 5)
-        found.append(_mix(np.partition(h, n - needed)[: n - needed + 1]))
+        found.append(_mix(h) & ~FAMILY | np.uint64(len(BANDS)))
     return np.concatenate(found)
 
 
+def spares(keys: np.ndarray, n: int) -> np.ndarray:
+    """For each of the keys of a set of ``n`` shingles, how many of its family the set can do without."""
+    families, at, count = np.unique(keys & FAMILY, return_inverse=True, return_counts=True)
+    return np.array([max(c - needed(n, int(f)), 0) for f, c in zip(families, count)], np.int32)[at]
+
+
 def meetings(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(key, node)`` of the sets of ``docs(text)``; a task names a set once. Long texts make a key for each four words or so."""
+    """``(key, node, spare)`` of the sets of ``docs(text)``; a task names a set once. Long texts make a key for each four words or so."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for b in batches_of(batches):
-            keys, nodes = [], []
+            keys, nodes, spare = [], [], []
             for t in texts(b, "text"):
                 h = np.unique(shingles(t.lower().split(), shingle))
                 node = xxhash.xxh3_128_intdigest(h.tobytes(), SEED) >> 64
                 if node in seen:
                     continue
                 seen.add(node)
-                keys.append(slice_keys(h))
-                nodes.append(np.full(len(keys[-1]), node, np.uint64))
+                own = slice_keys(h)
+                keys.append(own)
+                nodes.append(np.full(len(own), node, np.uint64))
+                spare.append(spares(own, len(h)))
             if keys:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).view(np.int64)) for x in (keys, nodes)], names=["key", "node"])
+                arrays = [np.concatenate(keys).view(np.int64), np.concatenate(nodes).view(np.int64), np.concatenate(spare)]
+                yield pa.RecordBatch.from_arrays(list(map(pa.array, arrays)), names=["key", "node", "spare"])
 
-    return docs.select("text").mapInArrow(run, "key bigint, node bigint")
+    return docs.select("text").mapInArrow(run, "key bigint, node bigint, spare int")
 
 
 def candidates(docs: DataFrame, shingle: int) -> DataFrame:
-    """``(node, grp)``: the component, by shared keys, of every set that shares one.
+    """``(node, grp)``: the component, by shared keys, of every set that shares one of its rarest.
 
-    A sample of texts shows the frequent keys; their rows are dealt in parts by node, and what the parts begin with is joined afterwards. The
-    sample is about speed alone: no row is left out.
+    Keys are counted over all sets, and each set leaves out the most frequent that it can do without. A sample of texts shows the very frequent keys: these are not
+    counted but come last, by their number in the sample, and their rows are dealt in parts by node; what the parts begin with is joined afterwards. The
+    sample is about speed alone: any order of keys will do, and no row is left out for it.
     """
     mark = F.xxhash64(F.coalesce("text", F.lit("")), F.lit("sample"))
     share = min(1.0, SAMPLE / max(docs.count(), 1))
-    sample = meetings(docs.where(F.pmod(mark, F.lit(1 << 40)) < math.ceil(share * (1 << 40))), shingle).distinct()
-    frequent = cut(sample.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= FREQUENT).select("key", F.ceil(F.col("n") / FREQUENT).cast("int").alias("parts")))
-    rows = meetings(docs, shingle).join(F.broadcast(frequent), "key", "left")  # at most SAMPLE / FREQUENT times the keys of a text
+    sample = meetings(docs.where(F.pmod(mark, F.lit(1 << 40)) < math.ceil(share * (1 << 40))), shingle).select("key", "node").distinct()
+    frequent = cut(sample.groupBy("key").agg(F.count(F.lit(1)).alias("sampled")).where(F.col("sampled") >= FREQUENT))
+    parts = F.ceil(F.col("sampled") / FREQUENT).cast("int").alias("parts")
+    rows = meetings(docs, shingle).join(F.broadcast(frequent.select("key", "sampled", parts)), "key", "left")  # at most SAMPLE / FREQUENT times the keys of a text
     dealt = rows.withColumn("salt", F.coalesce(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"), F.lit(0)))
-    low = F.min("node").over(Window.partitionBy("key", "salt"))
-    stars = dealt.withColumn("low", low).where("low <> node OR parts IS NOT NULL").select("low", "node", F.when(F.col("parts").isNotNull(), F.col("key")).alias("key"))
-    stars = cut(stars.distinct())
+    one = Window.partitionBy("key", "salt")
+    counted = dealt.select("*", F.min("node").over(one).alias("low"), F.max("node").over(one).alias("high"), F.count(F.lit(1)).over(one).alias("n"))
+    rank = F.coalesce(F.col("sampled") + F.lit(1 << 40), "n").alias("rank")
+    shared = cut(counted.where("low <> high OR parts IS NOT NULL").select("key", "node", "salt", "spare", "parts", rank).distinct())
+    rarest = F.row_number().over(Window.partitionBy("node", F.col("key").bitwiseAND(int(FAMILY))).orderBy(F.desc("rank"), "key"))
+    kept = shared.withColumn("place", rarest).where("place > spare")
+    stars = kept.select("key", "node", "parts", F.min("node").over(one).alias("low")).where("low <> node OR parts IS NOT NULL")
+    stars = cut(stars.select("low", "node", F.when(F.col("parts").isNotNull(), F.col("key")).alias("key")).distinct())
     starts = stars.where("key IS NOT NULL").select("key", F.col("low").alias("node")).distinct()
     lowest = starts.groupBy("key").agg(F.min("node").alias("low"))
     edges = stars.select("low", "node").unionByName(starts.join(lowest, "key").select("low", "node"))
@@ -252,7 +274,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: i
     rows = every.where("n_shingles > 0")
     first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("mark").alias("mark"))
     classes = cut(rows.groupBy("item").agg(F.min(first).alias("low"), F.count(F.lit(1)).alias("copies")))
-    met = candidates(named, shingle)
+    met = settled(docs.sparkSession, lambda: candidates(named, shingle))
     node = F.conv(F.hex(F.substring("item", 1, 8)), 16, -10).cast("bigint").alias("node")
     asked = classes.select("item", "low", node).join(met, "node").select("low.mark", F.col("low.id").alias("id"), "item", "grp")
     linked = verified(marked, rows.select("doc_id", "n_shingles", "item"), classes, asked, LEAST, shingle, tree_pairs)

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from urbana.llm import bounded
 from urbana.llm.arrow import with_columns
 from urbana.operators.graph import connected_components
-from urbana.session import cut
+from urbana.session import cut, settled
 
 SEED = 42
 SAMPLE = 16384  # fingerprints that the top of the tree is fitted on
@@ -356,15 +356,15 @@ def verified(marked: DataFrame, rows: DataFrame, classes: DataFrame, asked: Data
         return [pa.array([np.unique(shingles(t.lower().split(), shingle)).tobytes() for t in batch], pa.large_binary()).cast(pa.binary())]
 
     texts = marked.alias("d").join(asked.alias("c"), (F.col("d.mark") == F.col("c.mark")) & F.col("d.doc_id").eqNullSafe(F.col("c.id"))).select("grp", "item", "text")
-    sets = with_columns(texts, "text", "data binary", members, ["grp", "item"])
-    every = _lowest(classes.select("item", "low", "copies"), alike(sets, least, pairs), "item")
+    spark = marked.sparkSession
+    near = settled(spark, lambda: alike(cut(with_columns(texts, "text", "data binary", members, ["grp", "item"])), least, pairs))
+    every = _lowest(classes.select("item", "low", "copies"), near, "item")
     return _to_rows(rows, every.select("item", "copies", F.col("component_id.id").alias("component_id")), "item")
 
 
 def alike(sets: DataFrame, least: float, pairs: Pairs | None = None) -> DataFrame:
     """A spanning forest ``(a, b)`` of the links between items of a group of ``sets(grp, item, data)`` with Jaccard similarity ``least`` or more."""
     reach = 1 - least + 1e-9
-    stars, rest = bounded.split(sets, jaccard_distances, reach, SET_BYTES)
 
     def link(group: pa.Table) -> pa.Table:
         items, data = group.column("item").to_pylist(), group.column("data").to_pylist()
@@ -373,8 +373,7 @@ def alike(sets: DataFrame, least: float, pairs: Pairs | None = None) -> DataFram
         leaf = np.nonzero(root != np.arange(len(items)))[0].tolist()
         return pa.table({"a": pa.array([items[root[i]] for i in leaf], pa.binary()), "b": pa.array([items[i] for i in leaf], pa.binary())})
 
-    found = rest.groupBy("grp", "part").applyInArrow(link, "a binary, b binary")
-    return found if stars is None else found.unionByName(stars)
+    return bounded.links(sets, jaccard_distances, reach, SET_BYTES, link)
 
 
 def jaccard_distances(data: list[bytes], centres: list[bytes]) -> np.ndarray:

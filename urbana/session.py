@@ -6,10 +6,12 @@ import contextlib
 import os
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
+SHUFFLES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None, app: str = "urbana") -> SparkSession:
     """A session with the settings the operators assume: UTC, AQE with skew handling, Arrow."""
@@ -68,18 +70,45 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
     try:
         yield
     finally:
-        hadoop = spark.sparkContext._jsc.hadoopConfiguration()
-        for path in _scopes.pop():
-            at = spark._jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(hadoop).delete(at, True)
+        discard(spark, *_scopes.pop())
+
 
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Removes scratch tables that nothing reads any more."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    for path in paths:
+        at = spark._jvm.org.apache.hadoop.fs.Path(path)
+        at.getFileSystem(hadoop).delete(at, True)
 
-def cut(df: DataFrame) -> DataFrame:
-    """Cut lineage: write the rows to the shared folder and read them again.
+
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """What is written in it leaves no shuffle files: they go with the job, and not when the driver happens to collect its garbage."""
+    before = spark.conf.get(SHUFFLES_GO, None)
+    spark.conf.set(SHUFFLES_GO, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLES_GO)
+        else:
+            spark.conf.set(SHUFFLES_GO, before)
+
+
+def cut(df: DataFrame, folder: str | None = None) -> DataFrame:
+    """Cut lineage: write the rows to the shared folder, or to a ``scratch_path`` in it, and read them again; the shuffles behind them go.
 
     A lost executor costs a reread and not a recomputation, and later plans see the size that the rows really have
     (a checkpointed plan keeps its source's estimate, which joins multiply round by round).
     """
-    spark, folder = df.sparkSession, scratch_path(df.sparkSession, "cut")
-    df.write.parquet(folder)
+    spark, folder = df.sparkSession, folder or scratch_path(df.sparkSession, "cut")
+    with shuffles_removed(spark):
+        df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame]) -> DataFrame:
+    """The rows that ``make`` gives, as by ``cut``; the scratch tables begun for them go."""
+    folder = scratch_path(spark, "settled")
+    with scratch_scope(spark):
+        return cut(make(), folder)
