@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import math
+import os
 import random
 
 import duckdb
@@ -15,6 +16,7 @@ from urbana.functions import contact, text
 from urbana.functions.markup import chat_markup
 from urbana.operators import aggs, campaign, forecast, incremental, select
 from urbana.queries.registry import QUERIES
+from urbana.session import shared_dir
 from urbana.sources import io
 from urbana.streaming import ops
 
@@ -197,6 +199,18 @@ def test_forecast_without_sections(spark):
     assert zone["id_execucao"] in {r["id_execucao"] for r in t["sinotico"].collect()}
 
 
+def test_forecast_query_leaves_neither_its_xml_nor_a_shuffle(spark):
+    def scratch() -> set[str]:
+        return set(os.listdir(shared_dir(spark).removeprefix("file:")))
+
+    before = scratch()
+    got = QUERIES["g05_forecast_tables"](spark, SF)
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()  # counted table by table, one shuffle at a time
+    assert not [x for x in scratch() - before if x.startswith("forecast")]
+    lines = duckdb.sql(f"SELECT count(*) FROM '{SF}/lineitem.parquet'").fetchall()[0][0]
+    assert [r["n"] for r in got.where("tabela <> 'sinotico'").groupBy("tabela").agg(F.sum("n").alias("n")).collect()] == [lines] * 3
+
+
 def test_forecast_documents_are_parsed_once(spark):
     docs = spark.createDataFrame([("<previsoes Createdate='2024-01-01T00:00:00'><previsao periodo='manha'/><previsao ceu='claro'/></previsoes>",)], "t string").select(F.from_xml("t", forecast.DOCUMENT).alias("d")).select("d.*")
     t = forecast.forecast_tables(docs, dt.datetime(2024, 1, 2))

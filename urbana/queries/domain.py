@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import functools
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from urbana.operators import campaign, forecast, geo, joins, messages
 from urbana.operators.aggs import summarize_group
 from urbana.operators.select import dedupe_equivalents, escalating_groups, latest_by, seeded_order
 from urbana.queries.base import query
-from urbana.session import scratch_path
+from urbana.session import cut, discard, scratch_path, shuffles_removed
 
 NOW = dt.datetime(2024, 1, 20, 12, 0, 0)
 
@@ -68,29 +69,51 @@ UNION ALL SELECT k, 'zona', n, CAST(CAST(l_partkey + 0.5 AS DOUBLE) AS VARCHAR),
 UNION ALL SELECT k, 'mare', l_linestatus, CAST(CAST(l_linenumber + 0.5 AS DOUBLE) AS VARCHAR), CASE l_linenumber % 4 WHEN 3 THEN NULL ELSE CAST(l_shipdate AS DATE) END, d, p FROM l)
 SELECT tabela, md5(CAST(strftime(d, '%Y-%m-%dT%H:%M:%S') || '|' || p AS VARCHAR)) AS id_execucao, chave, valor, CAST(quando AS VARCHAR) AS quando, count(*) AS n FROM r GROUP BY ALL""")
 def _(t):
-    """A forecast document made of each order and its lines, written as lines of XML and read back as four tables."""
+    """A forecast document made of each order and its lines, written as lines of XML and read back as four tables.
+
+    The XML is compressed and goes once it is parsed; the shuffle takes the lines' values, not their elements. Tables are counted one after
+    the other, so that one shuffle's files are there at a time, and by the bytes of the ids instead of their digits.
+    """
     at = scratch_path(t.spark, "forecast")
-    day, n = F.date_format("l_shipdate", "yyyy-MM-dd"), F.lpad(F.col("l_linenumber").cast("string"), 2, "0")
-    form = F.when(F.col("l_linenumber") % 4 == 0, F.concat(day, F.lit("T00:00:00"))).when(F.col("l_linenumber") % 4 == 1, F.concat(day, F.lit(" 00:00:00"))).when(F.col("l_linenumber") % 4 == 2, F.date_format("l_shipdate", "dd/MM/yyyy 00:00:00")).otherwise("logo")
 
     def opened(tag: str, **attributes) -> Column:
         """The beginning of an element; an attribute without a value is left out."""
         return F.concat(F.lit(f"<{tag}"), *[F.coalesce(F.concat(F.lit(f' {a}="'), v, F.lit('"')), F.lit("")) for a, v in attributes.items()])
 
+    def elements(tag: str, attributes: Callable[[Column], dict[str, Column]]) -> Column:
+        return F.array_join(F.transform("lines", lambda x: F.concat(opened(tag, **attributes(x)), F.lit("/>"))), "")
+
+    def day(x: Column) -> Column:
+        return F.date_format(x.l_shipdate, "yyyy-MM-dd")
+
+    def n(x: Column) -> Column:
+        return F.lpad(x.l_linenumber.cast("string"), 2, "0")
+
+    def form(x: Column) -> Column:
+        kind = x.l_linenumber % 4
+        return F.when(kind == 0, F.concat(day(x), F.lit("T00:00:00"))).when(kind == 1, F.concat(day(x), F.lit(" 00:00:00"))).when(kind == 2, F.date_format(x.l_shipdate, "dd/MM/yyyy 00:00:00")).otherwise("logo")
+
     half = F.lit(".5")
-    parts = {
-        "previsao": opened("previsao", datePeriodo=day, periodo=n, ceu=F.col("l_returnflag")),
-        "zona": opened("Zona", zona=n, maxima=F.concat(F.col("l_partkey").cast("string"), half)),
-        "mare": opened("tabua", elevacao=F.col("l_linestatus"), date=form, altura=F.concat(F.col("l_linenumber").cast("string"), half)),
-    }
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(*[F.array_join(F.collect_list(F.concat(c, F.lit("/>"))), "").alias(k) for k, c in parts.items()])
+    previsao = elements("previsao", lambda x: {"datePeriodo": day(x), "periodo": n(x), "ceu": x.l_returnflag})
+    zona = elements("Zona", lambda x: {"zona": n(x), "maxima": F.concat(x.l_partkey.cast("string"), half)})
+    mare = elements("tabua", lambda x: {"elevacao": x.l_linestatus, "date": form(x), "altura": F.concat(x.l_linenumber.cast("string"), half)})
+    line = F.struct("l_linenumber", F.to_date("l_shipdate").alias("l_shipdate"), "l_returnflag", "l_partkey", "l_linestatus")
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.collect_list(line).alias("lines"))
     head = F.concat(opened("previsoes", Createdate=F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss")), F.lit(">"), opened("quadroSinotico", sinotico=F.col("o_orderpriority")), F.lit("/>"))
-    t.orders.join(lines, "o_orderkey").select(F.concat(head, "previsao", F.lit("<Temperatura>"), "zona", F.lit("</Temperatura><TabuasMares>"), "mare", F.lit("</TabuasMares></previsoes>"))).write.text(at)
+    made = t.orders.join(lines, "o_orderkey").select(F.concat(head, previsao, F.lit("<Temperatura>"), zona, F.lit("</Temperatura><TabuasMares>"), mare, F.lit("</TabuasMares></previsoes>")))
+    with shuffles_removed(t.spark):
+        made.write.text(at, compression="gzip")
     docs = t.spark.read.text(at).select(F.from_xml("value", forecast.DOCUMENT).alias("d")).select("d.*")  # a file of many roots is no XML file
     tables = forecast.forecast_tables(docs, NOW, F.md5(F.concat("_Createdate", F.lit("|"), "quadroSinotico._sinotico")))
+    discard(t.spark, at)  # the parsed documents are stored
     shown = {"sinotico": ("sinotico", None, None), "periodo": ("periodo", "ceu", "data_periodo"), "zona": ("zona", "temp_maxima", "data_temperatura"), "mare": ("elevacao", "altura", "to_date(data_hora)")}
-    each = [tables[k].selectExpr(f"'{k}' AS tabela", "id_execucao", *[f"CAST({c} AS STRING) AS {name}" for c, name in zip([c or "NULL" for c in cols], ("chave", "valor", "quando"))]) for k, cols in shown.items()]
-    return functools.reduce(DataFrame.unionAll, each).groupBy("tabela", "id_execucao", "chave", "valor", "quando").agg(F.count(F.lit(1)).alias("n"))
+    keys = ["id", "chave", "valor", "quando"]
+    each = []
+    for k, (chave, valor, quando) in shown.items():
+        rows = tables[k].selectExpr("unhex(id_execucao) AS id", f"CAST({chave} AS STRING) AS chave", f"CAST({valor or 'NULL'} AS STRING) AS valor", f"{quando or 'CAST(NULL AS DATE)'} AS quando")
+        counted = cut(rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+        each.append(counted.selectExpr(f"'{k}' AS tabela", "lower(hex(id)) AS id_execucao", "chave", "valor", "CAST(quando AS STRING) AS quando", "n"))
+    return functools.reduce(DataFrame.unionAll, each)
 
 
 @query("g06_split_feed", "SELECT event_id, 'chuva' AS feed, value FROM events WHERE value IS NOT NULL UNION ALL SELECT event_id, 'rio', try_cast(json_extract_string(props, '$.k') AS DOUBLE) FROM events WHERE try_cast(json_extract_string(props, '$.k') AS DOUBLE) IS NOT NULL")
